@@ -8,7 +8,6 @@ joins on unique keys, so leaving one out changes no row.
 from __future__ import annotations
 
 from datetime import date
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +58,11 @@ class Model:
             events = events.where(F.col("ts") >= F.lit(str(since)).cast("timestamp_ntz"))
         if parameters is not None:
             events = events.where(_is_event_of(parameters))
+        return self.as_measurements(events)
+
+    @staticmethod
+    def as_measurements(events: DataFrame) -> DataFrame:
+        """The event columns as measurement columns; for a batch or a stream."""
         return _as_measurements(events)
 
     def station(self, *columns: str) -> DataFrame:
@@ -200,7 +204,7 @@ class Model:
             F.col("text").alias("body"),
         )
 
-    @cached_property
+    @property
     def measurement_records(self) -> DataFrame:
         """Events in the shape of the measurement payload, one JSON text each.
 

@@ -89,29 +89,67 @@ def flatten_parameters(raw: DataFrame) -> DataFrame:
     )
 
 
-# column -> (path in the record, type)
-_MEASUREMENT_PATHS = {
-    "value": ("value", "decimal(15,6)"),
-    "parameter_id": ("parameter.id", "int"),
-    "parameter_name": ("parameter.name", "string"),
-    "parameter_units": ("parameter.units", "string"),
-    "period_label": ("period.label", "string"),
-    "period_interval": ("period.interval", "string"),
-    "period_from_utc": ("period.datetimeFrom.utc", "timestamp_ntz"),
-    "period_to_utc": ("period.datetimeTo.utc", "timestamp_ntz"),
-    "period_from_local": ("period.datetimeFrom.local", "timestamp_ntz"),
-    "period_to_local": ("period.datetimeTo.local", "timestamp_ntz"),
-    "coordinates_latitude": ("coordinates.latitude", "decimal(10,8)"),
-    "coordinates_longitude": ("coordinates.longitude", "decimal(11,8)"),
-    "coverage_expected_count": ("coverage.expectedCount", "int"),
-    "coverage_observed_count": ("coverage.observedCount", "int"),
-    "coverage_percent_complete": ("coverage.percentComplete", "decimal(5,2)"),
-    "coverage_percent_coverage": ("coverage.percentCoverage", "decimal(5,2)"),
+# A measurement record read at one go. A part that is absent, null or of the wrong
+# kind is NULL in here; the other two views tell these cases apart.
+_UTC_LOCAL = "struct<utc string, local string>"
+_TYPED = (
+    "struct<value decimal(15,6), parameter struct<id int, name string, units string>, "
+    f"period struct<label string, interval string, datetimeFrom {_UTC_LOCAL}, datetimeTo {_UTC_LOCAL}>, "
+    "coordinates struct<latitude decimal(10,8), longitude decimal(11,8)>, "
+    "coverage struct<expectedCount int, observedCount int, "
+    "percentComplete decimal(5,2), percentCoverage decimal(5,2)>, "
+    "flagInfo struct<hasFlags boolean>>"
+)
+# the same values as they are written, to see which of them a cast loses
+_WRITTEN = (
+    "struct<value string, parameter struct<id string>, "
+    f"period struct<datetimeFrom {_UTC_LOCAL}, datetimeTo {_UTC_LOCAL}>, "
+    "coordinates struct<latitude string, longitude string>, "
+    "coverage struct<expectedCount string, observedCount string, "
+    "percentComplete string, percentCoverage string>, flagInfo struct<hasFlags string>>"
+)
+# the parts themselves, to see which of them are present
+_PARTS = "struct<parameter variant, period variant, coordinates variant, coverage variant, flagInfo variant>"
+_PERIOD_PARTS = "struct<datetimeFrom variant, datetimeTo variant>"
+
+# column -> path in the record
+_PLAIN = {
+    "value": "value",
+    "parameter_id": "parameter.id",
+    "parameter_name": "parameter.name",
+    "parameter_units": "parameter.units",
+    "period_label": "period.label",
+    "period_interval": "period.interval",
+    "coordinates_latitude": "coordinates.latitude",
+    "coordinates_longitude": "coordinates.longitude",
+    "coverage_expected_count": "coverage.expectedCount",
+    "coverage_observed_count": "coverage.observedCount",
+    "coverage_percent_complete": "coverage.percentComplete",
+    "coverage_percent_coverage": "coverage.percentCoverage",
 }
+_TIMES = {
+    "period_from_utc": "period.datetimeFrom.utc",
+    "period_to_utc": "period.datetimeTo.utc",
+    "period_from_local": "period.datetimeFrom.local",
+    "period_to_local": "period.datetimeTo.local",
+}
+
 
+def parse_measurements(raw: DataFrame) -> DataFrame:
+    """Adds the views ``_typed``, ``_written``, ``_parts`` and ``_period`` of the record.
 
-def _typed(path: str, type_: str) -> Column:
-    return _ts(_at(path, "string")) if type_ == "timestamp_ntz" else _at(path, type_)
+    They come out of a generator of one row: a projection would be merged with the
+    filters and columns that use it, and each use would read the record again.
+    """
+    if "_typed" in raw.columns:
+        return raw
+    views = F.struct(
+        F.try_variant_get(RECORD, "$", _TYPED).alias("_typed"),
+        F.try_variant_get(RECORD, "$", _WRITTEN).alias("_written"),
+        F.try_variant_get(RECORD, "$", _PARTS).alias("_parts"),
+        F.try_variant_get(RECORD, "$.period", _PERIOD_PARTS).alias("_period"),
+    )
+    return raw.select("*", F.inline(F.array(views)))
 
 
 def flatten_measurements(raw: DataFrame) -> DataFrame:
@@ -120,17 +158,20 @@ def flatten_measurements(raw: DataFrame) -> DataFrame:
     ``raw`` carries ``sensor_id``, ``location_id`` and ``location_name`` next to the
     record (see ``tag_context``); they become part of ``raw_data`` as well.
     """
-    columns = {name: _typed(path, type_) for name, (path, type_) in _MEASUREMENT_PATHS.items()}
-    return raw.select(
+    rows = parse_measurements(raw)
+    times = {name: _ts(F.col(f"_typed.{path}")) for name, path in _TIMES.items()}
+    flag = F.when(F.col("_written.flagInfo.hasFlags").isNotNull(), F.col("_typed.flagInfo.hasFlags"))
+    return rows.select(
         "sensor_id",
         "location_id",
-        *[c.alias(name) for name, c in columns.items()],
+        *[F.col(f"_typed.{path}").alias(name) for name, path in _PLAIN.items()],
+        *[column.alias(name) for name, column in times.items()],
         F.lit(None).cast("timestamp_ntz").alias("datetime_utc"),
         F.lit(None).cast("timestamp_ntz").alias("datetime_local"),
-        _flag("flagInfo.hasFlags").alias("has_flags"),
+        F.when(_part("flagInfo.hasFlags").isNull(), F.lit(False)).otherwise(flag).alias("has_flags"),
         _record_with_context("sensor_id", "location_id", "location_name").alias("raw_data"),
-        F.to_date(columns["period_from_utc"]).alias("period_date"),
-        *_carried(raw),
+        F.to_date(times["period_from_utc"]).alias("period_date"),
+        *_carried(rows),
     )
 
 
@@ -205,7 +246,7 @@ def _no_object(path: str) -> Column:
 def _does_not_fit(path: str, type_: str) -> Column:
     """A value is there, but it is lost in its column type."""
     given = F.coalesce(_kind(path) != "VOID", F.lit(False))
-    return given & _typed(path, type_).isNull()
+    return given & _at(path, type_).isNull()
 
 
 def _first_reason(rules: list[tuple[Column, str]]) -> Column:
@@ -213,21 +254,32 @@ def _first_reason(rules: list[tuple[Column, str]]) -> Column:
     return reduce(lambda col, rule: col.when(rule[0], rule[1]), rest, F.when(test, reason))
 
 
-def measurement_reject_reason(raw: DataFrame) -> Column:
-    objects = [
-        "period", "parameter", "coverage", "flagInfo", "period.datetimeFrom", "period.datetimeTo",
+def measurement_reject_reason(rows: DataFrame) -> Column:
+    """Why a parsed record cannot be loaded: the first rule that it breaks.
+
+    A part that is present must be an object, even if it is null; only no position at
+    all is fine. A sensor must be named, and every value must fit its column.
+    """
+    typed, written = (lambda p: F.col(f"_typed.{p}")), (lambda p: F.col(f"_written.{p}"))
+    rules = [
+        (F.col(f"_parts.{p}").isNotNull() & typed(p).isNull(), f"{p} is not an object")
+        for p in ("period", "parameter", "coverage", "flagInfo")
+    ]
+    rules += [
+        (F.col(f"_period.{p}").isNotNull() & typed(f"period.{p}").isNull(), f"period.{p} is not an object")
+        for p in ("datetimeFrom", "datetimeTo")
     ]
-    rules = [(_no_object(p), f"{p} is not an object") for p in objects]
-    # no position at all is fine, whether the key is absent, null or empty
-    empty = F.to_json(_part("coordinates")).isin("null", "false", "0", '""', "[]")
-    rules.append((_no_object("coordinates") & ~empty, "coordinates is not an object"))
+    nothing = F.to_json("_parts.coordinates").isin("null", "false", "0", '""', "[]")
+    rules.append((typed("coordinates").isNull() & ~nothing, "coordinates is not an object"))
     rules.append((F.col("sensor_id").isNull(), "sensor_id is missing"))
+    checked = [p for p in _PLAIN.values() if p.split(".")[-1] not in ("name", "units", "label", "interval")]
+    rules += [
+        (written(p).isNotNull() & typed(p).isNull(), f"{p} does not fit")
+        for p in [*checked, "flagInfo.hasFlags"]
+    ]
     rules += [
-        (_does_not_fit(path, type_), f"{path} does not fit {type_}")
-        for path, type_ in _MEASUREMENT_PATHS.values()
-        if type_ != "string"
+        (written(p).isNotNull() & _ts(typed(p)).isNull(), f"{p} is no timestamp") for p in _TIMES.values()
     ]
-    rules.append((_does_not_fit("flagInfo.hasFlags", "boolean"), "flagInfo.hasFlags is no boolean"))
     return _first_reason(rules)
 
 
@@ -246,7 +298,8 @@ def location_reject_reason(raw: DataFrame) -> Column:
 
 def with_reject_reason(raw: DataFrame, rule=measurement_reject_reason) -> DataFrame:
     """Adds ``reason``: why the record cannot be loaded, NULL if it can."""
-    return raw.withColumn("reason", rule(raw))
+    rows = parse_measurements(raw) if rule is measurement_reject_reason else raw
+    return rows.withColumn("reason", rule(rows))
 
 
 def split_good_bad(raw: DataFrame, rule=measurement_reject_reason) -> tuple[DataFrame, DataFrame]:

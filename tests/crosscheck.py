@@ -48,6 +48,18 @@ def rows_of(columns, rows):
     return sorted(tuple(normal(r[i]) for i in order) for r in rows)
 
 
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
+def type_difference(df, con, sql):
+    theirs = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    ours = {name: SAME_TYPE.get(type_, type_) for name, type_ in df.dtypes}
+    return {c: (ours[c], theirs.get(c)) for c in ours if ours[c] != theirs.get(c)}
+
+
 def compare(spark, con, key, run, sql, folder):
     df = run(spark, folder)
     ours = rows_of(df.columns, [tuple(r) for r in df.collect()])
@@ -58,6 +70,9 @@ def compare(spark, con, key, run, sql, folder):
     theirs = rows_of(columns, result.fetchall())
     if sorted(columns) != sorted(df.columns):
         return len(ours), f"COLUMNS {sorted(df.columns)} != {sorted(columns)}"
+    types = type_difference(df, con, sql)
+    if types:
+        return len(ours), f"TYPES {types}"
     if ours == theirs:
         return len(ours), None
     mine, other = [r for r in ours if r not in theirs], [r for r in theirs if r not in ours]
