@@ -83,9 +83,10 @@ class Model:
                 F.col("s_name").alias("name"),
                 F.col("s_nationkey").alias("country_id"),
             )
-            if wanted & {"locality", "timezone"}:
-                supplier = supplier.join(self._nation("country_id"), "country_id", "left")
             rows = rows.join(supplier, "id", "left")
+        if wanted & {"locality", "timezone"}:
+            # each dimension joins the rows directly: its own file size decides on a broadcast
+            rows = rows.join(self._nation("country_id"), "country_id", "left")
         if wanted & {"provider_id", "provider_name", "sensor_name"}:
             part = self.table("part").select(
                 F.col("p_partkey").alias("sensor_id"),

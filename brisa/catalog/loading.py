@@ -30,8 +30,8 @@ _POSITION = "CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS
 
 @query(
     "scan_table",
-    """SELECT parameter_id, name, display_name, units, CAST(NULL AS VARCHAR) AS description,
-              CAST(NULL AS TIMESTAMP) AS extracted_at FROM parameters""",
+    """SELECT CAST(parameter_id AS INTEGER) AS parameter_id, name, display_name, units,
+              CAST(NULL AS VARCHAR) AS description, CAST(NULL AS TIMESTAMP) AS extracted_at FROM parameters""",
 )
 def _(t: Model) -> DataFrame:
     base = scratch_path(t.spark, "model")
@@ -61,7 +61,7 @@ register(
 
 register(
     "tag_context",
-    lambda t: files.tag_context(_envelopes(t), landing.sensor_list(t)).select(
+    lambda t: files.tag_context(_envelopes(t), as_written_table(landing.sensor_list(t), "sensors")).select(
         "sensor_id", "location_id", "location_name", F.col("page").cast("bigint"),
         F.col("seq.pos").cast("bigint").alias("pos"),
     ),
@@ -170,7 +170,7 @@ def _(t: Model) -> DataFrame:
 )
 def _(t: Model) -> DataFrame:
     path = scratch_path(t.spark, "summary")
-    report = countries.regional_report(t.countries(), "2024-01-31T00:00:00", "orders", "")
+    report = countries.summary_report(t.countries(), "2024-01-31T00:00:00", "orders", "")
     files.write_json(report, path)
     read = files.read_json_list(t.spark, path, report.schema, multi_line=False)
     return read.select(
@@ -463,7 +463,7 @@ def _(t: Model) -> DataFrame:
     target = scratch_path(t.spark, "measurements")
     pages = t.spark.readStream.schema(schemas.SENSOR_ENVELOPE).json(path)
     ingest.incremental_ingest(
-        pages, landing.sensor_list(t), target, scratch_path(t.spark, "stream"), MEASUREMENTS_AS_OF
+        pages, as_written_table(landing.sensor_list(t), "sensors"), target, scratch_path(t.spark, "stream"), MEASUREMENTS_AS_OF
     ).awaitTermination()
     return t.spark.read.parquet(target).select(
         *KEY, "period_label", "location_id", "parameter_name", "value", "has_flags", "extracted_at"
@@ -507,6 +507,6 @@ register(
     """WITH pages AS (SELECT n_name AS code, year(o_orderdate) - 1994 AS page FROM orders
                       JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey),
        seen AS (SELECT *, min(page) OVER (PARTITION BY code) = page AS fresh FROM pages)
-       SELECT CAST(page AS BIGINT) AS page, count(*) AS records, count_if(fresh) AS new_records,
-              count_if(NOT fresh) AS repeated_records FROM seen GROUP BY page""",
+       SELECT CAST(page AS BIGINT) AS page, count(*) AS records, count(*) FILTER (fresh) AS new_records,
+              count(*) FILTER (NOT fresh) AS repeated_records FROM seen GROUP BY page""",
 )

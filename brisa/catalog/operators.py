@@ -243,7 +243,7 @@ register(
     lambda t: t.measurements().agg(
         agg.agg_conditional(F.col("value") > 100).alias("high"), agg.agg_conditional(F.col("has_flags")).alias("flagged")
     ),
-    "SELECT count_if(value > 100) AS high, count_if(has_flags) AS flagged FROM measurements",
+    "SELECT count(*) FILTER (value > 100) AS high, count(*) FILTER (has_flags) AS flagged FROM measurements",
 )
 register(
     "agg_min_max",
@@ -279,7 +279,7 @@ register(
 )
 register(
     "agg_string_agg_distinct",
-    lambda t: t.station("id", "provider_name").groupBy("id").agg(agg.string_list("provider_name").alias("providers")),
+    lambda t: agg.with_distinct_list(t.station("id", "provider_name"), ["id"], "provider_name", "providers"),
     """SELECT id, string_agg(DISTINCT provider_name, ', ' ORDER BY provider_name) AS providers
        FROM station GROUP BY id""",
 )

@@ -726,7 +726,7 @@ register(
     "v_quality",
     lambda t: quality.v_quality(t.measurements()),
     f"""SELECT count(*) AS total, CAST(0 AS BIGINT) AS null_values, CAST(0 AS BIGINT) AS null_dates,
-               count_if(has_flags) AS flagged, CAST(0 AS DOUBLE) AS null_values_percent,
+               count(*) FILTER (has_flags) AS flagged, CAST(0 AS DOUBLE) AS null_values_percent,
                CAST(0 AS DOUBLE) AS null_dates_percent,
                {ratio_sql('(count_if(has_flags) * 100)', 'count(*)', 1)} AS flagged_percent FROM measurements""",
 )

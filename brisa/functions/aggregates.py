@@ -57,6 +57,26 @@ def string_list(col: str, sep: str = ", ") -> Column:
     return F.when(F.count(col) > 0, F.array_join(values, sep))
 
 
+def with_distinct_list(
+    df: DataFrame,
+    keys: Sequence[str],
+    col: str,
+    name: str,
+    count_name: str | None = None,
+    sep: str = ", ",
+) -> DataFrame:
+    """Per group: the distinct values of a column, sorted and joined, and their number.
+
+    Rows are made distinct by a plain hash aggregate first; only its result,
+    one row per value and group, enters the list.
+    """
+    distinct = df.select(*keys, col).distinct()
+    aggs = [string_list(col, sep).alias(name)]
+    if count_name:
+        aggs.append(F.count(col).alias(count_name))
+    return distinct.groupBy(*keys).agg(*aggs)
+
+
 def with_repeated_list(
     df: DataFrame,
     keys: Sequence[str],

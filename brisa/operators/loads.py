@@ -98,7 +98,9 @@ def full_refresh(
     if not df.isEmpty():
         if on_duplicate == "fail":
             fail_on_duplicates(df, key)
-        tables.publish(latest_per_key(df, key, seq).drop(*seq), target)
+            tables.publish(df.drop(*seq), target)
+        else:
+            tables.publish(latest_per_key(df, key, seq).drop(*seq), target)
     return tables.read_current(spark, target, schema)
 
 

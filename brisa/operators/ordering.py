@@ -40,17 +40,13 @@ def limit_sample(df: DataFrame, n: int) -> DataFrame:
 def latest_per_key(df: DataFrame, key: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """Last record per key in arrival order.
 
-    ``max_by`` keeps one row per key and task before the shuffle, so a key with a
-    third of all rows stays cheap; a window would send all of them to one task.
+    As only the first rank is kept, the planner limits every key to one row per task
+    before the shuffle (WindowGroupLimit): a key with a third of all rows stays cheap.
     A row with NULL in the key equals no other row and is kept.
     """
-    rest = [c for c in df.columns if c not in key]
-    reduced = (
-        with_null_key_id(df, key)
-        .groupBy(*key, "_null_key")
-        .agg(F.max_by(F.struct(*rest), F.struct(*seq)).alias("_r"))
-    )
-    return reduced.select(*[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in df.columns])
+    newest_first = Window.partitionBy(*key, "_null_key").orderBy(*[F.desc(c) for c in seq])
+    ranked = with_null_key_id(df, key).withColumn("_rank", F.row_number().over(newest_first))
+    return ranked.where(F.col("_rank") == 1).select(*df.columns)
 
 
 def with_null_key_id(df: DataFrame, key: Sequence[str]) -> DataFrame:

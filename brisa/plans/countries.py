@@ -294,7 +294,7 @@ def lc_export(c: DataFrame, path: str) -> str:
     return path
 
 
-def regional_report(c: DataFrame, execution_time: str, data_source: str, endpoint: str) -> DataFrame:
+def summary_report(c: DataFrame, execution_time: str, data_source: str, endpoint: str) -> DataFrame:
     """One-row document: number of countries and the number per estimated region."""
     regions = c_by_region(c).agg(
         F.map_from_entries(F.collect_list(F.struct("region", "countries"))).alias("regional_distribution")

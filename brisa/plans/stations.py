@@ -8,14 +8,14 @@ holds a large share of all rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa.functions import labels
 from brisa.functions.aggregates import (
-    agg_avg_round, agg_count, agg_count_col, agg_count_distinct, string_list, with_repeated_list,
+    agg_avg_round, agg_count, agg_count_col, agg_count_distinct, string_list, with_distinct_list, with_repeated_list,
 )
 from brisa.functions.scalars import concat_key, date_of
 from brisa.operators.filters import filter_eq, filter_in, filter_like_ci, filter_null, like_any
@@ -75,11 +75,18 @@ def s_overview(st: DataFrame) -> DataFrame:
 
 
 def s_top_sensors(st: DataFrame, k: int = 15) -> DataFrame:
-    """Stations with the most sensors, with their sorted distinct sensor names."""
-    report = st.groupBy("id", "name", "locality", "provider_name").agg(
-        agg_count_distinct("sensor_id").alias("sensors"), string_list("sensor_name").alias("sensor_names")
-    )
-    return topk(report, k, "-sensors", "id", "name", "locality", "provider_name")
+    """Stations with the most sensors, with their sorted distinct sensor names.
+
+    The k stations are found by counts alone; names are listed for these only.
+    """
+    keys = ["id", "name", "locality", "provider_name"]
+    counts = st.groupBy(*keys).agg(agg_count_distinct("sensor_id").alias("sensors"))
+    top = topk(counts, k, "-sensors", *keys)
+    renamed = F.broadcast(top.select(*[F.col(c).alias(f"_{c}") for c in top.columns]))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+    chosen = st.join(renamed, same).select(*keys, "sensor_name", F.col("_sensors").alias("sensors"))
+    report = with_distinct_list(chosen, [*keys, "sensors"], "sensor_name", "sensor_names")
+    return sort_multi(report, "-sensors", *keys)
 
 
 def s_by_provider(st: DataFrame) -> DataFrame:
@@ -129,12 +136,21 @@ def s_mobile_monitor(st: DataFrame) -> DataFrame:
     return sort_multi(report, "is_mobile", "is_monitor")
 
 
-def s_by_timezone(st: DataFrame) -> DataFrame:
-    report = filter_null(st, not_null=["timezone"]).groupBy("timezone").agg(
+def _by_place(st: DataFrame, group: str) -> DataFrame:
+    """Stations, rows and sorted distinct localities per group.
+
+    Rows are reduced to one per (group, station, locality) first.
+    """
+    reduced = st.groupBy(group, "id", "locality").agg(agg_count().alias("_n"))
+    return reduced.groupBy(group).agg(
         _stations().alias("stations"),
-        agg_count().alias("rows"),
+        F.sum("_n").alias("rows"),
         string_list("locality").alias("localities"),
     )
+
+
+def s_by_timezone(st: DataFrame) -> DataFrame:
+    report = _by_place(filter_null(st, not_null=["timezone"]), "timezone")
     return sort_multi(report, "-stations", "timezone")
 
 
@@ -230,11 +246,9 @@ def s_bbox_density(st: DataFrame) -> DataFrame:
 
 
 def s_quadrants(st: DataFrame) -> DataFrame:
-    quadrant = labels.bucket_quadrant(F.col("latitude"), F.col("longitude")).alias("quadrant")
-    report = filter_null(st, not_null=_HAS_POSITION).groupBy(quadrant).agg(
-        _stations().alias("stations"), string_list("locality").alias("localities")
-    )
-    return sort_multi(report, "-stations", "quadrant")
+    quadrant = labels.bucket_quadrant(F.col("latitude"), F.col("longitude"))
+    placed = filter_null(st, not_null=_HAS_POSITION).withColumn("quadrant", quadrant)
+    return sort_multi(_by_place(placed, "quadrant").drop("rows"), "-stations", "quadrant")
 
 
 def ls_count(st: DataFrame) -> DataFrame:
@@ -344,14 +358,9 @@ def ls_gases(st: DataFrame, names: Sequence[str] = GAS_SENSORS) -> DataFrame:
 
 def ls_complete(st: DataFrame, at_least: int = 3) -> DataFrame:
     """Stations with at least so many sensor types, with their list (comma, by value)."""
-    report = (
-        st.groupBy("id", "name", "locality")
-        .agg(
-            string_list("sensor_name", ",").alias("sensor_names"),
-            agg_count_distinct("sensor_name").alias("sensor_types"),
-        )
-        .where(F.col("sensor_types") >= at_least)
-    )
+    keys = ["id", "name", "locality"]
+    listed = with_distinct_list(st, keys, "sensor_name", "sensor_names", "sensor_types", ",")
+    report = listed.where(F.col("sensor_types") >= at_least)
     return _sorted(report, "-sensor_types", "name", "id")
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import sys
 import time
+from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
@@ -75,8 +76,9 @@ def compare(spark, con, key, run, sql, folder):
         return len(ours), f"TYPES {types}"
     if ours == theirs:
         return len(ours), None
-    mine, other = [r for r in ours if r not in theirs], [r for r in theirs if r not in ours]
-    return len(ours), f"ROWS {len(ours)}/{len(theirs)}, only Spark {mine[:2]}, only SQL {other[:2]}"
+    mine, other = Counter(ours) - Counter(theirs), Counter(theirs) - Counter(ours)
+    shown = f"only Spark {list(mine)[:2]}, only SQL {list(other)[:2]}"
+    return len(ours), f"ROWS {len(ours)}/{len(theirs)}, {shown}"
 
 
 def main() -> int:
