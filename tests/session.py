@@ -17,6 +17,7 @@ def local_session(cpus: str | None = None) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
