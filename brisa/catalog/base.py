@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brisa.bindings import Model
+from brisa.session import prepare
 
 
 @dataclass(frozen=True)
@@ -49,7 +50,11 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def runner(entry: Entry) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: comparable(entry.run(Model(spark, folder)))
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        prepare(spark, folder)
+        return comparable(entry.run(Model(spark, folder)))
+
+    return run
 
 
 # --- SQL side -----------------------------------------------------------------

@@ -52,8 +52,8 @@ register(
     lambda t: _envelopes(t).select(
         "sensor_id", F.col("page").cast("bigint"), "found", F.col("limit").cast("bigint"),
         F.col("seq.pos").cast("bigint").alias("pos"),
-        F.try_variant_get("record", "$.parameter.name", "string").alias("parameter_name"),
-        F.try_variant_get("record", "$.period.label", "string").alias("label"),
+        F.get_json_object("record", "$.parameter.name").alias("parameter_name"),
+        F.get_json_object("record", "$.period.label").alias("label"),
     ),
     f"""SELECT sensor_id, page, {_FOUND} AS found, CAST(1000 AS BIGINT) AS "limit", pos, parameter_name,
                event_type AS label FROM records""",
@@ -327,7 +327,7 @@ register(
     "quarantine",
     lambda t: flatten.split_good_bad(landing.tagged_records(t))[1].select("event_id", "sensor_id", "reason"),
     """SELECT event_id, sensor_id, CASE part WHEN 1 THEN 'coverage is not an object'
-                                             ELSE 'value does not fit' END AS reason
+                                             ELSE 'value does not fit decimal(15,6)' END AS reason
        FROM records WHERE part IN (1, 5)""",
 )
 

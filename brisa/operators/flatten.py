@@ -1,7 +1,9 @@
 """Nested landing records to relational rows.
 
-A record is one VARIANT: only there can a key that is absent be told from one
-that is present with null. Absent keys take the default, present nulls do not.
+A key that is absent takes its default, a key that is present with null does not.
+Records of the small tables are VARIANTs, which tell the two apart. Measurement
+records stay JSON text: they are read in two parses, one for all values and
+one for the keys, and the text itself is kept as ``raw_data``.
 """
 
 from __future__ import annotations
@@ -89,65 +91,69 @@ def flatten_parameters(raw: DataFrame) -> DataFrame:
     )
 
 
-# A measurement record read at one go. A part that is absent, null or of the wrong
-# kind is NULL in here; the other two views tell these cases apart.
+# A measurement record with every value as it is written. A part that is absent,
+# null or no object is NULL in here.
 _UTC_LOCAL = "struct<utc string, local string>"
-_TYPED = (
-    "struct<value decimal(15,6), parameter struct<id int, name string, units string>, "
-    f"period struct<label string, interval string, datetimeFrom {_UTC_LOCAL}, datetimeTo {_UTC_LOCAL}>, "
-    "coordinates struct<latitude decimal(10,8), longitude decimal(11,8)>, "
-    "coverage struct<expectedCount int, observedCount int, "
-    "percentComplete decimal(5,2), percentCoverage decimal(5,2)>, "
-    "flagInfo struct<hasFlags boolean>>"
-)
-# the same values as they are written, to see which of them a cast loses
 _WRITTEN = (
-    "struct<value string, parameter struct<id string>, "
-    f"period struct<datetimeFrom {_UTC_LOCAL}, datetimeTo {_UTC_LOCAL}>, "
+    "struct<value string, parameter struct<id string, name string, units string>, "
+    f"period struct<label string, interval string, datetimeFrom {_UTC_LOCAL}, datetimeTo {_UTC_LOCAL}>, "
     "coordinates struct<latitude string, longitude string>, "
     "coverage struct<expectedCount string, observedCount string, "
     "percentComplete string, percentCoverage string>, flagInfo struct<hasFlags string>>"
 )
-# the parts themselves, to see which of them are present
-_PARTS = "struct<parameter variant, period variant, coordinates variant, coverage variant, flagInfo variant>"
-_PERIOD_PARTS = "struct<datetimeFrom variant, datetimeTo variant>"
-
-# column -> path in the record
-_PLAIN = {
-    "value": "value",
-    "parameter_id": "parameter.id",
-    "parameter_name": "parameter.name",
-    "parameter_units": "parameter.units",
-    "period_label": "period.label",
-    "period_interval": "period.interval",
-    "coordinates_latitude": "coordinates.latitude",
-    "coordinates_longitude": "coordinates.longitude",
-    "coverage_expected_count": "coverage.expectedCount",
-    "coverage_observed_count": "coverage.observedCount",
-    "coverage_percent_complete": "coverage.percentComplete",
-    "coverage_percent_coverage": "coverage.percentCoverage",
-}
-_TIMES = {
-    "period_from_utc": "period.datetimeFrom.utc",
-    "period_to_utc": "period.datetimeTo.utc",
-    "period_from_local": "period.datetimeFrom.local",
-    "period_to_local": "period.datetimeTo.local",
+_KEYS = "map<string,string>"
+
+# column -> (path in the record, type)
+_MEASUREMENT = {
+    "value": ("value", "decimal(15,6)"),
+    "parameter_id": ("parameter.id", "int"),
+    "parameter_name": ("parameter.name", "string"),
+    "parameter_units": ("parameter.units", "string"),
+    "period_label": ("period.label", "string"),
+    "period_interval": ("period.interval", "string"),
+    "period_from_utc": ("period.datetimeFrom.utc", "timestamp_ntz"),
+    "period_to_utc": ("period.datetimeTo.utc", "timestamp_ntz"),
+    "period_from_local": ("period.datetimeFrom.local", "timestamp_ntz"),
+    "period_to_local": ("period.datetimeTo.local", "timestamp_ntz"),
+    "coordinates_latitude": ("coordinates.latitude", "decimal(10,8)"),
+    "coordinates_longitude": ("coordinates.longitude", "decimal(11,8)"),
+    "coverage_expected_count": ("coverage.expectedCount", "int"),
+    "coverage_observed_count": ("coverage.observedCount", "int"),
+    "coverage_percent_complete": ("coverage.percentComplete", "decimal(5,2)"),
+    "coverage_percent_coverage": ("coverage.percentCoverage", "decimal(5,2)"),
 }
+_FLAG = "flagInfo.hasFlags"
+
+
+def _written(path: str) -> Column:
+    return F.col(f"_written.{path}")
+
+
+def _cast(path: str, type_: str) -> Column:
+    """The written value in its column type, NULL if it does not fit."""
+    text = _written(path)
+    if type_ == "int":
+        return F.round(text.try_cast("decimal(30,6)"), 0).try_cast("int")
+    return text if type_ == "string" else text.try_cast(type_)
+
+
+def _has_key(part: str, key: str) -> Column:
+    """Is the key present in a part, be it with null? Read only where the value is NULL."""
+    return F.map_contains_key(F.from_json(F.col("_keys")[part], _KEYS), key)
 
 
 def parse_measurements(raw: DataFrame) -> DataFrame:
-    """Adds the views ``_typed``, ``_written``, ``_parts`` and ``_period`` of the record.
+    """Adds the views ``_written`` (values) and ``_keys`` (parts as text) of the record.
 
     They come out of a generator of one row: a projection would be merged with the
     filters and columns that use it, and each use would read the record again.
     """
-    if "_typed" in raw.columns:
+    if "_written" in raw.columns:
         return raw
+    if raw.schema[RECORD].dataType.simpleString() == "variant":
+        raw = raw.withColumn(RECORD, F.to_json(RECORD))
     views = F.struct(
-        F.try_variant_get(RECORD, "$", _TYPED).alias("_typed"),
-        F.try_variant_get(RECORD, "$", _WRITTEN).alias("_written"),
-        F.try_variant_get(RECORD, "$", _PARTS).alias("_parts"),
-        F.try_variant_get(RECORD, "$.period", _PERIOD_PARTS).alias("_period"),
+        F.from_json(RECORD, _WRITTEN).alias("_written"), F.from_json(RECORD, _KEYS).alias("_keys")
     )
     return raw.select("*", F.inline(F.array(views)))
 
@@ -159,27 +165,31 @@ def flatten_measurements(raw: DataFrame) -> DataFrame:
     record (see ``tag_context``); they become part of ``raw_data`` as well.
     """
     rows = parse_measurements(raw)
-    times = {name: _ts(F.col(f"_typed.{path}")) for name, path in _TIMES.items()}
-    flag = F.when(F.col("_written.flagInfo.hasFlags").isNotNull(), F.col("_typed.flagInfo.hasFlags"))
+    columns = {name: _cast(path, type_) for name, (path, type_) in _MEASUREMENT.items()}
+    flag = (
+        F.when(_written(_FLAG).isNotNull(), _cast(_FLAG, "boolean"))
+        .when(_has_key("flagInfo", "hasFlags"), F.lit(None))
+        .otherwise(False)
+    )
     return rows.select(
         "sensor_id",
         "location_id",
-        *[F.col(f"_typed.{path}").alias(name) for name, path in _PLAIN.items()],
-        *[column.alias(name) for name, column in times.items()],
+        *[column.alias(name) for name, column in columns.items()],
         F.lit(None).cast("timestamp_ntz").alias("datetime_utc"),
         F.lit(None).cast("timestamp_ntz").alias("datetime_local"),
-        F.when(_part("flagInfo.hasFlags").isNull(), F.lit(False)).otherwise(flag).alias("has_flags"),
+        flag.alias("has_flags"),
         _record_with_context("sensor_id", "location_id", "location_name").alias("raw_data"),
-        F.to_date(times["period_from_utc"]).alias("period_date"),
+        F.to_date(columns["period_from_utc"]).alias("period_date"),
         *_carried(rows),
     )
 
 
 def _record_with_context(*names: str) -> Column:
-    record = F.to_json(F.col(RECORD))
+    """The JSON object of the record with further keys at its end."""
+    record = F.rtrim(RECORD)
     context = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
-    body = F.substring(record, F.lit(1), F.length(record) - 1)
-    joint = F.when(record == "{}", F.lit("")).otherwise(F.lit(","))
+    body = F.rtrim(F.substring(record, F.lit(1), F.length(record) - 1))
+    joint = F.when(F.trim(body) == "{", F.lit("")).otherwise(F.lit(","))
     return F.concat(body, joint, F.substring(context, F.lit(2), F.length(context)))
 
 
@@ -260,25 +270,23 @@ def measurement_reject_reason(rows: DataFrame) -> Column:
     A part that is present must be an object, even if it is null; only no position at
     all is fine. A sensor must be named, and every value must fit its column.
     """
-    typed, written = (lambda p: F.col(f"_typed.{p}")), (lambda p: F.col(f"_written.{p}"))
-    rules = [
-        (F.col(f"_parts.{p}").isNotNull() & typed(p).isNull(), f"{p} is not an object")
-        for p in ("period", "parameter", "coverage", "flagInfo")
-    ]
+    rules = [(F.col("_keys").isNull(), "record is not an object")]
     rules += [
-        (F.col(f"_period.{p}").isNotNull() & typed(f"period.{p}").isNull(), f"period.{p} is not an object")
-        for p in ("datetimeFrom", "datetimeTo")
+        (_written(part).isNull() & F.map_contains_key("_keys", part), f"{part} is not an object")
+        for part in ("period", "parameter", "coverage", "flagInfo")
     ]
-    nothing = F.to_json("_parts.coordinates").isin("null", "false", "0", '""', "[]")
-    rules.append((typed("coordinates").isNull() & ~nothing, "coordinates is not an object"))
-    rules.append((F.col("sensor_id").isNull(), "sensor_id is missing"))
-    checked = [p for p in _PLAIN.values() if p.split(".")[-1] not in ("name", "units", "label", "interval")]
     rules += [
-        (written(p).isNotNull() & typed(p).isNull(), f"{p} does not fit")
-        for p in [*checked, "flagInfo.hasFlags"]
+        (_written(f"period.{end}").isNull() & _has_key("period", end), f"period.{end} is not an object")
+        for end in ("datetimeFrom", "datetimeTo")
     ]
+    position = F.col("_keys")["coordinates"]
+    nothing = position.isin("false", "0", "", "[]")
+    rules.append((_written("coordinates").isNull() & ~nothing, "coordinates is not an object"))
+    rules.append((F.col("sensor_id").isNull(), "sensor_id is missing"))
     rules += [
-        (written(p).isNotNull() & _ts(typed(p)).isNull(), f"{p} is no timestamp") for p in _TIMES.values()
+        (_written(path).isNotNull() & _cast(path, type_).isNull(), f"{path} does not fit {type_}")
+        for path, type_ in [*_MEASUREMENT.values(), (_FLAG, "boolean")]
+        if type_ != "string"
     ]
     return _first_reason(rules)
 

@@ -151,18 +151,18 @@ def _rewrite_days(
     The batch is written first, as it is read twice. The merged days go to a
     staging folder and then replace the stored days; a plan that overwrites
     the folder it reads from would put the stored rows at risk. Rows without a day
-    can meet no stored row and are appended.
+    can meet no stored row and are appended. A first load needs none of this.
     """
     spark: SparkSession = df.sparkSession
+    if not tables.exists(spark, target):
+        first = merge(spark.createDataFrame([], schema), df)
+        first.hint("rebalance", day).write.partitionBy(day).parquet(target)
+        return spark.read.schema(schema).parquet(target)
     landed = scratch_path(spark, "batch")
     df.write.parquet(landed)
     batch = spark.read.schema(df.schema).parquet(landed)
-    dated = batch.where(F.col(day).isNotNull())
-    if tables.exists(spark, target):
-        stored = spark.read.schema(schema).parquet(target)
-    else:
-        stored = spark.createDataFrame([], schema)
-    merged = merge(_touched(stored, batch, day), dated)
+    stored = spark.read.schema(schema).parquet(target)
+    merged = merge(_touched(stored, batch, day), batch.where(F.col(day).isNotNull()))
     staging = scratch_path(spark, "days")
     merged.hint("rebalance", day).write.partitionBy(day).parquet(staging)
     (

@@ -1,4 +1,4 @@
-"""Session helpers: the shared folder, and cutting a plan at a written table."""
+"""Session helpers: settings, the shared folder, and cutting a plan at a written table."""
 
 from __future__ import annotations
 
@@ -8,6 +8,32 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Adaptive execution splits skewed join keys. Forcing it pays a second shuffle where the
+# join's partitioning would else be reused, and one key with a third of all rows would
+# end up in one task.
+ADAPTIVE = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+# compressed input per shuffle partition; the partitions that turn out small are merged
+BYTES_PER_PARTITION = 64 * 1024 * 1024
+MAX_PARTITIONS = 100_000
+
+
+def prepare(spark: SparkSession, folder: str) -> None:
+    """Adaptive execution on, and enough shuffle partitions for the size of the input."""
+    for name, value in ADAPTIVE.items():
+        spark.conf.set(name, value)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    size = files.getContentSummary(path).getLength()
+    needed = min(size // BYTES_PER_PARTITION, MAX_PARTITIONS)
+    partitions = max(needed, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, as the cluster names it.
 

@@ -40,7 +40,7 @@ def incremental_ingest(
             schemas.MEASUREMENT_FIRST, schemas.MEASUREMENT_LAST, ["seq"],
         )
         if rejected is not None:
-            bad.select("sensor_id", F.to_json("record").alias("record"), "reason").write.mode(
+            bad.select("sensor_id", "record", "reason").write.mode(
                 "overwrite"
             ).json(f"{rejected}/batch={batch_id}")
 

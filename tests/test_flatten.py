@@ -22,7 +22,7 @@ GOOD = (
 def records(spark, *texts, sensor=1045):
     rows = [(sensor, 25, "Parque", t) for t in texts]
     df = spark.createDataFrame(rows, "sensor_id INT, location_id INT, location_name STRING, json STRING")
-    return df.withColumn("record", F.parse_json("json")).drop("json")
+    return df.withColumnRenamed("json", "record")
 
 
 def reasons(spark, *texts, **kwargs):
@@ -64,15 +64,30 @@ def test_no_position_is_fine_in_any_form(spark):
 
 def test_values_that_do_not_fit(spark):
     assert reasons(spark, '{"value":"n/a"}', '{"value":1e12}', '{"value":"6.5"}', '{"value":null}') == [
-        "value does not fit", "value does not fit", None, None,
+        "value does not fit decimal(15,6)", "value does not fit decimal(15,6)", None, None,
     ]
     assert reasons(spark, '{"coordinates":{"latitude":123.45,"longitude":1}}') == [
-        "coordinates.latitude does not fit"
+        "coordinates.latitude does not fit decimal(10,8)"
     ]
     assert reasons(spark, '{"period":{"datetimeFrom":{"utc":"yesterday"}}}') == [
-        "period.datetimeFrom.utc is no timestamp"
+        "period.datetimeFrom.utc does not fit timestamp_ntz"
     ]
-    assert reasons(spark, '{"flagInfo":{"hasFlags":"maybe"}}') == ["flagInfo.hasFlags does not fit"]
+    assert reasons(spark, '{"flagInfo":{"hasFlags":"maybe"}}') == ["flagInfo.hasFlags does not fit boolean"]
+
+
+def test_counts_may_be_written_as_numbers_or_text(spark):
+    raw = records(spark, '{"coverage":{"expectedCount":"7","observedCount":6.0}}')
+    row = flatten.flatten_measurements(flatten.split_good_bad(raw)[0]).first()
+    assert (row.coverage_expected_count, row.coverage_observed_count) == (7, 6)
+
+
+def test_records_that_are_no_objects(spark):
+    assert reasons(spark, "[1]", '"text"', "7", "{broken") == ["record is not an object"] * 4
+
+
+def test_variant_records_are_taken_too(spark):
+    raw = records(spark, "{" + GOOD + "}").withColumn("record", F.parse_json("record"))
+    assert flatten.flatten_measurements(raw).first().value == Decimal("7.5")
 
 
 def test_missing_sensor(spark):
