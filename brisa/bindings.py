@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # "Now" for the reports on events and on orders.
 MEASUREMENTS_AS_OF = "2024-01-31 00:00:00"
@@ -31,6 +32,9 @@ def _longitude(key: str) -> Column:
     return (F.lit(-76) + (F.col(key) * 104729 % 900) / 100.0).cast("decimal(11,8)")
 
 
+_schemas: dict[str, T.StructType] = {}
+
+
 class Model:
     """Model tables over one folder of Parquet files."""
 
@@ -42,7 +46,11 @@ class Model:
         return f"{self.folder}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A given table. Its schema is read from a file footer once per process."""
+        path = self.path(name)
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def measurements(
         self, since: date | str | None = None, parameters: tuple[str, ...] | None = None

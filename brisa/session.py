@@ -34,6 +34,9 @@ def prepare(spark: SparkSession, folder: str) -> None:
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
 
 
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, as the cluster names it.
 
@@ -42,11 +45,12 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="brisa-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if context.applicationId not in _own_folders:
+        _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="brisa-")
+    return _own_folders[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
