@@ -194,8 +194,12 @@ def _record_with_context(*names: str) -> Column:
 
 
 def _carried(raw: DataFrame) -> list[Column]:
-    """The arrival order goes along, because keyed loads need it."""
-    return [F.col("seq")] if "seq" in raw.columns else []
+    """The arrival order goes along, because keyed loads need it, and so does a reject reason."""
+    carried = [F.col("seq")] if "seq" in raw.columns else []
+    if "reason" in raw.columns:
+        rejected = F.when(F.col("reason").isNotNull(), F.col(RECORD))
+        carried += [F.col("reason"), rejected.alias("rejected_record")]
+    return carried
 
 
 def flatten_posts(raw: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brisa.operators.ordering import latest_per_key, with_null_key_id
-from brisa.session import scratch_path
+from brisa.session import as_written_table, scratch_path
 from brisa.sources import tables
 
 # A load that touches more days than this finds them by a join instead of a list.
@@ -144,7 +144,7 @@ def _touched(stored: DataFrame, batch: DataFrame, day: str) -> DataFrame:
 
 def _rewrite_days(
     target: str, df: DataFrame, day: str, schema: T.StructType,
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    merge: Callable[[DataFrame, DataFrame], DataFrame], written: bool = False,
 ) -> DataFrame:
     """Merge a batch into the days that it touches.
 
@@ -158,9 +158,7 @@ def _rewrite_days(
         first = merge(spark.createDataFrame([], schema), df)
         first.hint("rebalance", day).write.partitionBy(day).parquet(target)
         return spark.read.schema(schema).parquet(target)
-    landed = scratch_path(spark, "batch")
-    df.write.parquet(landed)
-    batch = spark.read.schema(df.schema).parquet(landed)
+    batch = df if written else as_written_table(df, "batch")
     stored = spark.read.schema(schema).parquet(target)
     merged = merge(_touched(stored, batch, day), batch.where(F.col(day).isNotNull()))
     staging = scratch_path(spark, "days")
@@ -186,10 +184,12 @@ def upsert_partial(
     last_cols: Sequence[str],
     seq: Sequence[str],
     day: str = "period_date",
+    written: bool = False,
 ) -> DataFrame:
     """Insert, or update only ``last_cols``; ``first_cols`` stay as they first arrived.
 
     The key must decide the day, so that a key never moves to another partition.
+    ``written`` tells that the batch is a table already and cheap to read twice.
     """
     columns = [*key, *first_cols, *last_cols, day]
     schema = T.StructType([df.schema[c] for c in columns])
@@ -198,7 +198,7 @@ def upsert_partial(
         both = _generations(old.select(columns), new.select(*columns, *seq), seq)
         return reduce_first_last(both, key, [*first_cols, day], last_cols, ["_gen", *seq])
 
-    return _rewrite_days(target, df.select(*columns, *seq), day, schema, merge)
+    return _rewrite_days(target, df.select(*columns, *seq), day, schema, merge, written)
 
 
 def day_replace(target: str, df: DataFrame, key: Sequence[str], day: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brisa.functions import labels
@@ -79,6 +80,14 @@ def v_iso_codes(countries: DataFrame, defaults: Sequence[str] = DEFAULT_CODES) -
     return sort_multi(known.unionAll(backup.where(unused)), "code")
 
 
+def iso_codes_to_ask(spark: SparkSession, read: Callable[[], DataFrame]) -> DataFrame:
+    """Codes of the countries table that ``read`` opens; a short list if it cannot be read."""
+    try:
+        return v_iso_codes(read())
+    except AnalysisException:
+        return spark.createDataFrame([(c,) for c in FALLBACK_CODES], "code STRING")
+
+
 def v_locality_sensors(
     locations: DataFrame, country_code: str, pattern: str, columns: Sequence[str] = ("locality",)
 ) -> DataFrame:

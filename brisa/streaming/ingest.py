@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brisa import schemas
-from brisa.operators.flatten import flatten_measurements, split_good_bad
+from brisa.operators.flatten import flatten_measurements, with_reject_reason
 from brisa.operators.loads import replace_partition, stamp, upsert_partial
+from brisa.session import as_written_table
 from brisa.sources.files import explode_envelopes, tag_context
 
 MEASUREMENT = schemas.TABLES["measurements"]
@@ -33,14 +34,16 @@ def incremental_ingest(
     records = tag_context(explode_envelopes(pages), sensors)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_good_bad(batch)
-        rows = stamp(flatten_measurements(good), as_of)
+        # parsed once; the rows to load and those to set aside are read back
+        parsed = flatten_measurements(with_reject_reason(batch))
+        rows = as_written_table(stamp(parsed, as_of), "batch")
         upsert_partial(
-            target, rows, MEASUREMENT.key,
-            schemas.MEASUREMENT_FIRST, schemas.MEASUREMENT_LAST, ["seq"],
+            target, rows.where(F.col("reason").isNull()), MEASUREMENT.key,
+            schemas.MEASUREMENT_FIRST, schemas.MEASUREMENT_LAST, ["seq"], written=True,
         )
         if rejected is not None:
-            bad.select("sensor_id", "record", "reason").write.mode(
+            bad = rows.where(F.col("reason").isNotNull())
+            bad.select("sensor_id", F.col("rejected_record").alias("record"), "reason").write.mode(
                 "overwrite"
             ).json(f"{rejected}/batch={batch_id}")
 

@@ -196,6 +196,19 @@ def test_default_codes_of_an_empty_table(spark):
     assert [r.code for r in quality.v_iso_codes(some).collect()] == ["CL"]
 
 
+def test_short_list_if_the_table_cannot_be_read(spark):
+    codes = quality.iso_codes_to_ask(spark, lambda: spark.read.parquet("/nowhere/countries"))
+    assert [r.code for r in codes.collect()] == list(quality.FALLBACK_CODES)
+
+
+def test_totals_of_chosen_sensors(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (3,)], "sensor_id INT")
+    counts = quality.v_total_by_sensor(df, "sensor_id", [1, 2, 9])
+    assert [tuple(r) for r in counts.collect()] == [(1, 2), (2, 1)]
+    assert quality.grand_total(counts).first().total == 3
+    assert quality.grand_total(counts.limit(0)).first().total == 0
+
+
 def test_validation_fails_on_an_empty_table(spark):
     c = country(spark, (1, "CL", "c", 1, 1))
     loc = spark.createDataFrame([("CL",)], "country_code STRING")
