@@ -1,4 +1,8 @@
-"""Keyed loads. Each one can be run again with the same batch without harm."""
+"""Keyed loads.
+
+Running one again with the same batch changes nothing, but for rows with NULL in
+the key: these equal no stored row, so an upsert inserts them each time.
+"""
 
 from __future__ import annotations
 
