@@ -7,7 +7,8 @@ at most H segments, so m - H segments of two similar sets agree. With m = H + 1
 may leave out up to x of its segments: the empty ones, and those whose content is frequent.
 
 1. The content of each segment of each set is a signature (a sum of hashes). Sets that share one are candidates. Small
-   groups give all their pairs, eight sets at most; of a frequent signature every set is a candidate of one chosen set only.
+   groups give all their pairs, sixteen sets at most; of a frequent signature every set is a candidate of one set only,
+   the one that has most frequent signatures.
 2. Candidates are verified on their texts, first one partner for each set, then those that are in different
    components. Now a frequent signature whose sets are all in one component is settled.
 3. A set that has left out more than x segments, by what is empty and what is still open, allocates the rest at
@@ -45,11 +46,13 @@ WORDS = 5
 # both differ in a ninth of the sum of their sizes at most.
 PERCENT = 80
 
-SMALL_GROUP = 8
-REMEMBERED_WORDS = 300_000
+SMALL_GROUP = 16
+SPARE = 0.04  # part of the segments that a set should be able to leave out as frequent
+BLOCK = 1 << 20  # bytes of a text that are hashed at once
 HELD_ENTRIES = 1_000_000
 BUCKET_BYTES = 4 * 1024 * 1024  # of input for one bucket of signatures
-VERIFIED_AT_ONCE = 64  # candidates of one set that a task compares
+VERIFIED_AT_ONCE = 64  # candidates of one set that meet it together
+PAIRS_PER_TASK = 2000
 
 U64 = np.uint64
 ID_BITS = U64(0xFFFFFFFFFFFF)
@@ -60,36 +63,66 @@ FULL, DELETED = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
 # --- sets ---------------------------------------------------------------------
 
 
-class Hasher(dict):
-    """64-bit hash of a word, remembered."""
+BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * STEP)
+FACTOR = 0xD6E8FEB86659FD93
+BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
 
-    def shingles(self, words: list[bytes]) -> np.ndarray:
-        """Different shingles of a text as hashes, in order; a text of fewer words is one shingle."""
-        if not words:
-            return np.zeros(0, dtype=np.uint64)
-        w = np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-        n = max(1, len(w) - WORDS + 1)
-        width = min(WORDS, len(w))
-        h = np.full(n, U64(width))
-        with np.errstate(over="ignore"):
-            for j in range(width):
-                h = h * U64(0xD6E8FEB86659FD93) + w[j : j + n]
-        return np.unique(mix(h))
-
-
-def words_of(text: bytes) -> list[bytes]:
-    return text.lower().split()
+@cache
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the factor, and of its inverse, modulo 2**64."""
+    up, down = np.full(size, U64(FACTOR)), np.full(size, U64(pow(FACTOR, -1, 2**64)))
+    up[0] = down[0] = 1
+    return np.cumprod(up), np.cumprod(down)
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hash of each word, in order: a polynomial in the codes of its bytes, by differences of running sums."""
+    text = text.lower()
+    if len(text) > BLOCK:
+        parts, at = [], 0
+        while at < len(text):  # blocks end behind a blank
+            end = min(at + BLOCK, len(text))
+            while end < len(text) and not BLANK[text[end - 1]]:
+                end += 1
+            parts.append(_word_hashes(text[at:end]))
+            at = end
+        return np.concatenate(parts)
+    return _word_hashes(text)
+
+
+def _word_hashes(text: bytes) -> np.ndarray:
+    data = np.frombuffer(text, dtype=np.uint8)
+    edges = np.flatnonzero(np.diff(np.r_[True, BLANK[data], True].view(np.int8)))
+    start, end = edges[::2], edges[1::2]
+    up, down = powers(1 << max(16, len(data).bit_length()))
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(BYTE_CODES[data] * up[: len(data)], out=sums[1:])
+        return mix((sums[end] - sums[start]) * down[start])
 
 
-def node_of(words: list[bytes]) -> bytes:
+def shingles(w: np.ndarray) -> np.ndarray:
+    """Different shingles of the words as hashes, in order; a text of fewer words is one shingle."""
+    if not len(w):
+        return w
+    n, width = max(1, len(w) - WORDS + 1), min(WORDS, len(w))
+    with np.errstate(over="ignore"):
+        h = w[:n] + U64(width)
+        for j in range(1, width):
+            h *= U64(FACTOR)
+            h += w[j : j + n]
+    h = mix(h)
+    h.sort()
+    new = np.empty(n, dtype=bool)
+    new[0] = True
+    np.not_equal(h[1:], h[:-1], out=new[1:])
+    return h if new.all() else h[new]
+
+
+def node_of(w: np.ndarray) -> bytes:
     """Identity of a text: 128 bits of its words in order."""
-    return xxhash.xxh3_128_digest(b" ".join(words))
+    return xxhash.xxh3_128_digest(w.tobytes())
 
 
 def short(node: bytes) -> int:
@@ -115,15 +148,11 @@ def band(first: int) -> tuple[int, int, int]:
     starts = band_starts(first)
     last = starts[bisect_right(starts, first)] - 1
     most = (last + last * 5 // 4) // 9
-    best, m = np.inf, most + 1
-    for x in range(0, most + 3):
-        segments = most + 1 + x
-        empty = segments * (1 - 1 / segments) ** first if segments > 1 else 0.0
-        risk = (empty - x) / np.sqrt(empty + 0.25)  # of more empty segments than may be left out
-        if risk < -3.5:
-            return last, most, segments
-        if risk < best - 0.05:
-            best, m = risk, segments
+    # as few segments as leave, in all but a few of a thousand sets, more than enough that are not empty
+    for m in range(most + 1, 3 * last + 3):
+        empty = m * (1 - 1 / m) ** first
+        if most == 0 or m - empty - 3 * np.sqrt(empty * (1 - empty / m)) - SPARE * m >= most + 1:
+            break
     return last, most, m
 
 
@@ -140,14 +169,23 @@ def bands_of(size: int) -> tuple[int, ...]:
     return tuple(s for i, s in enumerate(starts[:-1]) if s <= size and starts[i + 1] - 1 >= low)
 
 
-def segments(h: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers of the segments that are not empty, where each begins in the ordered hashes, and its signature's sum."""
+def most_apart(size: int, first: int) -> int:
+    """Largest difference of a set of this size from any set that it is similar to, in a band that it takes part in."""
+    last = band(first)[0]
+    return (size + (size * 5 // 4 if size <= last else last)) // 9
+
+
+def segments(h: np.ndarray, terms: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the segments that are not empty, where each begins in the ordered hashes, and the sum of its terms."""
     m = band(first)[2]
     k = ((h >> U64(32)) * U64(m)) >> U64(32)
     starts = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-    with np.errstate(over="ignore"):
-        sums = np.add.reduceat(mix(h ^ STEP), starts)
-    return k[starts], starts, sums
+    return k[starts], starts, np.add.reduceat(terms, starts)
+
+
+def terms_of(h: np.ndarray) -> np.ndarray:
+    """What each shingle adds to its segment's signature."""
+    return mix(h ^ STEP)
 
 
 def signature(k: np.ndarray, sums: np.ndarray, first: int) -> np.ndarray:
@@ -176,7 +214,7 @@ def bucket_count(docs: DataFrame) -> int:
 
 
 class Packer:
-    """Entries (signature, id) gathered and sent as one row for each bucket."""
+    """Entries of a signature and a payload of fixed width, gathered and sent as one row for each bucket."""
 
     schema = pa.schema([("bucket", pa.int32()), ("signatures", pa.binary()), ("ids", pa.binary())])
     columns = "bucket int, signatures binary, ids binary"
@@ -184,27 +222,36 @@ class Packer:
     def __init__(self, buckets: int):
         self.buckets, self.held, self.n = buckets, [], 0
 
-    def add(self, signatures: np.ndarray, ids: np.ndarray) -> None:
-        self.held.append((signatures, ids))
+    def add(self, signatures: np.ndarray, payload: bytes) -> None:
+        """The same payload for all signatures of a set."""
+        self.held.append((signatures, payload))
         self.n += len(signatures)
 
     def flush(self) -> pa.RecordBatch:
         sig = np.concatenate([s for s, _ in self.held])
-        ids = np.concatenate([i for _, i in self.held])
+        payload = np.repeat(
+            np.frombuffer(b"".join(p for _, p in self.held), dtype=np.uint8).reshape(len(self.held), -1),
+            [len(s) for s, _ in self.held], axis=0,
+        )
         self.held, self.n = [], 0
         # the bucket comes from the bits that the packed signature does not have
         bucket = ((sig >> U64(32)) % U64(self.buckets)).astype(np.int64)
-        rest = sig & ID_BITS
         order = np.argsort(bucket, kind="stable")
         found, starts = np.unique(bucket[order], return_index=True)
-        parts = np.split(order, starts[1:])
+        rest, payload = (sig & ID_BITS)[order], payload[order]
+        ends = np.r_[starts[1:], len(sig)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(found, pa.int32()), pa.array([six(rest[p]) for p in parts], pa.binary()),
-             pa.array([six(ids[p]) for p in parts], pa.binary())],
+            [pa.array(found, pa.int32()),
+             pa.array([six(rest[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary()),
+             pa.array([payload[a:b].tobytes() for a, b in zip(starts, ends, strict=True)], pa.binary())],
             schema=self.schema,
         )
 
 
+def id_bytes(me: int) -> bytes:
+    return me.to_bytes(6, "little")
+
+
 def grouped(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Different entries of a bucket in order of signature, and where each signature begins; its single ones are dropped."""
     sig = from_six(b"".join(rows["signatures"]))
@@ -247,13 +294,12 @@ def sets(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher()
         for batch in batches:
             nodes, n = [], []
             for text in batch.column(1):
-                words = words_of(text.as_py())
-                nodes.append(node_of(words) if words else None)
-                n.append(len(hasher.shingles(words)))
+                w = word_hashes(text.as_py())
+                nodes.append(node_of(w) if len(w) else None)
+                n.append(len(shingles(w)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(nodes, pa.binary()), pa.array(n, pa.int64())], ["doc_id", "node", "n_shingles"]
             )
@@ -262,37 +308,37 @@ def sets(docs: DataFrame) -> DataFrame:
 
 
 def signatures(docs: DataFrame, buckets: int) -> DataFrame:
-    """Packed signatures of all bands of all sets. Bucket below 0: sets with more empty segments than may be left out."""
+    """Packed signatures of all bands of all sets. Buckets below 0 hold facts about sets, four numbers for each:
+    id, size, segments in its own band that are not empty, and how many of its segments it can leave out in any band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, packer, seen, weak = Hasher(), Packer(buckets), set(), []
+        packer, seen, facts = Packer(buckets), set(), []
 
         def flush() -> Iterator[pa.RecordBatch]:
             seen.clear()
-            if packer.n:
+            if facts:
                 yield packer.flush()
-            if weak:
-                ids = np.array(sorted(set(weak)), dtype="<u8")
-                weak.clear()
-                bucket = -1 - int(ids[0]) % buckets
+                table = np.array(facts, dtype="<i8")
+                facts.clear()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket], pa.int32()), pa.array([b""], pa.binary()), pa.array([six(ids)], pa.binary())],
+                    [pa.array([-1 - int(table[0, 0]) % buckets], pa.int32()), pa.array([b""], pa.binary()), pa.array([table.tobytes()], pa.binary())],
                     schema=Packer.schema,
                 )
 
         for batch in batches:
             for text in batch.column(0):
-                words = words_of(text.as_py())
-                if not words or (node := node_of(words)) in seen:
+                w = word_hashes(text.as_py())
+                if not len(w) or (node := node_of(w)) in seen:
                     continue
                 seen.add(node)
-                me, h = short(node), hasher.shingles(words)
+                me, h = short(node), shingles(w)
+                terms = terms_of(h)
+                spare = []
                 for first in bands_of(len(h)):
-                    _, most, m = band(first)
-                    k, _, sums = segments(h, first)
-                    packer.add(signature(k, sums, first), np.full(len(k), me, dtype="<u8"))
-                    if m - len(k) > m - most - 1:
-                        weak.append(me)
+                    k, _, sums = segments(h, terms, first)
+                    packer.add(signature(k, sums, first), id_bytes(me))
+                    spare.append(len(k) - most_apart(len(h), first) - 1)
+                facts.append((me, len(h), len(k), min(spare)))  # the own band is the last one
                 if packer.n > HELD_ENTRIES:
                     yield from flush()
         yield from flush()
@@ -300,95 +346,91 @@ def signatures(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select(text_bytes().alias("text")).mapInArrow(run, Packer.columns)
 
 
-CANDIDATES = "kind string, a long, b long, n long"
+CANDIDATES = "kind string, a long, b long, n long, spare long"
 
 
 def candidates(entries: DataFrame) -> DataFrame:
-    """kind, a, b, n: "pair" of two sets and the signatures they share in this bucket; "open" for the sets b of a
-    frequent signature a; "weak" for a set b."""
+    """kind, a, b, n, spare: "pair" of two sets and the signatures they share in this bucket; "open" for the sets b of a
+    frequent signature a; "fact" for a set a, its size b, its segments n and the segments it can spare."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         if rows["bucket"].iloc[0] < 0:
-            ids = np.unique(from_six(b"".join(rows["ids"]))).astype(np.int64)
-            return pd.DataFrame({"kind": "weak", "a": np.int64(0), "b": ids, "n": np.int64(1)})
+            facts = np.frombuffer(b"".join(rows["ids"]), dtype="<i8").reshape(-1, 4)
+            return pd.DataFrame({"kind": "fact", "a": facts[:, 0], "b": facts[:, 1], "n": facts[:, 2], "spare": facts[:, 3]})
         sig, ids, starts = grouped(rows)
         sizes = np.diff(np.r_[starts, len(sig)])
         small = sizes <= SMALL_GROUP
         a, b = pairs_of(ids, starts[small], sizes[small])
-        # of a large group each set meets one set, chosen alike for signatures that share two bits
         large = np.repeat(~small, sizes)
         big_sig, big_ids = sig[large], ids[large]
-        rank = mix(big_ids + STEP * (big_sig & U64(3)))
-        order = np.lexsort((rank, big_sig))
-        big_sig, big_ids = big_sig[order], big_ids[order]
-        begin = np.flatnonzero(np.r_[True, big_sig[1:] != big_sig[:-1]]) if len(big_sig) else np.zeros(0, dtype=np.int64)
-        hub = np.repeat(big_ids[begin], np.diff(np.r_[begin, len(big_sig)]))
-        other = hub != big_ids
-        a, b = np.concatenate([a, hub[other]]), np.concatenate([b, big_ids[other]])
         pair = np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1).astype(np.int64)
         pair, n = np.unique(pair, axis=0, return_counts=True) if len(pair) else (pair, np.zeros(0, dtype=np.int64))
         named = name(big_sig, np.full(len(big_sig), rows["bucket"].iloc[0], dtype=np.uint64)).astype(np.int64)
         return pd.DataFrame({
             "kind": ["pair"] * len(pair) + ["open"] * len(big_ids),
             "a": np.concatenate([pair[:, 0], named]), "b": np.concatenate([pair[:, 1], big_ids.astype(np.int64)]),
-            "n": np.concatenate([n, np.ones(len(big_ids), dtype=np.int64)]),
+            "n": np.concatenate([n, np.ones(len(big_ids), dtype=np.int64)]), "spare": np.int64(0),
         })
 
     return entries.groupBy("bucket").applyInPandas(run, CANDIDATES)
 
 
 def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, node, text of the sets with these ids, each once: the words in order, compressed."""
+    """id, node, text of the sets with these ids, each once; the text is compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze, seen = zstandard.ZstdCompressor(level=3), set()
         for batch in batches:
             found: dict[bytes, bytes] = {}
             for text in batch.column(0):
-                words = words_of(text.as_py())
-                if words and (node := node_of(words)) not in seen:
+                data = text.as_py()
+                w = word_hashes(data)
+                if len(w) and (node := node_of(w)) not in seen:
                     seen.add(node)
-                    found[node] = squeeze.compress(b" ".join(words))
+                    found[node] = squeeze.compress(data)
             if len(seen) > HELD_ENTRIES:
                 seen.clear()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([short(n) for n in found], pa.int64()), pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())],
-                ["id", "node", "words"],
+                ["id", "node", "packed"],
             )
 
-    rows = docs.select(text_bytes().alias("text")).mapInArrow(run, "id long, node binary, words binary")
+    rows = docs.select(text_bytes().alias("text")).mapInArrow(run, "id long, node binary, packed binary")
     return rows.join(ids, "id", "left_semi").dropDuplicates(["id", "node"])
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b: nodes of the pairs (columns a, b: ids) that are similar.
+    """a, b: nodes of the pairs (columns a, b: ids, written) that are similar.
 
-    A set's candidates go to it in groups of bounded size, so that a set with many of them is many tasks' work.
+    A set meets its candidates in parts of bounded size, so that a set with many of them is many tasks' work. Each
+    text is asked for by all parts that need it in one join.
     """
+    tasks = max(4 * int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs.count() // PAIRS_PER_TASK)
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / VERIFIED_AT_ONCE).cast("int").alias("parts"))
-    dealt = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"))
-    hubs = many.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    own = hubs.join(texts, F.col("a") == F.col("id")).select("a", "part", F.lit(True).alias("hub"), "node", "words")
-    other = dealt.join(texts, F.col("b") == F.col("id")).select("a", "part", F.lit(False).alias("hub"), "node", "words")
+    part = F.pmod(F.xxhash64("b"), "parts").cast("int")
+    other = pairs.join(many, "a").select(F.col("b").alias("id"), "a", part.alias("part"), F.lit(False).alias("hub"))
+    own = many.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("hub"))
+    asked = own.union(other).withColumn("task", F.pmod(F.xxhash64("a", "part"), F.lit(tasks)).cast("int"))
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        hasher, open_up = Hasher(), zstandard.ZstdDecompressor()
-        hub = rows["hub"].to_numpy(dtype=bool)
-
-        def load(row) -> np.ndarray:
-            return hasher.shingles(open_up.decompress(row.words).split())
-
+        open_up = zstandard.ZstdDecompressor()
         left, right = [], []
-        mine = [(r.node, load(r)) for r in rows[hub].itertuples()]
-        for r in rows[~hub].itertuples():
-            theirs = load(r)
-            for node, h in mine:
-                if node != r.node and similar(h, theirs):
+        rows = rows.sort_values(["a", "part", "hub"], ascending=False)
+        at, mine = None, []
+        for r in rows.itertuples():
+            if at != (r.a, r.part):
+                at, mine = (r.a, r.part), []
+            h = shingles(word_hashes(open_up.decompress(r.packed)))
+            if r.hub:
+                mine.append((r.node, h))
+                continue
+            for node, hub in mine:
+                if node != r.node and similar(hub, h):
                     left.append(node)
                     right.append(r.node)
         return pd.DataFrame({"a": left, "b": right})
 
-    return own.union(other).groupBy("a", "part").applyInPandas(compare, "a binary, b binary")
+    return asked.join(texts, "id").groupBy("task").applyInPandas(compare, "a binary, b binary")
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -398,29 +440,60 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * shared >= PERCENT * (len(x) + len(y) - shared)
 
 
-def second_signatures(rest: DataFrame, texts: DataFrame, buckets: int) -> DataFrame:
-    """Packed entries of the sets (column id) that have left out too many segments.
+def lone_shingles(texts: DataFrame, buckets: int) -> DataFrame:
+    """id, lone: the shingles of each text that no other of these texts has."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, open_up = Packer(buckets), zstandard.ZstdDecompressor()
+        for batch in batches:
+            for me, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                packer.add(shingles(word_hashes(open_up.decompress(packed))), id_bytes(me))
+                if packer.n > HELD_ENTRIES:
+                    yield packer.flush()
+        if packer.n:
+            yield packer.flush()
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        sig, ids = from_six(b"".join(rows["signatures"])), from_six(b"".join(rows["ids"]))
+        order = np.argsort(sig)
+        sig, ids = sig[order], ids[order]
+        same = sig[1:] == sig[:-1]
+        found, n = np.unique(ids[~(np.r_[False, same] | np.r_[same, False])], return_counts=True)
+        return pd.DataFrame({"id": found.astype(np.int64), "lone": n})
 
-    ``rest`` has their open signatures. The lowest bit of an entry's id tells a probe (1) from an index entry (0);
-    sets that stay short of segments are both under their open signatures.
+    packed = texts.select("id", "packed").mapInArrow(send, Packer.columns)
+    return packed.groupBy("bucket").applyInPandas(count, "id long, lone long").groupBy("id").agg(F.sum("lone").alias("lone"))
+
+
+SECOND = np.dtype([("id", "<i8"), ("root", "<i8"), ("size", "<i4"), ("common", "<i4"), ("role", "<i4")])
+
+
+def second_signatures(asked: DataFrame, buckets: int) -> DataFrame:
+    """Packed entries of the sets that have left out too many segments.
+
+    Reads id, packed, root, lone and the names of the open signatures. Sets that stay short of
+    segments are both probe and index entry under their open signatures. A set with
+    so many shingles of its own that it is similar to none of the others gives none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, packer, open_up = Hasher(), Packer(buckets), zstandard.ZstdDecompressor()
+        packer, open_up = Packer(buckets), zstandard.ZstdDecompressor()
         for batch in batches:
-            for me, words, opened in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                h = hasher.shingles(open_up.decompress(words).split())
-                closed_to = np.array(opened, dtype=np.int64).astype("<u8")
+            for me, packed, root, lone, opened in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                h = shingles(word_hashes(open_up.decompress(packed)))
+                common = len(h) - lone
+                if 100 * common < PERCENT * len(h):
+                    continue
+                names = np.array(opened, dtype=np.int64).astype("<u8")
                 for first in bands_of(len(h)):
-                    for sig, role in allocate(h, first, closed_to, buckets):
-                        packer.add(sig, np.full(len(sig), me * 2 + role, dtype="<u8"))
+                    for sig, role in allocate(h, first, names, buckets):
+                        packer.add(sig, np.array((me, root, len(h), common, role), dtype=SECOND).tobytes())
                 if packer.n > HELD_ENTRIES:
                     yield packer.flush()
         if packer.n:
             yield packer.flush()
 
-    rows = texts.join(rest, "id").select("id", "words", "opened")
-    return rows.mapInArrow(run, Packer.columns)
+    return asked.select("id", "packed", "root", "lone", "opened").mapInArrow(run, Packer.columns)
 
 
 PROBE, INDEX = 1, 0
@@ -438,18 +511,19 @@ def name_of(sig: np.ndarray, buckets: int) -> np.ndarray:
 
 def allocate(h: np.ndarray, first: int, opened: np.ndarray, buckets: int) -> list[tuple[np.ndarray, int]]:
     """Entries of one set in one band; none if it has enough segments that are neither empty nor open."""
-    _, most, m = band(first)
-    k, starts, sums = segments(h, first)
+    m = band(first)[2]
+    terms = terms_of(h)
+    k, starts, sums = segments(h, terms, first)
     sig = signature(k, sums, first)
     heavy = np.isin(name_of(sig, buckets), opened)
     usable = len(k) - int(heavy.sum())
-    lack = most + 1 - usable
+    lack = most_apart(len(h), first) + 1 - usable
     if lack <= 0:
         return []
     sizes = np.diff(np.r_[starts, len(h)])
     # one-deletion neighbours of all segments
     with np.errstate(over="ignore"):
-        less = np.repeat(sums, sizes) - mix(h ^ STEP)
+        less = np.repeat(sums, sizes) - terms
     segment = np.repeat(k, sizes)
     less = signature(segment, less, first)
     out = [(mix(sig ^ FULL), INDEX), (mix(less ^ DELETED), INDEX)]
@@ -468,20 +542,38 @@ def allocate(h: np.ndarray, first: int, opened: np.ndarray, buckets: int) -> lis
 
 
 def second_candidates(entries: DataFrame) -> DataFrame:
-    """a, b: a probing and an indexed set with a signature in common, different sets."""
+    """a, b: a probing and an indexed set with a signature in common that may be similar, in different components.
+
+    The shingles that only one of the sets has bound what two sets can share; most sets drop out by this bound
+    before they meet any other.
+    """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        _, ids, starts = grouped(rows)
-        left, right = [], []
-        for group in np.split(ids, starts[1:]) if len(ids) else ():
-            probe = (group & U64(1)) == U64(1)
-            asking, held = group[probe] >> U64(1), group[~probe] >> U64(1)
-            if len(asking) and len(held):
-                left.append(np.repeat(asking, len(held)))
-                right.append(np.tile(held, len(asking)))
-        none = np.zeros(0, dtype="<u8")
-        a, b = np.concatenate([none, *left]).astype(np.int64), np.concatenate([none, *right]).astype(np.int64)
-        pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)[a != b], axis=0)
+        sig = from_six(b"".join(rows["signatures"]))
+        sets = np.frombuffer(b"".join(rows["ids"]), dtype=SECOND)
+        order = np.argsort(sig, kind="stable")
+        sig, sets = sig[order], sets[order]
+        starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+        found: set[tuple[int, int]] = set()
+        for start, end in zip(starts, np.r_[starts[1:], len(sig)], strict=True):
+            if end - start < 2:
+                continue
+            group = np.unique(sets[start:end])
+            while len(group):
+                size, common = group["size"].astype(np.int64), group["common"].astype(np.int64)
+                possible = 9 * common >= 4 * (size + np.maximum(size.min(), -(-4 * size // 5)))
+                if possible.all():
+                    break
+                group = group[possible]
+            if len(group) < 2 or (group["root"] == group["root"][0]).all():
+                continue
+            held = group[group["role"] == INDEX]
+            for x in group[group["role"] == PROBE]:
+                y = held[held["root"] != x["root"]]
+                size, common = y["size"].astype(np.int64), np.minimum(y["common"], x["common"]).astype(np.int64)
+                y = y[9 * common >= 4 * (size + int(x["size"]))]
+                found.update((min(int(x["id"]), i), max(int(x["id"]), i)) for i in y["id"].tolist())
+        pair = np.array(sorted(found), dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pair[:, 0], "b": pair[:, 1]})
 
     return entries.groupBy("bucket").applyInPandas(run, "a long, b long")
@@ -498,12 +590,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = bucket_count(docs)
     rows = as_written_table(sets(docs), "sets")
     found = as_written_table(candidates(signatures(docs, buckets)), "candidates")
-    pairs = as_written_table(
-        found.where("kind = 'pair'").groupBy("a", "b").agg(F.sum("n").alias("n")), "pairs"
-    )
     opened = found.where("kind = 'open'").select(F.col("a").alias("signature"), F.col("b").alias("id"))
-    weak = found.where("kind = 'weak'").select(F.col("b").alias("id")).distinct()
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(weak).distinct()
+    facts = as_written_table(_facts(found, opened), "facts")
+    pairs = found.where("kind = 'pair'").select("a", "b", "n").union(_centred(opened, facts))
+    pairs = as_written_table(_possible(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), facts), "pairs")
+    unsure = facts.where("heavy > spare").select("id")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(unsure).distinct()
     texts = as_written_table(texts_of(docs, wanted), "texts")
     numbers = as_written_table(texts.select("id", "node").withColumn("number", F.monotonically_increasing_id()), "numbers")
 
@@ -512,29 +604,68 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = both.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a"))
     first = as_written_table(first.select("a", "b"), "pairs")
     mutual = first.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a > b")
-    links = _numbered(verify(first.join(mutual, ["a", "b"], "left_anti"), texts), numbers)
+    links = _numbered(verify(as_written_table(first.join(mutual, ["a", "b"], "left_anti"), "pairs"), texts), numbers)
     roots = as_written_table(_roots(links, numbers), "roots")
     # the others, as far as this has not joined them
-    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = pairs.join(done, ["a", "b"], "left_anti").select("a", "b")
-    more = as_written_table(_apart(more, roots), "pairs")
+    done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    more = as_written_table(_apart(pairs.select("a", "b"), roots).join(done, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
         links = as_written_table(links.union(_numbered(verify(more, texts), numbers)), "links")
         roots = as_written_table(_roots(links, numbers), "roots")
-    # sets whose open signatures or empty segments leave too few
-    state = opened.join(roots, "id")
-    still = state.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    rest = opened.join(still.select("signature"), "signature", "left_semi").select("id", "signature")
-    rest = rest.union(weak.select("id", F.lit(0).cast("long")))
+    # sets whose open signatures and empty segments leave too few
+    named = opened.join(unsure, "id", "left_semi").join(roots.select("id", "root"), "id")
+    still = named.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    rest = named.select("id", "signature").join(still.select("signature"), "signature", "left_semi").select("id", "signature")
+    rest = rest.union(facts.where("spare < 0").select("id", F.lit(0).cast("long")))
     rest = rest.groupBy("id").agg(F.collect_set("signature").alias("opened"))  # as many as a set has segments
-    entries = second_signatures(rest, texts, buckets)
-    last = as_written_table(_apart(second_candidates(entries), roots).join(pairs, ["a", "b"], "left_anti").distinct(), "pairs")
+    asked = as_written_table(texts.join(rest, "id").join(roots.select("id", "root"), "id"), "texts")
+    asked = asked.join(lone_shingles(asked, buckets), "id", "left").fillna(0, ["lone"])
+    last = second_candidates(second_signatures(asked, buckets)).distinct()
+    last = as_written_table(_apart(last, roots).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     if not last.isEmpty():
         links = as_written_table(links.union(_numbered(verify(last, texts), numbers)), "links")
         roots = as_written_table(_roots(links, numbers), "roots")
     return _labelled(rows, roots, numbers)
 
 
+def _facts(found: DataFrame, opened: DataFrame) -> DataFrame:
+    """id, size, segments, spare, heavy (frequent signatures of the set, of all bands).
+
+    Where two texts share an id, nothing is known: no segments are counted on, none can be spared.
+    """
+    one = F.count_distinct("b", "n", "spare") == 1
+    facts = found.where("kind = 'fact'").groupBy(F.col("a").alias("id")).agg(
+        F.min("b").alias("size"),
+        F.when(one, F.min("n")).otherwise(0).alias("segments"),
+        F.when(one, F.min("spare")).otherwise(-1).alias("spare"),
+    )
+    heavy = opened.groupBy("id").agg(F.count(F.lit(1)).alias("heavy"))
+    return facts.join(heavy, "id", "left").fillna(0, ["heavy"])
+
+
+def _centred(opened: DataFrame, facts: DataFrame) -> DataFrame:
+    """a, b, n = 0: the sets of each frequent signature with the one that has most frequent signatures."""
+    weight = opened.join(facts.select("id", "heavy"), "id")
+    centre = weight.groupBy("signature").agg(F.max_by("id", F.struct("heavy", "id")).alias("centre"))
+    pairs = opened.join(centre, "signature").where("id <> centre").select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
+    return pairs.distinct().withColumn("n", F.lit(0).cast("long"))
+
+
+def _possible(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """Pairs that share enough signatures to be similar.
+
+    A difference of d touches at most d segments, so similar sets share all but d of the smaller one's segments. Frequent
+    signatures that both have may be among these without having been counted for the pair.
+    """
+    def side(x: str) -> DataFrame:
+        return facts.select(F.col("id").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("size", "segments", "heavy")])
+
+    smaller = F.when(F.col("size_a") <= F.col("size_b"), F.col("segments_a")).otherwise(F.col("segments_b"))
+    most = F.floor((F.col("size_a") + F.col("size_b")) / 9)
+    shared = F.col("n") + F.least("heavy_a", "heavy_b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where((shared >= smaller - most) | (smaller == 0)).select("a", "b", "n")
+
+
 def _numbered(links: DataFrame, numbers: DataFrame) -> DataFrame:
     """Links of nodes as links of their numbers."""
     a = numbers.select(F.col("node").alias("a"), F.col("number").alias("na"))
