@@ -106,7 +106,8 @@ def _split(rows: DataFrame, width: int, first: bool) -> DataFrame:
     )
     beyond = F.expr(f"substring(rest, {width + 1})")
     number = F.monotonically_increasing_id() if first else F.col("row")
-    return rows.join(groups, keys, "left").select(
+    # the same join at every size: a level's groups grow with the input
+    return rows.join(groups.hint("merge"), keys, "left").select(
         "doc_id", "length", "sha", number.alias("row"),
         F.col("next").alias("part"),
         F.when(F.col("next").isNotNull() & ~F.col("ended"), beyond).alias("rest"),
