@@ -200,8 +200,7 @@ def _last_round(rows: DataFrame) -> DataFrame:
     """Keys of the rows that fill ``__part`` words of each pattern, in the order of the seeded key.
 
     The key is read as digits. Level by level the digit is found at which the words run out; all rows below
-    are taken, those of that digit go on until a pattern has few rows left. From these a row is taken as long
-    as it fits. Only the sums per digit are compared, 256 of a pattern at most, and every row is read once
+    are taken, those of that digit go on until a pattern has few rows left, of which some are taken to fit. Only the sums per digit are compared, 256 of a pattern at most, and every row is read once
     per level, so no task sees a whole pattern.
     """
     keys = rows.groupBy("__label", "__key").agg(
@@ -256,14 +255,22 @@ def _last_round(rows: DataFrame) -> DataFrame:
 
 
 def _fill(rows):
-    """Rows of one pattern, at most a few thousand: taken in the order of the key while they fit."""
+    """Rows of one pattern, at most a few thousand: in the order of the key up to most of the words, then, of the
+    others that fit, always the largest, so that the small ones close the gap."""
     rows = rows.sort_values("__key")
     left = int(rows["__part"].iloc[0])
-    chosen = []
-    for key, size in zip(rows["__key"], rows["__size"], strict=True):
+    last = left // 5
+    items = list(zip(rows["__key"].tolist(), rows["__size"].tolist(), strict=True))
+    at = 0
+    chosen = set()
+    while at < len(items) and left - items[at][1] >= last:
+        left -= items[at][1]
+        chosen.add(items[at][0])
+        at += 1
+    for key, size in sorted(items[at:], key=lambda x: (-x[1], x[0])):
         if size <= left:
             left -= size
-            chosen.append(key)
+            chosen.add(key)
     return rows[rows["__key"].isin(chosen)][["__label", "__key"]]
 
 

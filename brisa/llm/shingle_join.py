@@ -465,7 +465,7 @@ def lone_shingles(texts: DataFrame, buckets: int) -> DataFrame:
     return packed.groupBy("bucket").applyInPandas(count, "id long, lone long").groupBy("id").agg(F.sum("lone").alias("lone"))
 
 
-SECOND = np.dtype([("id", "<i8"), ("root", "<i8"), ("size", "<i4"), ("common", "<i4"), ("role", "<i4")])
+SECOND = np.dtype([("id", "<i8"), ("root", "<i8"), ("size", "<i4"), ("common", "<i4"), ("light", "<i4"), ("role", "<i4")])
 
 
 def second_signatures(asked: DataFrame, buckets: int) -> DataFrame:
@@ -486,8 +486,9 @@ def second_signatures(asked: DataFrame, buckets: int) -> DataFrame:
                     continue
                 names = np.array(opened, dtype=np.int64).astype("<u8")
                 for first in bands_of(len(h)):
-                    for sig, role in allocate(h, first, names, buckets):
-                        packer.add(sig, np.array((me, root, len(h), common, role), dtype=SECOND).tobytes())
+                    light, found = allocate(h, first, names, buckets)
+                    for sig, role in found:
+                        packer.add(sig, np.array((me, root, len(h), common, light, role), dtype=SECOND).tobytes())
                 if packer.n > HELD_ENTRIES:
                     yield packer.flush()
         if packer.n:
@@ -509,8 +510,11 @@ def name_of(sig: np.ndarray, buckets: int) -> np.ndarray:
     return name(sig & ID_BITS, (sig >> U64(32)) % U64(buckets))
 
 
-def allocate(h: np.ndarray, first: int, opened: np.ndarray, buckets: int) -> list[tuple[np.ndarray, int]]:
-    """Entries of one set in one band; none if it has enough segments that are neither empty nor open."""
+def allocate(h: np.ndarray, first: int, opened: np.ndarray, buckets: int) -> tuple[int, list[tuple[np.ndarray, int]]]:
+    """Segments of one set in one band that are neither empty nor open, and its entries; none if these are enough.
+
+    ``opened`` are the names of its open signatures, the least frequent first.
+    """
     m = band(first)[2]
     terms = terms_of(h)
     k, starts, sums = segments(h, terms, first)
@@ -519,7 +523,7 @@ def allocate(h: np.ndarray, first: int, opened: np.ndarray, buckets: int) -> lis
     usable = len(k) - int(heavy.sum())
     lack = most_apart(len(h), first) + 1 - usable
     if lack <= 0:
-        return []
+        return usable, []
     sizes = np.diff(np.r_[starts, len(h)])
     # one-deletion neighbours of all segments
     with np.errstate(over="ignore"):
@@ -533,19 +537,21 @@ def allocate(h: np.ndarray, first: int, opened: np.ndarray, buckets: int) -> lis
     out.append((mix(sig[chosen] ^ DELETED), PROBE))
     out.append((mix(less[np.isin(segment, k[chosen])] ^ FULL), PROBE))
     if len(chosen) < lack:
+        # as many of the others as are still needed, by the number of sets that have them; the empty ones last
+        place = np.argsort(opened, kind="stable")
+        mine = name_of(sig[heavy], buckets)
+        mine = sig[heavy][np.argsort(place[np.searchsorted(opened, mine, sorter=place)], kind="stable")]
         empty = np.setdiff1d(np.arange(m, dtype=np.uint64), k)
-        with np.errstate(over="ignore"):
-            names = np.concatenate([sig[heavy], signature(empty, np.zeros(len(empty), dtype=np.uint64), first)])
-        for role in (PROBE, INDEX):
-            out.append((mix(names + STEP), role))
-    return out
+        names = mix(np.concatenate([mine, signature(empty, np.zeros(len(empty), dtype=np.uint64), first)]) + STEP)
+        out += [(names, INDEX), (names[: lack - len(chosen)], PROBE)]
+    return usable, out
 
 
 def second_candidates(entries: DataFrame) -> DataFrame:
     """a, b: a probing and an indexed set with a signature in common that may be similar, in different components.
 
-    The shingles that only one of the sets has bound what two sets can share; most sets drop out by this bound
-    before they meet any other.
+    The shingles that only one of the sets has bound what two sets can share, and so do the segments of either that
+    are not open: the two differ in each of them, or they would have been candidates before.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -569,7 +575,8 @@ def second_candidates(entries: DataFrame) -> DataFrame:
                 continue
             held = group[group["role"] == INDEX]
             for x in group[group["role"] == PROBE]:
-                y = held[held["root"] != x["root"]]
+                y = held[(held["root"] != x["root"])]
+                y = y[9 * np.maximum(y["light"], x["light"]).astype(np.int64) <= y["size"].astype(np.int64) + int(x["size"])]
                 size, common = y["size"].astype(np.int64), np.minimum(y["common"], x["common"]).astype(np.int64)
                 y = y[9 * common >= 4 * (size + int(x["size"]))]
                 found.update((min(int(x["id"]), i), max(int(x["id"]), i)) for i in y["id"].tolist())
@@ -614,10 +621,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         roots = as_written_table(_roots(links, numbers), "roots")
     # sets whose open signatures and empty segments leave too few
     named = opened.join(unsure, "id", "left_semi").join(roots.select("id", "root"), "id")
-    still = named.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    rest = named.select("id", "signature").join(still.select("signature"), "signature", "left_semi").select("id", "signature")
-    rest = rest.union(facts.where("spare < 0").select("id", F.lit(0).cast("long")))
-    rest = rest.groupBy("id").agg(F.collect_set("signature").alias("opened"))  # as many as a set has segments
+    still = named.groupBy("signature").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")
+    ).where("low <> high")
+    rest = named.select("id", "signature").join(still.select("signature", "n"), "signature").select("id", "n", "signature")
+    rest = rest.union(facts.where("spare < 0").select("id", F.lit(0).cast("long"), F.lit(0).cast("long")))
+    # as many as a set has segments, the least frequent first
+    rest = rest.groupBy("id").agg(F.array_sort(F.collect_set(F.struct("n", "signature"))).alias("opened"))
+    rest = rest.select("id", F.col("opened.signature").alias("opened"))
     asked = as_written_table(texts.join(rest, "id").join(roots.select("id", "root"), "id"), "texts")
     asked = asked.join(lone_shingles(asked, buckets), "id", "left").fillna(0, ["lone"])
     last = second_candidates(second_signatures(asked, buckets)).distinct()
