@@ -346,17 +346,18 @@ def signatures(docs: DataFrame, buckets: int) -> DataFrame:
     return docs.select(text_bytes().alias("text")).mapInArrow(run, Packer.columns)
 
 
-CANDIDATES = "kind string, a long, b long, n long, spare long"
+PAIR, OPEN, FACT = 0, 1, 2
+CANDIDATES = "kind int, a long, b long, n long, spare long"
 
 
 def candidates(entries: DataFrame) -> DataFrame:
-    """kind, a, b, n, spare: "pair" of two sets and the signatures they share in this bucket; "open" for the sets b of a
-    frequent signature a; "fact" for a set a, its size b, its segments n and the segments it can spare."""
+    """kind, a, b, n, spare: a PAIR of two sets and the signatures they share in this bucket; OPEN for each set b of a
+    frequent signature a; FACT for a set a, its size b, its segments n and the segments it can spare."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         if rows["bucket"].iloc[0] < 0:
             facts = np.frombuffer(b"".join(rows["ids"]), dtype="<i8").reshape(-1, 4)
-            return pd.DataFrame({"kind": "fact", "a": facts[:, 0], "b": facts[:, 1], "n": facts[:, 2], "spare": facts[:, 3]})
+            return pd.DataFrame({"kind": np.int32(FACT), "a": facts[:, 0], "b": facts[:, 1], "n": facts[:, 2], "spare": facts[:, 3]})
         sig, ids, starts = grouped(rows)
         sizes = np.diff(np.r_[starts, len(sig)])
         small = sizes <= SMALL_GROUP
@@ -367,7 +368,7 @@ def candidates(entries: DataFrame) -> DataFrame:
         pair, n = np.unique(pair, axis=0, return_counts=True) if len(pair) else (pair, np.zeros(0, dtype=np.int64))
         named = name(big_sig, np.full(len(big_sig), rows["bucket"].iloc[0], dtype=np.uint64)).astype(np.int64)
         return pd.DataFrame({
-            "kind": ["pair"] * len(pair) + ["open"] * len(big_ids),
+            "kind": np.repeat(np.array([PAIR, OPEN], dtype=np.int32), [len(pair), len(big_ids)]),
             "a": np.concatenate([pair[:, 0], named]), "b": np.concatenate([pair[:, 1], big_ids.astype(np.int64)]),
             "n": np.concatenate([n, np.ones(len(big_ids), dtype=np.int64)]), "spare": np.int64(0),
         })
@@ -597,9 +598,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     buckets = bucket_count(docs)
     rows = as_written_table(sets(docs), "sets")
     found = as_written_table(candidates(signatures(docs, buckets)), "candidates")
-    opened = found.where("kind = 'open'").select(F.col("a").alias("signature"), F.col("b").alias("id"))
+    opened = found.where(F.col("kind") == OPEN).select(F.col("a").alias("signature"), F.col("b").alias("id"))
     facts = as_written_table(_facts(found, opened), "facts")
-    pairs = found.where("kind = 'pair'").select("a", "b", "n").union(_centred(opened, facts))
+    pairs = found.where(F.col("kind") == PAIR).select("a", "b", "n").union(_centred(opened, facts))
     pairs = as_written_table(_possible(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), facts), "pairs")
     unsure = facts.where("heavy > spare").select("id")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(unsure).distinct()
@@ -645,7 +646,7 @@ def _facts(found: DataFrame, opened: DataFrame) -> DataFrame:
     Where two texts share an id, nothing is known: no segments are counted on, none can be spared.
     """
     one = F.count_distinct("b", "n", "spare") == 1
-    facts = found.where("kind = 'fact'").groupBy(F.col("a").alias("id")).agg(
+    facts = found.where(F.col("kind") == FACT).groupBy(F.col("a").alias("id")).agg(
         F.min("b").alias("size"),
         F.when(one, F.min("n")).otherwise(0).alias("segments"),
         F.when(one, F.min("spare")).otherwise(-1).alias("spare"),
