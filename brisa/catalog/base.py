@@ -51,7 +51,7 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def runner(entry: Entry) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        prepare(spark, folder)
+        prepare(spark)
         return comparable(entry.run(Model(spark, folder)))
 
     return run

@@ -20,11 +20,6 @@ def agg_count_distinct(col: str | Column) -> Column:
     return F.count_distinct(col)
 
 
-def agg_approx_distinct(col: str, rsd: float = 0.01) -> Column:
-    """Opt-in estimate: one sketch per group and no extra shuffle rows."""
-    return F.approx_count_distinct(col, rsd)
-
-
 def agg_conditional(condition: Column) -> Column:
     return F.count_if(condition)
 
@@ -42,12 +37,6 @@ def agg_ratio(n: Column, d: Column) -> Column:
     return F.try_divide(n, d)
 
 
-def agg_string_agg(col: str, sep: str = ", ") -> Column:
-    """All values in ascending order, joined. For groups of a known small size; see
-    ``with_repeated_list`` for the others."""
-    return F.expr(f"listagg(CAST({col} AS STRING), '{sep}') WITHIN GROUP (ORDER BY {col})")
-
-
 def string_list(col: str, sep: str = ", ") -> Column:
     """Distinct values in ascending order, joined; NULL if there is none.
 

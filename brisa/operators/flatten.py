@@ -311,7 +311,10 @@ def location_reject_reason(raw: DataFrame) -> Column:
 def with_reject_reason(raw: DataFrame, rule=measurement_reject_reason) -> DataFrame:
     """Adds ``reason``: why the record cannot be loaded, NULL if it can."""
     rows = parse_measurements(raw) if rule is measurement_reject_reason else raw
-    return rows.withColumn("reason", rule(rows))
+    reason = rule(rows)
+    if "listed" in rows.columns:
+        reason = F.when(F.col("listed").isNull(), "unknown sensor").otherwise(reason)
+    return rows.withColumn("reason", reason)
 
 
 def split_good_bad(raw: DataFrame, rule=measurement_reject_reason) -> tuple[DataFrame, DataFrame]:

@@ -84,8 +84,8 @@ def lateral_explode(df: DataFrame, json: str, name: str) -> DataFrame:
 
 
 def scalar_subquery(df: DataFrame, col: str, lookup: DataFrame, value: str) -> DataFrame:
-    """Rows whose column equals the single value that the lookup returns."""
-    return df.where(F.col(col) == lookup.select(value).limit(1).scalar())
+    """Rows whose column equals the single value that the lookup returns; more than one value is an error."""
+    return df.where(F.col(col) == lookup.select(value).scalar())
 
 
 def anti_new_rows(records: DataFrame, code: str, page: str) -> DataFrame:

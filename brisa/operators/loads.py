@@ -17,8 +17,6 @@ from brisa.operators.ordering import latest_per_key, with_null_key_id
 from brisa.session import as_written_table, scratch_path
 from brisa.sources import tables
 
-# A load that touches more days than this finds them by a join instead of a list.
-MAX_LISTED_DAYS = 4000
 
 
 class DuplicateKey(ValueError):
@@ -138,12 +136,9 @@ def replace_partition(df: DataFrame, path: str, *columns: str) -> None:
 
 
 def _touched(stored: DataFrame, batch: DataFrame, day: str) -> DataFrame:
-    """Stored rows of the days of the batch; a list of days prunes the folders."""
+    """Stored rows of the days of the batch. The written days are the join's small side, which prunes the folders."""
     days = batch.select(day).where(F.col(day).isNotNull()).distinct()
-    listed = [row[0] for row in days.limit(MAX_LISTED_DAYS + 1).collect()]
-    if len(listed) <= MAX_LISTED_DAYS:
-        return stored.where(F.col(day).isin(listed))
-    return stored.join(days, day, "left_semi")
+    return stored.join(as_written_table(days, "batch-days"), day, "left_semi")
 
 
 def _rewrite_days(

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brisa.functions.aggregates import agg_count
-from brisa.operators.joins import anti_new_rows
 from brisa.operators.ordering import sort_multi
 
 # --- fixed values: highest page that is asked for, per kind of source -------------
@@ -52,12 +51,14 @@ def v_page_completeness(records: DataFrame, source: Sequence[str], page_cap: int
 
 def v_page_overlap(records: DataFrame, code: str = "code", page: str = "page") -> DataFrame:
     """Per page: its records, and how many of them are new or were seen on earlier pages."""
-    fresh = anti_new_rows(records, code, page).groupBy(page).agg(agg_count().alias("new_records"))
-    total = records.groupBy(page).agg(agg_count().alias("records"))
-    report = total.join(fresh, page, "left").select(
-        page,
-        "records",
-        F.coalesce("new_records", F.lit(0)).alias("new_records"),
-        (F.col("records") - F.coalesce("new_records", F.lit(0))).alias("repeated_records"),
+    counted = records.groupBy(code, page).agg(agg_count().alias("_n"))
+    # a code's pages are as many as its source has, never its records
+    per_code = counted.groupBy(code).agg(
+        F.min(page).alias("_first"), F.collect_list(F.struct(F.col(page).alias("_page"), "_n")).alias("_pages")
+    )
+    pages = per_code.select("_first", F.inline("_pages"))
+    new = F.when(F.col("_page") == F.col("_first"), F.col("_n")).otherwise(0)
+    report = pages.groupBy(F.col("_page").alias(page)).agg(
+        F.sum("_n").alias("records"), F.sum(new).alias("new_records"), F.sum(F.col("_n") - new).alias("repeated_records")
     )
     return sort_multi(report, page)

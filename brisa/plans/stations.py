@@ -40,7 +40,6 @@ REPORT_LABELS = (
 # ------------------------------------------------------------------------------
 
 KEY = ("id", "sensor_id")
-MAX_BROADCAST_ROWS = 10_000
 _HAS_POSITION = ["latitude", "longitude"]
 
 
@@ -84,8 +83,6 @@ def s_top_sensors(st: DataFrame, k: int = 15) -> DataFrame:
     counts = st.groupBy(*keys).agg(agg_count_distinct("sensor_id").alias("sensors"))
     top = topk(counts, k, "-sensors", *keys)
     renamed = top.select(*[F.col(c).alias(f"_{c}") for c in top.columns])
-    if k <= MAX_BROADCAST_ROWS:
-        renamed = F.broadcast(renamed)
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
     chosen = st.join(renamed, same).select(*keys, "sensor_name", F.col("_sensors").alias("sensors"))
     report = with_distinct_list(chosen, [*keys, "sensors"], "sensor_name", "sensor_names")

@@ -123,7 +123,3 @@ POST = _struct(
 DELIVERIES = _struct(
     product_id=INT, delivery_dt=DATE,
 )
-SENSOR_LIST = _struct(
-    sensor_id=BIGINT, location_id=BIGINT, location_name=STRING, parameter_name=STRING,
-    parameter_units=STRING,
-)

@@ -17,21 +17,12 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
-# compressed input per shuffle partition; the partitions that turn out small are merged
-BYTES_PER_PARTITION = 64 * 1024 * 1024
-MAX_PARTITIONS = 100_000
 
 
-def prepare(spark: SparkSession, folder: str) -> None:
-    """Adaptive execution on, and enough shuffle partitions for the size of the input."""
+def prepare(spark: SparkSession) -> None:
+    """Adaptive execution on. How many partitions a shuffle starts with is the cluster's setting."""
     for name, value in ADAPTIVE.items():
         spark.conf.set(name, value)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    size = files.getContentSummary(path).getLength()
-    needed = min(size // BYTES_PER_PARTITION, MAX_PARTITIONS)
-    partitions = max(needed, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
 
 
 _own_folders: dict[str, str] = {}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,8 +52,13 @@ def explode_envelopes(pages: DataFrame) -> DataFrame:
 
 
 def tag_context(records: DataFrame, sensors: DataFrame) -> DataFrame:
-    """Adds the owner keys of the sensor whose page a record came on."""
-    return records.join(sensors.select("sensor_id", "location_id", "location_name"), "sensor_id")
+    """Adds the owner keys of the sensor whose page a record came on.
+
+    No record is lost: those of a sensor that is not in the list have no owner and no ``listed``. A sensor that is
+    listed twice counts once.
+    """
+    owners = sensors.select("sensor_id", "location_id", "location_name").dropDuplicates(["sensor_id"])
+    return records.join(owners.withColumn("listed", F.lit(True)), "sensor_id", "left")
 
 
 def read_json_list(
@@ -104,7 +109,3 @@ def export_days(df: DataFrame, ts: str, start: date, end: date, base: str) -> No
 
 def read_exported_day(spark: SparkSession, base: str, day: date, schema: T.StructType) -> DataFrame:
     return read_csv(spark, f"{base.rstrip('/')}/{day:%Y%m%d}", schema)
-
-
-def next_day(day: date) -> date:
-    return day + timedelta(days=1)

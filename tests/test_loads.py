@@ -78,8 +78,7 @@ def test_null_keys_never_conflict(spark):
     assert sorted(r.sensor_id for r in result.collect()) == [3, 3, 3, 4, 4]
 
 
-def test_many_days_are_found_by_a_join(spark, monkeypatch):
-    monkeypatch.setattr(loads, "MAX_LISTED_DAYS", 1)
+def test_touched_days_are_found_by_a_join(spark):
     target = scratch_path(spark, "t")
     load(target, batch(spark, A1, B1))
     assert content(load(target, batch(spark, A2, A3, B1))) == [MERGED, B1[:6]]

@@ -32,9 +32,11 @@ def test_a_local_session_keeps_its_own_folder():
     assert shared_folder(local) == shared_folder(local)
 
 
-def test_prepare_never_lowers_the_partitions(spark):
-    prepare(spark, "/root/testdata/sf0.001")
-    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 8
+def test_prepare_leaves_the_partitions_to_the_cluster(spark):
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    before = [spark.conf.get(name, None) for name in names]
+    prepare(spark)
+    assert [spark.conf.get(name, None) for name in names] == before
     assert all(spark.conf.get(name) == value for name, value in ADAPTIVE.items())
 
 
