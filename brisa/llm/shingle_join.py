@@ -469,7 +469,7 @@ def lone_shingles(texts: DataFrame, buckets: int) -> DataFrame:
 SECOND = np.dtype([("id", "<i8"), ("root", "<i8"), ("size", "<i4"), ("common", "<i4"), ("light", "<i4"), ("role", "<i4")])
 
 
-def second_signatures(asked: DataFrame, buckets: int) -> DataFrame:
+def second_signatures(asked: DataFrame, buckets: int, tasks: int) -> DataFrame:
     """Packed entries of the sets that have left out too many segments.
 
     Reads id, packed, root, lone and the names of the open signatures. Sets that stay short of
@@ -478,7 +478,7 @@ def second_signatures(asked: DataFrame, buckets: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, open_up = Packer(buckets), zstandard.ZstdDecompressor()
+        packer, open_up = Packer(tasks), zstandard.ZstdDecompressor()
         for batch in batches:
             for me, packed, root, lone, opened in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 h = shingles(word_hashes(open_up.decompress(packed)))
@@ -632,8 +632,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = rest.select("id", F.col("opened.signature").alias("opened"))
     asked = as_written_table(texts.join(rest, "id").join(roots.select("id", "root"), "id"), "texts")
     asked = asked.join(lone_shingles(asked, buckets), "id", "left").fillna(0, ["lone"])
-    last = second_candidates(second_signatures(asked, buckets)).distinct()
-    last = as_written_table(_apart(last, roots).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    # fewer buckets than before: two sets meet once in each
+    last = second_candidates(second_signatures(asked, buckets, -(-buckets // 4))).distinct()
+    last = as_written_table(last.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     if not last.isEmpty():
         links = as_written_table(links.union(_numbered(verify(last, texts), numbers)), "links")
         roots = as_written_table(_roots(links, numbers), "roots")
