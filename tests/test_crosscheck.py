@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from brisa.catalog import ENTRIES
 from tests.crosscheck import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -14,9 +15,14 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("key", QUERIES)
+def test_every_report_has_sql():
+    """Only the optional text queries may lack it; those are tested beside their operators."""
+    assert set(ENTRIES) <= set(ORACLE) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("key", ORACLE)
 def test_same_rows(spark, duck, key):
-    _, problem = compare(spark, duck, key, QUERIES[key], ORACLE.get(key), FOLDER)
+    _, problem = compare(spark, duck, key, QUERIES[key], ORACLE[key], FOLDER)
     assert problem is None
 
 
