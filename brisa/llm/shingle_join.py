@@ -466,7 +466,52 @@ def lone_shingles(texts: DataFrame, buckets: int) -> DataFrame:
     return packed.groupBy("bucket").applyInPandas(count, "id long, lone long").groupBy("id").agg(F.sum("lone").alias("lone"))
 
 
-SECOND = np.dtype([("id", "<i8"), ("root", "<i8"), ("size", "<i4"), ("common", "<i4"), ("light", "<i4"), ("role", "<i4")])
+SKETCH_BITS = 1024
+SECOND = np.dtype([("id", "<i8"), ("root", "<i8"), ("size", "<i4"), ("common", "<i4"), ("light", "<i4"), ("sketch", "<u8", SKETCH_BITS // 64)])
+PROBE, INDEX = 1, 0
+
+
+def parities(h: np.ndarray) -> np.ndarray:
+    """One bit for each class of shingles, whether their number is odd.
+
+    Two sets differ in at least as many shingles as bits, whatever their sizes. The bound is close up to some
+    500 shingles and says little beyond 2000; it never excludes a similar pair.
+    """
+    odd = np.bincount((h & U64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<u8")
+
+
+class RecordPacker:
+    """Entries of a signature, a set's record and a role, sent as one row for each bucket that holds each record once."""
+
+    schema = pa.schema([("bucket", pa.int32()), ("signatures", pa.binary()), ("places", pa.binary()), ("records", pa.binary())])
+    columns = "bucket int, signatures binary, places binary, records binary"
+
+    def __init__(self, buckets: int):
+        self.buckets, self.records, self.held, self.n = buckets, [], [], 0
+
+    def add(self, record: tuple, entries: list[tuple[np.ndarray, int]]) -> None:
+        for sig, role in entries:
+            self.held.append((sig, 2 * len(self.records) + role))
+            self.n += len(sig)
+        self.records.append(np.array([record], dtype=SECOND))
+
+    def flush(self) -> pa.RecordBatch:
+        sig = np.concatenate([s for s, _ in self.held])
+        place = np.repeat(np.array([p for _, p in self.held], dtype=np.int64), [len(s) for s, _ in self.held])
+        records = np.concatenate(self.records)
+        self.records, self.held, self.n = [], [], 0
+        bucket = ((sig >> U64(32)) % U64(self.buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        found, starts = np.unique(bucket[order], return_index=True)
+        sig, place = (sig & ID_BITS)[order], place[order]
+        columns = [pa.array(found, pa.int32()), [], [], []]
+        for a, b in zip(starts, np.r_[starts[1:], len(sig)], strict=True):
+            here, at = np.unique(place[a:b] >> 1, return_inverse=True)
+            columns[1].append(six(sig[a:b]))
+            columns[2].append((2 * at + (place[a:b] & 1)).astype("<u4").tobytes())
+            columns[3].append(records[here].tobytes())
+        return pa.RecordBatch.from_arrays([columns[0], *[pa.array(c, pa.binary()) for c in columns[1:]]], schema=self.schema)
 
 
 def second_signatures(asked: DataFrame, buckets: int, tasks: int) -> DataFrame:
@@ -478,27 +523,24 @@ def second_signatures(asked: DataFrame, buckets: int, tasks: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer, open_up = Packer(tasks), zstandard.ZstdDecompressor()
+        packer, open_up = RecordPacker(tasks), zstandard.ZstdDecompressor()
         for batch in batches:
             for me, packed, root, lone, opened in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 h = shingles(word_hashes(open_up.decompress(packed)))
                 common = len(h) - lone
                 if 100 * common < PERCENT * len(h):
                     continue
-                names = np.array(opened, dtype=np.int64).astype("<u8")
+                names, sketch = np.array(opened, dtype=np.int64).astype("<u8"), parities(h)
                 for first in bands_of(len(h)):
                     light, found = allocate(h, first, names, buckets)
-                    for sig, role in found:
-                        packer.add(sig, np.array((me, root, len(h), common, light, role), dtype=SECOND).tobytes())
+                    if found:
+                        packer.add((me, root, len(h), common, light, sketch), found)
                 if packer.n > HELD_ENTRIES:
                     yield packer.flush()
         if packer.n:
             yield packer.flush()
 
-    return asked.select("id", "packed", "root", "lone", "opened").mapInArrow(run, Packer.columns)
-
-
-PROBE, INDEX = 1, 0
+    return asked.select("id", "packed", "root", "lone", "opened").mapInArrow(run, RecordPacker.columns)
 
 
 def name(packed: np.ndarray, bucket: np.ndarray) -> np.ndarray:
@@ -552,34 +594,40 @@ def second_candidates(entries: DataFrame) -> DataFrame:
     """a, b: a probing and an indexed set with a signature in common that may be similar, in different components.
 
     The shingles that only one of the sets has bound what two sets can share, and so do the segments of either that
-    are not open: the two differ in each of them, or they would have been candidates before.
+    are not open: the two differ in each of them, or they would have been candidates before. Their parities bound
+    in how many shingles they differ. No bound excludes a pair that is similar.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         sig = from_six(b"".join(rows["signatures"]))
-        sets = np.frombuffer(b"".join(rows["ids"]), dtype=SECOND)
+        sets = np.frombuffer(b"".join(rows["records"]), dtype=SECOND)
+        ends = np.cumsum(rows["records"].str.len() // SECOND.itemsize)
+        place = np.frombuffer(b"".join(rows["places"]), dtype="<u4") + 2 * np.repeat(np.r_[0, ends[:-1]], rows["places"].str.len() // 4)
         order = np.argsort(sig, kind="stable")
-        sig, sets = sig[order], sets[order]
+        sig, place = sig[order], place[order]
         starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
         found: set[tuple[int, int]] = set()
         for start, end in zip(starts, np.r_[starts[1:], len(sig)], strict=True):
             if end - start < 2:
                 continue
-            group = np.unique(sets[start:end])
+            entries = np.unique(place[start:end])
+            group, role = sets[entries >> 1], entries & 1
             while len(group):
                 size, common = group["size"].astype(np.int64), group["common"].astype(np.int64)
                 possible = 9 * common >= 4 * (size + np.maximum(size.min(), -(-4 * size // 5)))
                 if possible.all():
                     break
-                group = group[possible]
+                group, role = group[possible], role[possible]
             if len(group) < 2 or (group["root"] == group["root"][0]).all():
                 continue
-            held = group[group["role"] == INDEX]
-            for x in group[group["role"] == PROBE]:
+            held = group[role == INDEX]
+            for x in group[role == PROBE]:
                 y = held[(held["root"] != x["root"])]
                 y = y[9 * np.maximum(y["light"], x["light"]).astype(np.int64) <= y["size"].astype(np.int64) + int(x["size"])]
                 size, common = y["size"].astype(np.int64), np.minimum(y["common"], x["common"]).astype(np.int64)
                 y = y[9 * common >= 4 * (size + int(x["size"]))]
+                apart = np.bitwise_count(y["sketch"] ^ x["sketch"]).sum(axis=1, dtype=np.int64)
+                y = y[9 * apart <= y["size"].astype(np.int64) + int(x["size"])]
                 found.update((min(int(x["id"]), i), max(int(x["id"]), i)) for i in y["id"].tolist())
         pair = np.array(sorted(found), dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pair[:, 0], "b": pair[:, 1]})

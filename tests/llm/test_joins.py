@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from brisa.llm import components, line_dedup, radix_dedup, shingle_join
@@ -172,3 +173,33 @@ def test_empty_tables(make):
     assert shingle_join.near_duplicates(none).collect() == []
     assert radix_dedup.exact_groups(none).collect() == []
     assert line_dedup.drop_frequent(none).collect() == []
+
+
+def test_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    for size in (1, 40, 400, 3000):
+        x = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        for changed in {0, 1, size // 9, size // 3, size}:
+            y = np.unique(np.concatenate([x[changed:], rng.integers(0, 2**64, changed, dtype=np.uint64)]))
+            apart = int(np.bitwise_count(shingle_join.parities(x) ^ shingle_join.parities(y)).sum())
+            assert apart <= len(np.setxor1d(x, y))
+            if size == 400 and changed == size // 3:
+                assert 9 * apart > len(x) + len(y)
+
+
+def test_records_stand_once_in_each_bucket():
+    packer = shingle_join.RecordPacker(3)
+    sketch = shingle_join.parities(np.arange(5, dtype=np.uint64))
+    sent = {}
+    for me in (7, 8):
+        found = [(np.arange(me, me + 40, dtype=np.uint64) << np.uint64(20), role) for role in (shingle_join.INDEX, shingle_join.PROBE)]
+        packer.add((me, 1, 5, 4, 2, sketch), found)
+        sent[me] = {(int(s), role) for signatures, role in found for s in signatures}
+    back = defaultdict(set)
+    for row in packer.flush().to_pylist():
+        records = np.frombuffer(row["records"], dtype=shingle_join.SECOND)
+        assert len(set(records["id"].tolist())) == len(records)
+        for s, place in zip(shingle_join.from_six(row["signatures"]).tolist(), np.frombuffer(row["places"], dtype="<u4").tolist(), strict=True):
+            back[int(records["id"][place >> 1])].add((s, place & 1))
+    assert back == sent
+    assert packer.n == 0 and not packer.records
