@@ -472,17 +472,25 @@ def _(t: Model) -> DataFrame:
 
 @query(
     "daily_avg_stream",
-    f"""SELECT CAST(period_from_utc AS DATE) AS day, parameter_name, {mean_sql('value', 2)} AS mean_value, count(*) AS n
-        FROM measurements GROUP BY ALL""",
+    f"""WITH kept AS (
+          SELECT * FROM measurements QUALIFY row_number() OVER (
+            PARTITION BY sensor_id, period_from_utc, period_to_utc ORDER BY id % 3 = 2, arrived_at DESC, id DESC) = 1)
+        SELECT CAST(period_from_utc AS DATE) AS day, parameter_name, {mean_sql('value', 2)} AS mean_value, count(value) AS n
+        FROM kept GROUP BY ALL""",
 )
 def _(t: Model) -> DataFrame:
-    target = scratch_path(t.spark, "daily")
-    # a pattern, since a stream takes no single file as its folder
-    path = f"{t.folder}/event[s].parquet"
-    events = t.spark.readStream.schema(t.table("events").schema).parquet(path)
-    ingest.daily_avg_stream(
-        Model.as_measurements(events), target, scratch_path(t.spark, "stream")
-    ).awaitTermination()
+    path, table, target, state = (scratch_path(t.spark, n) for n in ("runs", "measurements", "daily", "stream"))
+    m = t.measurements()
+    third = F.col("id") % 3
+    # wrong values, then other rows, then the corrections with rows of all days that come late
+    for run in (
+        m.where(third == 0).withColumn("value", (F.col("value") - 5).cast(m.schema["value"].dataType)),
+        m.where(third == 2),
+        m.where(third != 2),
+    ):
+        run.write.mode("append").parquet(path)
+        landed = t.spark.readStream.schema(m.schema).parquet(path)
+        ingest.daily_avg_stream(landed, table, target, state, SEQ).awaitTermination()
     return t.spark.read.parquet(target)
 
 

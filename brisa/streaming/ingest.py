@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -56,34 +57,39 @@ def incremental_ingest(
 
 
 def daily_means(m: DataFrame, ts: str = "period_from_utc") -> DataFrame:
-    """Tumbling one-day windows; works on a batch and on a stream with a watermark."""
+    """Mean per day and parameter. Without a value the mean is null and ``n`` is 0; undated rows belong to no day."""
     return (
-        m.where(F.col("value").isNotNull())
-        .groupBy(F.window(ts, "1 day"), "parameter_name")
-        .agg(F.round(F.avg("value"), 2).alias("mean_value"), F.count(F.lit(1)).alias("n"))
-        .select(
-            F.to_date(F.col("window.start")).alias("day"), "parameter_name", "mean_value", "n"
-        )
+        m.where(F.col(ts).isNotNull())
+        .groupBy(F.to_date(ts).alias("day"), "parameter_name")
+        .agg(F.round(F.avg("value"), 2).alias("mean_value"), F.count("value").alias("n"))
     )
 
 
 def daily_avg_stream(
-    m: DataFrame, target: str, checkpoint: str, ts: str = "period_from_utc", lateness: str = "7 days"
+    m: DataFrame, table: str, target: str, checkpoint: str, seq: Sequence[str], ts: str = "period_from_utc"
 ) -> StreamingQuery:
-    """Daily mean per parameter, kept current as measurements arrive.
+    """Daily mean per parameter under ``target``, kept current as measurements arrive.
 
-    Event time must carry a zone, so it is cast at this edge (in a UTC session).
-    A changed day replaces its (day, parameter) folder, so repeating a batch is harmless.
+    Each batch is first loaded by key into ``table``; then the days that it touches are averaged anew and replaced. So
+    a corrected row counts once, a late one counts no matter how late it is, and a repeated batch is harmless. A key
+    never leaves the table, hence a touched day always has rows. Undated rows are left out.
     """
-    timed = m.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, lateness)
+    rows = m.where(F.col(ts).isNotNull()).withColumn("period_date", F.to_date(ts))
+    last = ["parameter_name", "value"]
+    rows = rows.select(*MEASUREMENT.key, *last, "period_date", *seq)
 
     def publish(batch: DataFrame, _: int) -> None:
-        replace_partition(batch, target, "day", "parameter_name")
+        spark = batch.sparkSession
+        written = as_written_table(batch, "batch")
+        if written.isEmpty():
+            return
+        upsert_partial(table, written, MEASUREMENT.key, [], last, seq, written=True)
+        days = as_written_table(written.select("period_date").distinct(), "batch-days")
+        touched = spark.read.parquet(table).join(days, "period_date", "left_semi")
+        replace_partition(daily_means(touched, ts), target, "day")
 
     return (
-        daily_means(timed, ts)
-        .writeStream.outputMode("update")
-        .foreachBatch(publish)
+        rows.writeStream.foreachBatch(publish)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -4,7 +4,6 @@ from datetime import datetime
 from pathlib import Path
 
 from brisa import schemas
-from brisa.bindings import Model
 from brisa.session import scratch_path
 from brisa.streaming import ingest
 
@@ -54,12 +53,25 @@ def test_later_runs_correct_earlier_rows(spark):
     assert [r.reason for r in bad.collect()] == ["coverage is not an object"]
 
 
-def test_daily_stream_equals_the_batch(spark):
-    folder = "/root/testdata/sf0.001"
-    t = Model(spark, folder)
-    target = scratch_path(spark, "daily")
-    events = spark.readStream.schema(t.table("events").schema).parquet(f"{folder}/event[s].parquet")
-    ingest.daily_avg_stream(Model.as_measurements(events), target, scratch_path(spark, "state")).awaitTermination()
-    streamed = spark.read.parquet(target).select("day", "parameter_name", "mean_value", "n")
-    batch = ingest.daily_means(t.measurements()).select("day", "parameter_name", "mean_value", "n")
-    assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
+def test_daily_stream_counts_corrections_once_and_late_rows(spark):
+    landed, table, target, state = (scratch_path(spark, n) for n in ("landed", "table", "daily", "state"))
+    schema = (
+        "sensor_id BIGINT, period_from_utc TIMESTAMP_NTZ, period_to_utc TIMESTAMP_NTZ, parameter_name STRING, value DOUBLE, seq INT"
+    )
+
+    def run(*rows):
+        rows = [(s, at, at and at.replace(hour=at.hour + 1), p, v, 1) for s, at, p, v in rows]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(schema).parquet(landed)
+        ingest.daily_avg_stream(stream, table, target, state, ["seq"]).awaitTermination()
+        found = spark.read.parquet(target).collect()
+        return sorted((r.day.isoformat(), r.parameter_name, r.mean_value, r.n) for r in found)
+
+    first, late, newest = datetime(2024, 1, 1, 4), datetime(2024, 1, 2, 4), datetime(2024, 1, 30, 4)
+    assert run((1, first, "no2", 10.0), (1, newest, "no2", 7.0)) == [("2024-01-01", "no2", 10.0, 1), ("2024-01-30", "no2", 7.0, 1)]
+    assert run((1, first, "no2", 20.0), (2, first, "no2", 40.0), (1, None, "no2", 1.0))[0] == ("2024-01-01", "no2", 30.0, 2)
+    assert run((1, late, "no2", 3.0), (1, newest, "no2", None)) == [
+        ("2024-01-01", "no2", 30.0, 2), ("2024-01-02", "no2", 3.0, 1), ("2024-01-30", "no2", None, 0),
+    ]
+    # a row that moves to another parameter leaves its old one
+    assert run((1, late, "o3", 4.0))[1] == ("2024-01-02", "o3", 4.0, 1)
