@@ -755,3 +755,9 @@ register(
     lambda t: quality.v_total_by_sensor(t.measurements(), "sensor_id", (3, 5, 11)),
     "SELECT sensor_id, count(*) AS n FROM measurements WHERE sensor_id IN (3, 5, 11) GROUP BY ALL",
 )
+
+register(
+    "v_total_of_sensors",
+    lambda t: quality.grand_total(quality.v_total_by_sensor(t.measurements(), "sensor_id", (3, 5, 11))),
+    "SELECT count(*) AS total FROM measurements WHERE sensor_id IN (3, 5, 11)",
+)
