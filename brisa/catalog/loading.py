@@ -509,6 +509,26 @@ register(
                       ELSE 'truncated' END AS status FROM per_source""",
 )
 
+@query(
+    "v_page_states",
+    """WITH sensors AS (SELECT DISTINCT sensor_id FROM records)
+       SELECT sensor_id, 'good' AS state, count(DISTINCT page) AS pages, count(*) AS records FROM records GROUP BY sensor_id
+       UNION ALL SELECT sensor_id, 'empty', 1 + sensor_id % 2, 0 FROM sensors
+       UNION ALL SELECT NULL, 'unreadable', count(*), 0 FROM sensors""",
+)
+def _(t: Model) -> DataFrame:
+    path = landing.land_measurement_pages(t)
+    sensors = as_written_table(landing.sensor_list(t).select("sensor_id").distinct(), "sensors")
+    # each sensor also has an empty page and a cut one, every second a page without a list
+    empty = sensors.select(F.format_string('{"sensor_id":%d,"meta":{"found":"7","page":101,"limit":1000},"results":[]}', "sensor_id"))
+    null = sensors.where("sensor_id % 2 = 1").select(
+        F.format_string('{"sensor_id":%d,"meta":{"found":"7","page":102,"limit":1000},"results":null}', "sensor_id")
+    )
+    cut = sensors.select(F.format_string('{"sensor_id":%d,"meta":{"found":"7","page":103,"limit":1000},"results":["{', "sensor_id"))
+    empty.union(null).union(cut).write.text(f"{path}/run=9")
+    return paging.v_page_states(files.landed_pages(t.spark, path, schemas.SENSOR_ENVELOPE, multi_line=False), ["sensor_id"])
+
+
 register(
     "v_page_overlap",
     lambda t: paging.v_page_overlap(landing.country_pages(t)),

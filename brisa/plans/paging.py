@@ -49,6 +49,12 @@ def v_page_completeness(records: DataFrame, source: Sequence[str], page_cap: int
     return sort_multi(per_source.withColumn("status", status), *source)
 
 
+def v_page_states(pages: DataFrame, source: Sequence[str]) -> DataFrame:
+    """Per source and state: pages and records. Unreadable pages have no source; sources with empty pages only are listed."""
+    found = pages.groupBy(*source, "state").agg(agg_count().alias("pages"), F.sum("n").alias("records"))
+    return sort_multi(found, *source, "state")
+
+
 def v_page_overlap(records: DataFrame, code: str = "code", page: str = "page") -> DataFrame:
     """Per page: its records, and how many of them are new or were seen on earlier pages."""
     counted = records.groupBy(code, page).agg(agg_count().alias("_n"))

@@ -51,6 +51,26 @@ def explode_envelopes(pages: DataFrame) -> DataFrame:
     )
 
 
+def landed_pages(spark: SparkSession, path: str, schema: T.StructType = schemas.ENVELOPE, multi_line: bool = True) -> DataFrame:
+    """One row per landed page, with the file it is in, its number of records and its state.
+
+    A page that is cut or malformed is "unreadable" and known by its file only; one whose list is empty or null
+    is "empty"; all others are "good". None is left out.
+    """
+    raw = "_corrupt_record"
+    pages = spark.read.schema(T.StructType([*schema.fields, T.StructField(raw, T.StringType())])).option("multiLine", multi_line).json(path)
+    readable = F.col(raw).isNull()
+    n = F.coalesce(F.size("results"), F.lit(0))
+    n = F.when(readable & (n > 0), n).otherwise(0).cast("bigint")
+    told = {c: F.col(c) for c in schema.names if c not in ("meta", "results", "run")}
+    told |= {c: F.col(f"meta.{c}") for c in ("page", "found", "limit")}
+    state = F.when(~readable, "unreadable").when(n == 0, "empty").otherwise("good")
+    return pages.select(
+        F.col("_metadata.file_path").alias("file"), *[F.when(readable, c).alias(name) for name, c in told.items()],
+        n.alias("n"), state.alias("state"),
+    )
+
+
 def tag_context(records: DataFrame, sensors: DataFrame) -> DataFrame:
     """Adds the owner keys of the sensor whose page a record came on.
 

@@ -5,6 +5,7 @@ from pathlib import Path
 
 from brisa import schemas
 from brisa.session import scratch_path
+from brisa.sources import files
 from brisa.streaming import ingest
 
 NOW = "2024-02-01 00:00:00"
@@ -53,6 +54,20 @@ def test_later_runs_correct_earlier_rows(spark):
     assert [r.reason for r in bad.collect()] == ["coverage is not an object"]
 
 
+def test_every_landed_page_is_accounted_for(spark):
+    folder = Path(scratch_path(spark, "landing").removeprefix("file:"))
+    land(folder, "1", 1, 1, record(1), record(2, hour=5))
+    land(folder, "1", 2, 1)
+    good = (folder / "run=1" / "1-1.json").read_text()
+    (folder / "run=1" / "3-1.json").write_text(good[: len(good) // 2])
+    (folder / "run=1" / "4-1.json").write_text('{"sensor_id":4,"meta":{"page":1},"results":null}')
+    for multi_line in (True, False):
+        found = files.landed_pages(spark, str(folder), schemas.SENSOR_ENVELOPE, multi_line).collect()
+        assert sorted((r.file[-8:], r.sensor_id, r.n, r.state) for r in found) == [
+            ("1-1.json", 1, 2, "good"), ("2-1.json", 2, 0, "empty"), ("3-1.json", None, 0, "unreadable"), ("4-1.json", 4, 0, "empty"),
+        ]
+
+
 def test_daily_stream_counts_corrections_once_and_late_rows(spark):
     landed, table, target, state = (scratch_path(spark, n) for n in ("landed", "table", "daily", "state"))
     schema = (
