@@ -221,6 +221,11 @@ class Model:
         """
         return _as_payload(self.table("events"))
 
+    @property
+    def uncorrected_records(self) -> DataFrame:
+        """The same records with values that a later run corrects."""
+        return _as_payload(self.table("events").withColumn("value", F.col("value") - 5))
+
 
 def _is_event_of(parameters: tuple[str, ...]) -> Column:
     types = [t for t, p in EVENT_PARAMETERS.items() if p in parameters]

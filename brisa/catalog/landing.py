@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,14 +13,14 @@ from brisa.session import scratch_path
 PAGE_SIZE = 1000
 
 
-def measurement_pages(t: Model) -> DataFrame:
+def measurement_pages(t: Model, records: DataFrame | None = None) -> DataFrame:
     """One line per page of a sensor.
 
     A page holds one sensor's events of a block of event ids, so it can never hold
     more than the page size, however many events the sensor has. Every third
     sensor reports its total as text that is no number.
     """
-    records = t.measurement_records
+    records = t.measurement_records if records is None else records
     page = (F.floor(F.col("event_id") / PAGE_SIZE) + 1).cast("int")
     pages = records.groupBy("sensor_id", page.alias("page")).agg(
         F.array_sort(F.collect_list(F.struct("event_id", "json"))).alias("rows")
@@ -41,6 +43,23 @@ def land_measurement_pages(t: Model) -> str:
     return path
 
 
+def measurement_runs(t: Model) -> Iterator[str]:
+    """Lands two load runs in one folder, which is given after each.
+
+    The first has the pages of the lower half of the event ids, with wrong values. The second has all pages, which
+    corrects the first, and those of sensors that are in no list: every tenth sensor again, under a negative id.
+    """
+    path = scratch_path(t.spark, "landing")
+    pages = F.floor(F.col("event_id") / PAGE_SIZE) + 1
+    half = t.measurement_records.agg(F.floor((F.max(pages) + 1) / 2).alias("half"))
+    first = t.uncorrected_records.crossJoin(F.broadcast(half)).where(pages <= F.col("half")).drop("half")
+    measurement_pages(t, first).write.text(f"{path}/run=1")
+    yield path
+    unlisted = t.measurement_records.where("sensor_id % 10 = 7").withColumn("sensor_id", -F.col("sensor_id"))
+    measurement_pages(t, t.measurement_records.unionByName(unlisted)).write.text(f"{path}/run=2")
+    yield path
+
+
 def sensor_list(t: Model) -> DataFrame:
     """The sensors whose pages are landed, with the location that owns each."""
     sensors = t.measurements().select("sensor_id", "location_id").distinct()

@@ -448,6 +448,19 @@ def _(t: Model) -> DataFrame:
 _GOOD = "SELECT * FROM records WHERE part NOT IN (1, 5)"
 
 
+def _ingested(t: Model) -> dict[str, str]:
+    """Both landed runs loaded, one after the other; the folders of the landing, the table, the rejected records and the counts."""
+    at = {n: scratch_path(t.spark, n) for n in ("measurements", "rejected", "loaded")}
+    state = scratch_path(t.spark, "stream")
+    sensors = as_written_table(landing.sensor_list(t), "sensors")
+    for at["landing"] in landing.measurement_runs(t):
+        pages = t.spark.readStream.schema(schemas.SENSOR_ENVELOPE).json(at["landing"])
+        ingest.incremental_ingest(
+            pages, sensors, at["measurements"], state, MEASUREMENTS_AS_OF, at["rejected"], at["loaded"]
+        ).awaitTermination()
+    return at
+
+
 @query(
     "incremental_ingest",
     f"""WITH good AS ({_GOOD})
@@ -459,17 +472,38 @@ _GOOD = "SELECT * FROM records WHERE part NOT IN (1, 5)"
         FROM good GROUP BY sensor_id, hour""",
 )
 def _(t: Model) -> DataFrame:
-    path = landing.land_measurement_pages(t)
-    target = scratch_path(t.spark, "measurements")
-    pages = t.spark.readStream.schema(schemas.SENSOR_ENVELOPE).json(path)
-    ingest.incremental_ingest(
-        pages, as_written_table(landing.sensor_list(t), "sensors"), target, scratch_path(t.spark, "stream"), MEASUREMENTS_AS_OF
-    ).awaitTermination()
-    return t.spark.read.parquet(target).select(
+    return t.spark.read.parquet(_ingested(t)["measurements"]).select(
         *KEY, "period_label", "location_id", "parameter_name", "value", "has_flags", "extracted_at"
     )
 
 
+@query(
+    "incremental_ingest_counts",
+    """WITH half AS (SELECT (max(page) + 1) // 2 AS half FROM records),
+       runs AS (SELECT 1 AS run, part, sensor_id FROM records, half WHERE page <= half
+                UNION ALL SELECT 2, part, sensor_id FROM records
+                UNION ALL SELECT 2, part, -sensor_id FROM records WHERE sensor_id % 10 = 7),
+       told AS (SELECT run, CASE WHEN sensor_id < 0 THEN 'unknown sensor' WHEN part = 1 THEN 'coverage is not an object'
+                                 WHEN part = 5 THEN 'value does not fit decimal(15,6)' ELSE 'loaded' END AS outcome FROM runs)
+       SELECT CAST(run AS BIGINT) AS run, outcome, count(*) AS records,
+              CAST(sum(count(*)) OVER (PARTITION BY run) AS BIGINT) AS landed
+       FROM told GROUP BY run, outcome""",
+)
+def _(t: Model) -> DataFrame:
+    """Loaded and rejected records of each run, beside those that its pages hold."""
+    at = _ingested(t)
+    batch = "batch BIGINT"
+    bad = t.spark.read.schema(f"sensor_id BIGINT, record STRING, reason STRING, {batch}").json(at["rejected"])
+    told = bad.groupBy("batch", F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("records"))
+    good = t.spark.read.schema(f"records BIGINT, {batch}").json(at["loaded"])
+    told = told.unionByName(good.where("records > 0").withColumn("outcome", F.lit("loaded")))
+    pages = files.landed_pages(t.spark, at["landing"], schemas.SENSOR_ENVELOPE, multi_line=False)
+    run = F.regexp_extract("file", "/run=([0-9]+)/", 1).cast("bigint")
+    landed = pages.groupBy(run.alias("run")).agg(F.sum("n").alias("landed"))
+    told = told.select((F.col("batch") + 1).alias("run"), "outcome", "records")
+    return landed.join(told, "run", "left").select("run", "outcome", "records", "landed")
+
+
 @query(
     "daily_avg_stream",
     f"""WITH kept AS (

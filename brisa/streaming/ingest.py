@@ -24,13 +24,16 @@ def incremental_ingest(
     target: str,
     checkpoint: str,
     as_of: date | datetime | str,
-    rejected: str | None = None,
+    rejected: str,
+    loaded: str | None = None,
 ) -> StreamingQuery:
     """Each run takes the pages that have newly landed and upserts them by key.
 
     A late or corrected period overwrites its row no matter how late it comes: the
     state is the table itself, so no watermark is needed. Records that cannot
-    be loaded are kept under ``rejected``, one folder per batch.
+    be loaded are kept under ``rejected``, one folder per batch: the checkpoint
+    moves past them, so that is the only place where they stay. ``loaded`` gets the
+    number of records that went into the table, also by batch.
     """
     records = tag_context(explode_envelopes(pages), sensors)
 
@@ -38,15 +41,17 @@ def incremental_ingest(
         # parsed once; the rows to load and those to set aside are read back
         parsed = flatten_measurements(with_reject_reason(batch))
         rows = as_written_table(stamp(parsed, as_of), "batch")
+        good = rows.where(F.col("reason").isNull())
         upsert_partial(
-            target, rows.where(F.col("reason").isNull()), MEASUREMENT.key,
+            target, good, MEASUREMENT.key,
             schemas.MEASUREMENT_FIRST, schemas.MEASUREMENT_LAST, ["seq"], written=True,
         )
-        if rejected is not None:
-            bad = rows.where(F.col("reason").isNotNull())
-            bad.select("sensor_id", F.col("rejected_record").alias("record"), "reason").write.mode(
-                "overwrite"
-            ).json(f"{rejected}/batch={batch_id}")
+        bad = rows.where(F.col("reason").isNotNull())
+        bad.select("sensor_id", F.col("rejected_record").alias("record"), "reason").write.mode(
+            "overwrite"
+        ).json(f"{rejected}/batch={batch_id}")
+        if loaded is not None:
+            good.agg(F.count(F.lit(1)).alias("records")).write.mode("overwrite").json(f"{loaded}/batch={batch_id}")
 
     return (
         records.writeStream.foreachBatch(load)

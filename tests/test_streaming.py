@@ -3,6 +3,8 @@
 from datetime import datetime
 from pathlib import Path
 
+import pytest
+
 from brisa import schemas
 from brisa.session import scratch_path
 from brisa.sources import files
@@ -54,6 +56,30 @@ def test_later_runs_correct_earlier_rows(spark):
     assert [r.reason for r in bad.collect()] == ["coverage is not an object"]
 
 
+def test_every_landed_record_is_loaded_or_kept(spark):
+    folder = Path(scratch_path(spark, "landing").removeprefix("file:"))
+    target, state, rejected, loaded = (scratch_path(spark, n) for n in ("target", "state", "rejected", "loaded"))
+    sensors = spark.createDataFrame([(1, 25, "here")], "sensor_id BIGINT, location_id INT, location_name STRING")
+    pages = spark.readStream.schema(schemas.SENSOR_ENVELOPE).json
+
+    def run():
+        ingest.incremental_ingest(pages(str(folder)), sensors, target, state, NOW, rejected, loaded).awaitTermination()
+        bad = [(r.batch, r.sensor_id, r.reason) for r in spark.read.json(rejected).collect()]
+        return sorted(bad), sorted((r.batch, r.records) for r in spark.read.json(loaded).collect())
+
+    land(folder, "1", 1, 1, record(1), record(2), '{"coverage":null}')
+    land(folder, "1", 9, 1, record(3))
+    first = [(0, 1, "coverage is not an object"), (0, 9, "unknown sensor")]
+    assert run() == (first, [(0, 2)])
+    land(folder, "2", 9, 1, record(4), record(5, hour=5))
+    land(folder, "2", 1, 1, record(6))
+    assert run() == ([*first, *[(1, 9, "unknown sensor")] * 2], [(0, 2), (1, 1)])
+    assert [float(r.value) for r in spark.read.parquet(target).collect()] == [6.0]
+
+    with pytest.raises(TypeError):  # no folder, no load
+        ingest.incremental_ingest(pages(str(folder)), sensors, target, state, NOW)
+
+
 def test_every_landed_page_is_accounted_for(spark):
     folder = Path(scratch_path(spark, "landing").removeprefix("file:"))
     land(folder, "1", 1, 1, record(1), record(2, hour=5))
