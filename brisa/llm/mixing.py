@@ -197,16 +197,38 @@ def mix(
 
 
 def _last_round(rows: DataFrame) -> DataFrame:
-    """Keys of the rows that fill ``__part`` words of each pattern, in the order of the seeded key.
+    """Keys of the rows that fill ``__part`` words of each pattern, until no row that is left fits in what is open.
 
-    The key is read as digits. Level by level the digit is found at which the words run out; all rows below
-    are taken, those of that digit go on until a pattern has few rows left, of which some are taken to fit. Only the sums per digit are compared, 256 of a pattern at most, and every row is read once
-    per level, so no task sees a whole pattern.
+    A pass may end at a few rows that are too long, although others would fit. The next one sees the rows not taken that
+    are no longer than its pattern's open words, so each pass takes at least one row of every pattern that has any.
     """
     keys = rows.groupBy("__label", "__key").agg(
         F.sum("__size").alias("__size"), F.first("__part").alias("__part"), F.first("__rows").alias("__rows")
     )
     keys = as_written_table(keys, "mix-keys")
+    out: DataFrame | None = None
+    while True:
+        taken = as_written_table(_pass(keys), "mix-taken")
+        out = taken if out is None else out.unionByName(taken)
+        marked = keys.join(taken.withColumn("__in", F.lit(True)), ["__label", "__key"], "left")
+        words = F.sum(F.when(F.col("__in"), F.col("__size")).otherwise(0))
+        gaps = marked.groupBy("__label").agg((F.first("__part") - words).alias("__gap"))
+        gaps = as_written_table(gaps.where("__gap > 0"), "mix-gaps")
+        fits = marked.where("__in IS NULL AND __size > 0").join(gaps, "__label").where("__size <= __gap")
+        fits = as_written_table(fits.select("__label", "__key", "__size", F.col("__gap").alias("__part")), "mix-keys")
+        if fits.isEmpty():
+            return out
+        counts = as_written_table(fits.groupBy("__label").agg(F.count(F.lit(1)).alias("__rows")), "mix-counts")
+        keys = as_written_table(fits.join(counts, "__label"), "mix-keys")
+
+
+def _pass(keys: DataFrame) -> DataFrame:
+    """Keys of rows that fill at most ``__part`` words of each pattern, in the order of the seeded key.
+
+    The key is read as digits. Level by level the digit is found at which the words run out; all rows below
+    are taken, those of that digit go on until a pattern has few rows left, of which some are taken to fit. Only the sums per digit are compared, 256 of a pattern at most, and every row is read once
+    per level, so no task sees a whole pattern.
+    """
     unsigned = F.col("__key")
     out: DataFrame | None = None
     shift = 64

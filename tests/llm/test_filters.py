@@ -82,6 +82,27 @@ def test_selection_of_many_rows_needs_no_whole_group(make, monkeypatch):
     assert all(abs(taken[s] - t) <= 8 for s, t in target.items())
 
 
+def test_long_documents_leave_no_room_open(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(40):  # 40 sources, each with five documents of 100,000 words
+        sizes = [rng.randrange(50, 901) for _ in range(4995)] + [100_000] * 5
+        rows += [(len(rows) + j, [f"s{i:02}"], n) for j, n in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, members array<string>, size int")
+    total = Counter()
+    for _, (s,), n in rows:
+        total[s] += n
+    taken, left = Counter(), {}
+    for r in mixing.mix(docs, "members", "size", lambda sizes: {s: n // 2 for s, n in sizes.items()}).collect():
+        (s,) = r.members
+        taken[s] += r.repeats * r.size
+        if not r.repeats:
+            left[s] = min(r.size, left.get(s, r.size))
+    gaps = {s: n // 2 - taken[s] for s, n in total.items()}
+    assert all(0 <= gap < left[s] for s, gap in gaps.items())
+    assert max(gap / (total[s] // 2) for s, gap in gaps.items()) < 0.001
+
+
 def test_mix_of_odd_rows(make, odd):
     done = mixing.standard_mix(odd).collect()
     assert len(done) == len(ODD) and all(r.taken <= 3 * r.size for r in done)
