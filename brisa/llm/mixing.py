@@ -140,13 +140,14 @@ def mix(
     targets=standard_targets,
     max_repeats: int = MAX_REPEATS,
     seed: int = SEED,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Adds ``repeats`` (how often the mix takes a row), ``pattern_size`` and nothing else.
 
     ``members`` is an array column with the sources of a row (a null element is a source of its own; a null
     or empty array belongs nowhere and is not taken); ``size`` a count of words (null counts as 0). ``targets``
     maps the sizes of the sources (a row counts in each of its sources) to their targets. Rows that agree in
-    all their columns are taken alike. An empty table gives an empty result.
+    all their columns but the ``carried`` ones are taken alike. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     names = docs.columns
@@ -154,7 +155,7 @@ def mix(
         "*",
         F.array_sort(F.array_distinct(F.coalesce(members, F.array().cast("array<string>")))).alias("__pattern"),
         F.coalesce(F.col(size), F.lit(0)).cast("long").alias("__size"),
-        F.xxhash64(F.lit(seed), *names).alias("__key"),
+        F.xxhash64(F.lit(seed), *[n for n in names if n not in carried]).alias("__key"),
     )
     slim = as_written_table(slim, "mix")
     # null is lost as a key of a text, so a pattern is told apart by its own JSON text
@@ -296,24 +297,24 @@ def _fill(rows):
     return rows[rows["__key"].isin(chosen)][["__label", "__key"]]
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
+def sized(docs: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    return docs.select(*carried, "doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"),
                        F.xxhash64(text_or_empty()).alias("text_hash"))
 
 
-def standard_mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
+def standard_mix(docs: DataFrame, seed: int = SEED, carried: Sequence[str] = ()) -> DataFrame:
     """doc_id, size, source_size, target, taken of every row; ``source`` is its only source, null one of its own."""
-    rows = sized(docs).withColumn("members", F.array("source"))
+    rows = sized(docs, carried).withColumn("members", F.array("source"))
     kept: dict[str | None, float] = {}
 
     def targets(sizes):
         kept.update(standard_targets(sizes))
         return kept
 
-    mixed = mix(rows, "members", "size", targets, MAX_REPEATS, seed)
+    mixed = mix(rows, "members", "size", targets, MAX_REPEATS, seed, carried)
     schema = T.StructType([T.StructField("__source", T.StringType()), T.StructField("target", T.DoubleType())])
     goal = docs.sparkSession.createDataFrame(list(kept.items()), schema)
     return mixed.join(goal, F.col("source").eqNullSafe(F.col("__source"))).select(
-        "doc_id", "size", F.col("pattern_size").alias("source_size"), "target",
+        *carried, "doc_id", "size", F.col("pattern_size").alias("source_size"), "target",
         (F.col("size") * F.col("repeats")).cast("long").alias("taken"), F.col("repeats").cast("int").alias("repeats"),
     )

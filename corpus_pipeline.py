@@ -26,21 +26,31 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return radix_dedup.keep_one(docs)
 
 
+def with_row(docs: DataFrame) -> DataFrame:
+    """The documents with a written key of their own, as ids may be null or repeat."""
+    return as_written_table(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked texts: the one with the smallest id.
+    """One row of each group of linked texts: the one with the smallest id.
 
-    Rows without an id stay unless they are linked with a row that has one.
+    A row without an id stays only if it is linked with no row that has one. Among rows that repeat an id, or have none,
+    the text's hash decides.
     """
-    found = shingle_join.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    rows = with_row(docs)
+    found = shingle_join.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"))
+    found = found.select(F.col("doc_id").alias("__row"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64("text"), "__row")
+    asked = rows.select("__row", order.alias("order")).join(found, "__row")
+    kept = asked.groupBy("component_id").agg(F.min_by("__row", "order").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: up to three rows, or none."""
-    plan = mixing.standard_mix(docs).where("repeats > 0")
-    plan = plan.groupBy(F.col("doc_id").alias("__id")).agg(F.max("repeats").alias("__repeats"))
-    rows = docs.join(plan, F.col("doc_id").eqNullSafe(F.col("__id")))
+    rows = with_row(docs)
+    plan = mixing.standard_mix(rows, carried=["__row"]).where("repeats > 0").select("__row", F.col("repeats").alias("__repeats"))
+    rows = rows.join(plan, "__row")
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__repeats"))).select(*docs.columns)
 
 

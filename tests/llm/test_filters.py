@@ -239,3 +239,27 @@ def test_pipeline_on_a_small_table(spark, tokenizer):
     out = catalog.QUERIES["pipeline"](spark, base).collect()
     assert 0 < len(out) and max(Counter(r.doc_id for r in out).values()) <= 3
     assert all(r.n_tokens == len(tokenizer.encode_ordinary(text[r.doc_id])) for r in out)
+
+
+def test_pipeline_decides_by_row(spark, make):
+    import corpus_pipeline
+
+    near = [" ".join(f"{w}{i}" for i in range(200)) for w in ("a", "b", "c")]
+    rows = [
+        (None, near[0], "en", "a"), (None, near[0] + " x", "en", "a"), (None, "alone and without any id at all", "en", "a"),
+        (5, near[1], "en", "a"), (None, near[1] + " x", "en", "a"),
+        (3, near[2], "en", "a"), (7, near[2] + " x", "en", "a"), (7, "another text under the id of a linked one", "en", "a"),
+        (None, None, None, None), (None, "", None, None),
+    ]
+    kept = corpus_pipeline.near_copies(spark, make(rows), "").collect()
+    assert Counter((r.doc_id, (r.text or "")[:2]) for r in kept) == Counter(
+        {(None, "a0"): 1, (None, "al"): 1, (5, "b0"): 1, (3, "c0"): 1, (7, "an"): 1, (None, ""): 2}
+    )
+
+    rng = random.Random(3)
+    rows = [(i % 3 or None, "w " * rng.randrange(1, 40) + str(i), "en", "ab"[i % 2]) for i in range(600)]
+    docs = make(rows)
+    out = Counter((r.source, r.text) for r in corpus_pipeline.mixed(spark, docs, "").collect())
+    target = mixing.standard_targets({s: sum(len(t.split()) for _, t, _, x in rows if x == s) for s in "ab"})
+    taken = {s: sum(n * len(t.split()) for (x, t), n in out.items() if x == s) for s in "ab"}
+    assert max(out.values()) <= 3 and all(abs(taken[s] - target[s]) <= 40 for s in "ab")
