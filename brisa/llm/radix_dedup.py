@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from brisa.llm.common import SPACE, text_or_empty
@@ -119,7 +120,8 @@ def _split(rows: DataFrame, width: int, first: bool) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, with one row of each group of equal texts.
 
-    Rows are found again by id and digest. Where rows repeat both, one of them stays.
+    Rows are found again by id and digest. Where rows repeat both, the one with the most code points stays, as in
+    the groups; the order of all its columns decides among equals.
     """
     name = "__llm_sha256"
     found = as_written_table(exact_groups(docs), "radix-result")
@@ -129,5 +131,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows_kept = rows.join(kept, match, "left_semi")
     again = found.groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not again.isEmpty():
-        rows_kept = rows_kept.dropDuplicates(["doc_id", name])
+        place, length = "__llm_place", -F.length(text_or_empty())
+        columns = F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"})
+        first = Window.partitionBy("doc_id", name).orderBy(length, columns)
+        rows_kept = rows_kept.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
     return rows_kept.drop(name)

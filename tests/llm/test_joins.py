@@ -143,6 +143,14 @@ def test_exact_groups(make):
     assert Counter((r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in found) == exact(rows)
 
 
+def test_the_very_row_that_was_chosen_stays(make):
+    texts = ["a b c", "a  b   c", "ab c", "a b  c", "abc"]
+    for shift in range(len(texts)):
+        rows = [(k, t, "en", "a") for k in (1, None) for t in texts[shift:] + texts[:shift]]
+        kept = radix_dedup.keep_one(make(rows).repartition(3)).collect()
+        assert [(r.doc_id, r.text) for r in kept] == [(1, "a  b   c")]
+
+
 def test_keep_one_row_of_each_group(make, odd):
     kept = radix_dedup.keep_one(odd)
     assert kept.columns == odd.columns
