@@ -34,7 +34,7 @@ TOP = 2000
 
 PRIME = (1 << 61) - 1
 BASE = 1_234_567_890_123_456_789 % PRIME
-SEGMENT = 1 << 18
+SEGMENT = 1 << 16
 BLOCK_BYTES = 2 * 1024 * 1024
 # Entries that a task adds up before it sends them on.
 HELD = 1_000_000
@@ -133,7 +133,8 @@ class Block:
         self.data[self.start - 1] = ord(" ")
         self.end = np.append(self.start[1:] - 1, len(self.data))[: len(starts)]
         self.words = len(starts)
-        self._low, self._high = _sums_at(self.data, self.start), _sums_at(self.data, self.end)
+        sums = _sums_at(self.data, np.stack([self.start, self.end], axis=1).reshape(-1))
+        self._low, self._high = sums[::2], sums[1::2]
         self._back = _back(self.start)
 
     def prints(self, first: np.ndarray, size: int, bits: int = 61) -> np.ndarray:
@@ -172,7 +173,7 @@ class Filter:
 
 
 def _salt(lang: str, size: int) -> int:
-    return xxhash.xxh3_64_intdigest(f"{size}:{lang}".encode()) >> 3
+    return xxhash.xxh64_intdigest(f"{size}:{lang}".encode(), seed=42) & PRIME  # as F.xxhash64
 
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[str, Block]]:
@@ -342,15 +343,12 @@ def _bitmap(frequent: DataFrame, size: int) -> np.ndarray:
     bits = 1 << 15
     while bits < min(MAX_BITS, BITS_EACH * rows.count()):
         bits *= 2
-    # languages are few: one salt each
-    salts = [r.lang for r in rows.select("lang").distinct().collect()]
-    salt = F.create_map(*[x for s in salts for x in (F.lit(s), F.lit(_salt(s, size)))]) if salts else None
+    salt = F.xxhash64(F.concat(F.lit(f"{size}:"), F.col("lang"))).bitwiseAND(F.lit(PRIME))
+    at = F.col("print").bitwiseXOR(salt).bitwiseAND(F.lit(bits - 1))
+    parts = rows.select(at.alias("at")).groupBy(F.floor(F.col("at") / 32768).alias("part"))
     out = np.zeros(bits // 8, np.uint8)
-    if salts:
-        at = F.col("print").bitwiseXOR(salt[F.col("lang")]).bitwiseAND(F.lit(bits - 1))
-        parts = rows.select(at.alias("at")).groupBy(F.floor(F.col("at") / 32768).alias("part"))
-        for r in parts.agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("map")).toLocalIterator():
-            out[r.part * 4096 : (r.part + 1) * 4096] = np.frombuffer(r.map, np.uint8)
+    for r in parts.agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("map")).toLocalIterator():
+        out[r.part * 4096 : (r.part + 1) * 4096] = np.frombuffer(r.map, np.uint8)
     return out
 
 
