@@ -21,8 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brisa.llm.common import bounded_batches, text_or_empty
-from brisa.session import as_written_table
+from brisa.llm.common import as_derived_table, bounded_batches, text_or_empty
 
 # What separates words, and what separates pieces that no phrase crosses.
 BLANKS = b" \t"
@@ -372,13 +371,13 @@ def frequent_phrases(
             continue
         rows = texts.mapInArrow(_counter(sizes, spark.sparkContext.broadcast(dict(found)), bits), _COUNTS)
         counted = rows.groupBy("lang", "size", "print").agg(F.sum("n").alias("n"))
-        counted = as_written_table(counted.where((F.col("size") == 0) | (F.col("n") >= min_count)), "fingerprints")
+        counted = as_derived_table(counted.where((F.col("size") == 0) | (F.col("n") >= min_count)), "fingerprints")
         if totals is None:
             totals = counted.where((F.col("size") == 0) & (F.col("n") > 0)).select("lang", "n")
         found |= {s: _bitmap(counted, s) for s in sizes}
     read = texts.mapInArrow(_reader(max_words, spark.sparkContext.broadcast(found), bits), _PHRASES)
     phrases = read.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"), F.min("doc").alias("doc"))
-    return as_written_table(phrases.where(F.col("n") >= min_count), "phrases"), totals
+    return as_derived_table(phrases.where(F.col("n") >= min_count), "phrases"), totals
 
 
 def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
@@ -419,7 +418,7 @@ def collocations(
     rows. Columns other than doc_id, text and lang are not read.
     """
     phrases, totals = frequent_phrases(docs, max_words, min_count, bits)
-    candidates = as_written_table(scored(phrases, totals), "candidates")
+    candidates = as_derived_table(scored(phrases, totals), "candidates")
     kept = candidates.join(_inside(candidates), ["lang", "phrase"], "left")
     kept = kept.where(F.col("longer").isNull() | (100 * F.col("longer") < 100 * F.col("a")))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

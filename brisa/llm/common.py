@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brisa.session import as_written_table
+
 # The white space that separates words.
 SPACE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,3 +48,11 @@ def held_out() -> Column:
     A row without an id counts as the empty text (remainder 0).
     """
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+def as_derived_table(df: DataFrame, label: str) -> DataFrame:
+    """``as_written_table`` for rows that are few or narrow against the corpus: one or two files for each core, not one for each partition.
+
+    Every file costs its own creation, which a table of a few kilobytes in some hundred files pays hundreds of times.
+    """
+    return as_written_table(df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism), label)

@@ -23,8 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.common import bounded_batches
-from brisa.session import as_written_table
+from brisa.llm.common import as_derived_table, bounded_batches
 
 # Letters of a word, all of them in Latin-1.
 LETTERS = "A-Za-z\\u00C0-\\u00FF"
@@ -38,6 +37,7 @@ RATIO = 10
 # A bucket with more letters than this is cut again; a task reads about as many at once.
 BUCKET_LETTERS = 2_000_000
 BLOCK_ROWS = 100_000
+BLOCK_BYTES = 8_000_000
 # Words compared at a time.
 QUERIES = 1024
 
@@ -103,13 +103,13 @@ def _fitting(words: DataFrame, min_length: int, letters: int) -> DataFrame:
     while True:
         sizes = _keyed(open_rows).groupBy(*_KEY).agg(F.sum(F.length("word")).alias("letters"))
         large = (F.col("letters") > letters) & (F.col("m") - F.col("s") - F.col("t") > 1)
-        hot = as_written_table(sizes.where(large).select(*_KEY), "large-buckets")
+        hot = as_derived_table(sizes.where(large).select(*_KEY), "large-buckets")
         if hot.isEmpty():
             return open_rows if done is None else done.unionByName(open_rows)
         keyed = _keyed(open_rows)
         fits = keyed.join(hot, _KEY, "left_anti").drop("head", "tail")
         done = fits if done is None else done.unionByName(fits)
-        open_rows = as_written_table(_halved(keyed.join(hot, _KEY, "left_semi").drop("head", "tail")), "halved")
+        open_rows = as_derived_table(_halved(keyed.join(hot, _KEY, "left_semi").drop("head", "tail")), "halved")
 
 
 class SortedList:
@@ -130,8 +130,14 @@ class SortedList:
         bucket = np.cumsum(starts) - 1
         edges = np.append(np.flatnonzero(starts), n)
         self.low, self.high = edges[bucket].astype(np.int32), edges[bucket + 1].astype(np.int32)
-        # where a prefix of d + 1 code points begins
-        self.heads = {d: np.append(np.flatnonzero(self.lcp <= d), n).astype(np.int32) for d in range(lead, self.m + 1)}
+        self.n = n
+        self._heads: dict[int, np.ndarray] = {}
+
+    def heads(self, d: int) -> np.ndarray:
+        """Rows where a prefix of d + 1 code points begins."""
+        if d not in self._heads:
+            self._heads[d] = np.append(np.flatnonzero(self.lcp <= d), self.n).astype(np.int32)
+        return self._heads[d]
 
     def near(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pairs (query, word) of rows that differ by one edit. Queries have m code points."""
@@ -141,7 +147,7 @@ class SortedList:
         a = np.ones(len(query), np.int8)
         b, c = np.zeros(len(query), np.int8), np.ones(len(query), np.int8)
         for d in range(self.lead, m + 1):
-            heads = self.heads[d]
+            heads = self.heads(d)
             first = np.searchsorted(heads, low)
             count = np.searchsorted(heads, high) - first
             row = np.repeat(np.arange(len(query), dtype=np.int32), count)
@@ -190,7 +196,7 @@ def _pairs_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
         forward = np.where(short[:, None], np.roll(forward, -1, axis=1), forward)
     order = np.empty(len(n), np.int64)
     order[np.lexsort(forward.T[::-1])] = np.arange(len(n))
-    queries = np.flatnonzero(codes[:, m] == 0).astype(np.int32)
+    queries = np.flatnonzero((codes[:, m] == 0) & (words.high - words.low > 1)).astype(np.int32)
     froms, tos = [], []
     for i in range(0, len(queries), QUERIES):
         q, w = words.near(queries[i : i + QUERIES])
@@ -217,20 +223,21 @@ def _pairs_of(table: pa.Table) -> Iterator[pa.RecordBatch]:
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows of whole buckets; a block ends where a bucket ends."""
-    held, rows = [], 0
+    held, rows, size = [], 0, 0
     for batch in batches:
         if not batch.num_rows:
             continue
         held.append(batch)
         rows += batch.num_rows
-        if rows < BLOCK_ROWS:
+        size += batch.nbytes
+        if rows < BLOCK_ROWS and size < BLOCK_BYTES:
             continue
         table = pa.Table.from_batches(held)
         cut = _last_start(table)
         if cut:
             yield from _blocks(table.slice(0, cut))
             table = table.slice(cut)
-        held, rows = table.combine_chunks().to_batches(), table.num_rows
+        held, rows, size = table.combine_chunks().to_batches(), table.num_rows, table.nbytes
     if held:
         yield from _blocks(pa.Table.from_batches(held))
 
@@ -279,11 +286,11 @@ def near_words(words: DataFrame, min_length: int = MIN_LENGTH, letters: int = BU
 
 def _roots(links: DataFrame) -> DataFrame:
     """(word, root) of the words that have a form. Each round doubles the steps; forms grow by a factor, so there are few."""
-    done = as_written_table(links.select("word", F.col("form").alias("root")), "roots")
+    done = as_derived_table(links.select("word", F.col("form").alias("root")), "roots")
     while True:
         further = done.select(F.col("word").alias("root"), F.col("root").alias("next"))
         jumped = done.join(further, "root", "left").select("word", F.coalesce("next", "root").alias("root"), "next")
-        jumped = as_written_table(jumped, "roots")
+        jumped = as_derived_table(jumped, "roots")
         done = jumped.select("word", "root")
         if jumped.where(F.col("next").isNotNull()).isEmpty():
             return done
@@ -299,14 +306,14 @@ def variants(
     forms of forms end. Null and empty texts give no words, a table without words no rows; repeated rows count each time;
     a run of any length is a word; columns other than doc_id and text are not read.
     """
-    words = as_written_table(vocabulary(docs, min_length, min_count, damage), "vocabulary")
+    words = as_derived_table(vocabulary(docs, min_length, min_count, damage), "vocabulary")
     rows = words.join(near_words(words, min_length, letters), "word", "left")
     formed = F.col("form_n") >= ratio * F.col("n")
     rows = rows.select(
         "word", F.when(formed, F.col("form")).alias("form"), "n",
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.when(formed, F.col("form_n")).alias("form_n"),
     )
-    rows = as_written_table(rows, "variants")
+    rows = as_derived_table(rows, "variants")
     roots = _roots(rows.where(F.col("form").isNotNull()))
     return rows.join(roots, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
