@@ -57,5 +57,6 @@ def as_written_table(df: DataFrame, label: str) -> DataFrame:
     broadcast only if that size is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    # nobody waits for the marker file of a folder that is read by its own writer
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
