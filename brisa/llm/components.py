@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brisa.session import as_written_table
+from brisa.llm.common import as_derived_table
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -17,16 +17,16 @@ def components(edges: DataFrame) -> DataFrame:
     round is a written table. Loops are dropped; no edges give no rows.
     """
     a, b = F.greatest("a", "b"), F.least("a", "b")
-    edges = as_written_table(edges.where("a <> b").select(a.alias("a"), b.alias("b")).distinct(), "edges")
+    edges = as_derived_table(edges.where("a <> b").select(a.alias("a"), b.alias("b")).distinct(), "edges")
     state = _state(edges)
     while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         least = both.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("u", "least").alias("least"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("least").alias("b")).distinct()
-        large = as_written_table(large, "edges")
+        large = as_derived_table(large, "edges")
         least = large.groupBy("a").agg(F.min("b").alias("least"))
         small = large.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        edges = as_written_table(small.union(least.select("a", F.col("least").alias("b"))).distinct(), "edges")
+        edges = as_derived_table(small.union(least.select("a", F.col("least").alias("b"))).distinct(), "edges")
         new = _state(edges)
         if new == state:
             break

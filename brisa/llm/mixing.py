@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brisa.llm.common import WORD, text_or_empty
+from brisa.llm.common import WORD, as_derived_table, text_or_empty
 from brisa.session import as_written_table
 
 # Fixed values of the standard mix.
@@ -206,21 +206,21 @@ def _last_round(rows: DataFrame) -> DataFrame:
     keys = rows.groupBy("__label", "__key").agg(
         F.sum("__size").alias("__size"), F.first("__part").alias("__part"), F.first("__rows").alias("__rows")
     )
-    keys = as_written_table(keys, "mix-keys")
+    keys = as_derived_table(keys, "mix-keys")
     out: DataFrame | None = None
     while True:
-        taken = as_written_table(_pass(keys), "mix-taken")
+        taken = as_derived_table(_pass(keys), "mix-taken")
         out = taken if out is None else out.unionByName(taken)
         marked = keys.join(taken.withColumn("__in", F.lit(True)), ["__label", "__key"], "left")
         words = F.sum(F.when(F.col("__in"), F.col("__size")).otherwise(0))
         gaps = marked.groupBy("__label").agg((F.first("__part") - words).alias("__gap"))
-        gaps = as_written_table(gaps.where("__gap > 0"), "mix-gaps")
+        gaps = as_derived_table(gaps.where("__gap > 0"), "mix-gaps")
         fits = marked.where("__in IS NULL AND __size > 0").join(gaps, "__label").where("__size <= __gap")
-        fits = as_written_table(fits.select("__label", "__key", "__size", F.col("__gap").alias("__part")), "mix-keys")
+        fits = as_derived_table(fits.select("__label", "__key", "__size", F.col("__gap").alias("__part")), "mix-keys")
         if fits.isEmpty():
             return out
-        counts = as_written_table(fits.groupBy("__label").agg(F.count(F.lit(1)).alias("__rows")), "mix-counts")
-        keys = as_written_table(fits.join(counts, "__label"), "mix-keys")
+        counts = as_derived_table(fits.groupBy("__label").agg(F.count(F.lit(1)).alias("__rows")), "mix-counts")
+        keys = as_derived_table(fits.join(counts, "__label"), "mix-keys")
 
 
 def _pass(keys: DataFrame) -> DataFrame:
@@ -268,7 +268,7 @@ def _pass(keys: DataFrame) -> DataFrame:
         out = out.unionByName(
             at.where(F.col("c.open") | (F.col("__digit") < F.col("c.at"))).select("__label", "__key")
         )
-        keys = as_written_table(
+        keys = as_derived_table(
             at.where(~F.col("c.open") & (F.col("__digit") == F.col("c.at"))).select(
                 "__label", "__key", "__size", F.col("c.left").alias("__part"), F.col("c.rows").alias("__rows")
             ),

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from brisa.llm.common import SPACE, text_or_empty
+from brisa.llm.common import SPACE, as_derived_table, text_or_empty
 from brisa.session import as_written_table
 
 FIRST_RUN = 32
@@ -124,7 +124,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     the groups; the order of all its columns decides among equals.
     """
     name = "__llm_sha256"
-    found = as_written_table(exact_groups(docs), "radix-result")
+    found = as_derived_table(exact_groups(docs), "radix-result")
     kept = found.where("kept").select(F.col("doc_id").alias("__llm_id"), F.col("text_sha256").alias("__llm_key"))
     rows = docs.withColumn(name, F.sha2(without_space(text_or_empty()).cast("binary"), 256))
     match = rows["doc_id"].eqNullSafe(kept["__llm_id"]) & (rows[name] == kept["__llm_key"])

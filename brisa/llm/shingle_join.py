@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.common import bounded_batches, text_bytes
+from brisa.llm.common import as_derived_table, bounded_batches, text_bytes
 from brisa.llm.components import components
 from brisa.llm.perfect_hash import mix
 from brisa.session import as_written_table
@@ -645,29 +645,29 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
     buckets = bucket_count(docs)
     rows = as_written_table(sets(docs), "sets")
-    found = as_written_table(candidates(signatures(docs, buckets)), "candidates")
+    found = as_derived_table(candidates(signatures(docs, buckets)), "candidates")
     opened = found.where(F.col("kind") == OPEN).select(F.col("a").alias("signature"), F.col("b").alias("id"))
-    facts = as_written_table(_facts(found, opened), "facts")
+    facts = as_derived_table(_facts(found, opened), "facts")
     pairs = found.where(F.col("kind") == PAIR).select("a", "b", "n").union(_centred(opened, facts))
-    pairs = as_written_table(_possible(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), facts), "pairs")
+    pairs = as_derived_table(_possible(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), facts), "pairs")
     unsure = facts.where("heavy > spare").select("id")
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).union(unsure).distinct()
     texts = as_written_table(texts_of(docs, wanted), "texts")
-    numbers = as_written_table(texts.select("id", "node").withColumn("number", F.monotonically_increasing_id()), "numbers")
+    numbers = as_derived_table(texts.select("id", "node").withColumn("number", F.monotonically_increasing_id()), "numbers")
 
     # one partner for each set: the one that shares most
     both = pairs.union(pairs.select("b", "a", "n"))
     first = both.groupBy("b").agg(F.max_by("a", F.struct("n", -F.col("a"))).alias("a"))
-    first = as_written_table(first.select("a", "b"), "pairs")
+    first = as_derived_table(first.select("a", "b"), "pairs")
     mutual = first.select(F.col("b").alias("a"), F.col("a").alias("b")).where("a > b")
-    links = _numbered(verify(as_written_table(first.join(mutual, ["a", "b"], "left_anti"), "pairs"), texts), numbers)
-    roots = as_written_table(_roots(links, numbers), "roots")
+    links = _numbered(verify(as_derived_table(first.join(mutual, ["a", "b"], "left_anti"), "pairs"), texts), numbers)
+    roots = as_derived_table(_roots(links, numbers), "roots")
     # the others, as far as this has not joined them
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = as_written_table(_apart(pairs.select("a", "b"), roots).join(done, ["a", "b"], "left_anti"), "pairs")
+    more = as_derived_table(_apart(pairs.select("a", "b"), roots).join(done, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
-        links = as_written_table(links.union(_numbered(verify(more, texts), numbers)), "links")
-        roots = as_written_table(_roots(links, numbers), "roots")
+        links = as_derived_table(links.union(_numbered(verify(more, texts), numbers)), "links")
+        roots = as_derived_table(_roots(links, numbers), "roots")
     # sets whose open signatures and empty segments leave too few
     named = opened.join(unsure, "id", "left_semi").join(roots.select("id", "root"), "id")
     still = named.groupBy("signature").agg(
@@ -682,10 +682,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     asked = asked.join(lone_shingles(asked, buckets), "id", "left").fillna(0, ["lone"])
     # fewer buckets than before: two sets meet once in each
     last = second_candidates(second_signatures(asked, buckets, -(-buckets // 4))).distinct()
-    last = as_written_table(last.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    last = as_derived_table(last.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     if not last.isEmpty():
-        links = as_written_table(links.union(_numbered(verify(last, texts), numbers)), "links")
-        roots = as_written_table(_roots(links, numbers), "roots")
+        links = as_derived_table(links.union(_numbered(verify(last, texts), numbers)), "links")
+        roots = as_derived_table(_roots(links, numbers), "roots")
     return _labelled(rows, roots, numbers)
 
 
@@ -731,7 +731,7 @@ def _numbered(links: DataFrame, numbers: DataFrame) -> DataFrame:
     """Links of nodes as links of their numbers."""
     a = numbers.select(F.col("node").alias("a"), F.col("number").alias("na"))
     b = numbers.select(F.col("node").alias("b"), F.col("number").alias("nb"))
-    return as_written_table(links.join(a, "a").join(b, "b").select(F.col("na").alias("a"), F.col("nb").alias("b")), "links")
+    return as_derived_table(links.join(a, "a").join(b, "b").select(F.col("na").alias("a"), F.col("nb").alias("b")), "links")
 
 
 def _roots(links: DataFrame, numbers: DataFrame) -> DataFrame:
@@ -750,7 +750,7 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def _labelled(rows: DataFrame, roots: DataFrame, numbers: DataFrame) -> DataFrame:
     """Smallest document of each component, first per text, then per component."""
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    placed = as_written_table(nodes.join(roots.select("node", "root"), "node", "left"), "nodes")
+    placed = as_derived_table(nodes.join(roots.select("node", "root"), "node", "left"), "nodes")
     least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("component"))
     label = placed.join(least, "root", "left").select("node", F.coalesce("component", "least").alias("component_id"))
     return rows.join(label, "node", "left").select(
