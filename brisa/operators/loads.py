@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brisa.operators.ordering import latest_per_key, with_null_key_id
-from brisa.session import as_written_table, scratch_path
+from brisa.session import as_written_table
 from brisa.sources import tables
 
 
-
 class DuplicateKey(ValueError):
     """A key came twice where the table has no rule for it."""
 
@@ -135,22 +134,25 @@ def replace_partition(df: DataFrame, path: str, *columns: str) -> None:
     )
 
 
-def _touched(stored: DataFrame, batch: DataFrame, day: str) -> DataFrame:
-    """Stored rows of the days of the batch. The written days are the join's small side, which prunes the folders."""
-    days = batch.select(day).where(F.col(day).isNotNull()).distinct()
-    return stored.join(as_written_table(days, "batch-days"), day, "left_semi")
+def touched(stored: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
+    """Stored rows of the partitions of the batch.
+
+    The values go into the plan, so that no other folder is listed as input: there are no more of them than partitions of the
+    table, which the driver knows anyway. A join would read all folders, as the batch has no filter to prune by.
+    """
+    values = [r[0] for r in batch.select(partition).where(F.col(partition).isNotNull()).distinct().collect()]
+    return stored.where(F.col(partition).isin(values))
 
 
 def _rewrite_days(
     target: str, df: DataFrame, day: str, schema: T.StructType,
     merge: Callable[[DataFrame, DataFrame], DataFrame], written: bool = False,
 ) -> DataFrame:
-    """Merge a batch into the days that it touches.
+    """Merge a batch into the days (or other partitions) that it touches, with one write.
 
-    The batch is written first, as it is read twice. The merged days go to a
-    staging folder and then replace the stored days; a plan that overwrites
-    the folder it reads from would put the stored rows at risk. Rows without a day
-    can meet no stored row and are appended. A first load needs none of this.
+    The batch is written first, as it is read twice. The merged rows go to the staging folder of the dynamic overwrite, which takes the
+    place of the touched partitions when all tasks are done; until then the stored ones stay and are read from. Rows without a
+    day can meet no stored row and are appended. A first load needs none of this.
     """
     spark: SparkSession = df.sparkSession
     if not tables.exists(spark, target):
@@ -159,16 +161,8 @@ def _rewrite_days(
         return spark.read.schema(schema).parquet(target)
     batch = df if written else as_written_table(df, "batch")
     stored = spark.read.schema(schema).parquet(target)
-    merged = merge(_touched(stored, batch, day), batch.where(F.col(day).isNotNull()))
-    staging = scratch_path(spark, "days")
-    merged.hint("rebalance", day).write.partitionBy(day).parquet(staging)
-    (
-        spark.read.schema(schema).parquet(staging)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(day)
-        .parquet(target)
-    )
+    merged = merge(touched(stored, batch, day), batch.where(F.col(day).isNotNull()))
+    replace_partition(merged.select(schema.names), target, day)
     undated = batch.where(F.col(day).isNull())
     if not undated.isEmpty():
         undated.select(schema.names).write.mode("append").partitionBy(day).parquet(target)
@@ -209,3 +203,23 @@ def day_replace(target: str, df: DataFrame, key: Sequence[str], day: str) -> Dat
         return kept.select(schema.names).unionByName(new)
 
     return _rewrite_days(target, df, day, schema, merge)
+
+
+def upsert_hashed(
+    target: str, df: DataFrame, key: Sequence[str], seq: Sequence[str], buckets: int, bucket: str = "key_bucket"
+) -> DataFrame:
+    """``upsert`` for a large table: only the partitions that hold keys of the batch are read and written.
+
+    Rows lie in partitions by the hash of their key, in the column ``bucket``. ``buckets`` belongs to the table and never changes;
+    it is chosen so that a partition is one file of a good size. A row with a null in its key is inserted, as in ``upsert``.
+    """
+    names = [c for c in df.columns if c not in seq]
+    placed = df.withColumn(bucket, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+    schema = T.StructType([*[f for f in df.schema.fields if f.name in names], T.StructField(bucket, T.IntegerType())])
+
+    def merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        order = ["_gen", *seq]
+        both = _generations(old.select(*names, bucket), new.select(*names, bucket, *seq), seq)
+        return latest_per_key(both, key, order).drop(*order)
+
+    return _rewrite_days(target, placed, bucket, schema, merge).drop(bucket)

@@ -163,14 +163,17 @@ def parameter_statistics(m: DataFrame) -> DataFrame:
 
 
 def m_spikes(
-    m: DataFrame, as_of: AsOf = None, days: int = 7, k: int = 20, history: DataFrame | None = None
+    m: DataFrame, as_of: AsOf = None, days: int = 7, k: int = 20, history: DataFrame | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Recent values more than two deviations above the mean of all history.
 
     ``history`` is where the statistics are taken from, by default ``m``; the time
-    filter applies to the tested rows only.
+    filter applies to the tested rows only. ``stats`` are these statistics from a stored summary
+    (``summaries.summary_statistics``); then only the recent rows are read.
     """
-    stats = parameter_statistics(m if history is None else history)
+    if stats is None:
+        stats = parameter_statistics(m if history is None else history)
     value, mean, sd = F.col("value"), F.col("mean_all"), F.col("sd_all")
     recent = _recent(m, as_of, days).select(
         "sensor_id", "parameter_name", "period_from_utc", "value"

@@ -12,7 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 from brisa import schemas
 from brisa.operators.flatten import flatten_measurements, with_reject_reason
 from brisa.operators.loads import replace_partition, stamp, upsert_partial
+from brisa.operators.summaries import summary_changes
 from brisa.session import as_written_table
+from brisa.sources import tables
 from brisa.sources.files import explode_envelopes, tag_context
 
 MEASUREMENT = schemas.TABLES["measurements"]
@@ -99,3 +101,39 @@ def daily_avg_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def daily_summary_stream(
+    m: DataFrame, table: str, target: str, checkpoint: str, seq: Sequence[str], ts: str = "period_from_utc"
+) -> StreamingQuery:
+    """The daily summary of a table that is loaded by key, kept by what each batch changes.
+
+    ``target`` gets one folder per batch with what the batch adds to the summary, negative where it takes back; ``summaries.merged`` of
+    all of them is the summary of ``table``. The change needs the stored rows with keys of the batch, no other row of their
+    days. It is written before the batch goes into the table and never again: a batch that is tried anew finds it
+    complete and only repeats the load, which changes nothing. One checkpoint belongs to one target.
+    """
+    rows = m.where(F.col(ts).isNotNull()).withColumn("period_date", F.to_date(ts))
+    last = ["parameter_name", "value"]
+    rows = rows.select(*MEASUREMENT.key, *last, "period_date", *seq)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        written = as_written_table(batch, "batch")
+        if written.isEmpty():
+            return
+        change = f"{target}/batch={batch_id}"
+        if not tables.exists(spark, f"{change}/_SUCCESS"):
+            stored = None
+            if tables.exists(spark, table):
+                stored = spark.read.schema(written.drop(*seq).schema).parquet(table)
+            changes = summary_changes(stored, written, MEASUREMENT.key, seq, ts)
+            changes.coalesce(1).write.mode("overwrite").parquet(change)  # a row per touched day and parameter
+        upsert_partial(table, written, MEASUREMENT.key, [], last, seq, written=True)
+
+    return (
+        rows.writeStream.foreachBatch(publish)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
