@@ -10,7 +10,10 @@ from brisa.catalog.base import mean_sql, query
 from brisa.catalog.loading import KEY, SEQ
 from brisa.catalog.reports import NOW, TODAY, _since_sql, since
 from brisa.operators import distincts, loads, summaries
+from brisa.catalog.landing import country_pages
+from brisa.functions.aggregates import list_parts
 from brisa.operators.filters import filter_null
+from brisa.plans import compare
 from brisa.plans import measurements as meas
 from brisa.session import as_written_table, scratch_path
 from brisa.sources import lookups
@@ -219,3 +222,79 @@ def _(t: Model) -> DataFrame:
     for run in (m.where(noon), m.where(~noon)):
         result = loads.upsert_hashed(target, run, KEY, ["arrived_at", "place"], buckets=16)
     return result
+
+
+# --- codes seen, lists in parts, ranges, copies -------------------------------
+
+
+@query(
+    "new_codes_by_run",
+    """WITH pages AS (SELECT n_name AS code, year(o_orderdate) - 1994 AS page FROM orders
+                      JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey),
+       landed AS (SELECT code, 1 AS run FROM pages WHERE page % 2 = 0 AND code < 'NATION_2'
+                  UNION ALL SELECT code, 2 FROM pages WHERE page % 2 = 1)
+       SELECT CAST(min(run) AS BIGINT) AS run, code FROM landed GROUP BY code""",
+)
+def _(t: Model) -> DataFrame:
+    """The second run lands codes of the first again; the state in the checkpoint knows them."""
+    path, target, state = (scratch_path(t.spark, n) for n in ("pages", "codes", "stream"))
+    pages = country_pages(t)
+    for run in (pages.where("page % 2 = 0 AND code < 'NATION_2'"), pages.where("page % 2 = 1")):
+        run.write.mode("append").parquet(path)
+        landed = t.spark.readStream.schema(pages.schema).parquet(path)
+        ingest.new_codes_stream(landed, "code", target, state).awaitTermination()
+    found = t.spark.read.schema("code STRING, batch BIGINT").parquet(target)
+    return found.select((F.col("batch") + 1).alias("run"), "code")
+
+
+_PART = 200
+
+
+@query(
+    "agg_string_agg_parts",
+    f"""WITH places AS (
+          SELECT id, sensor_name, coalesce(sum(length(sensor_name) + 2) OVER (
+                   PARTITION BY id ORDER BY sensor_name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begins
+          FROM station WHERE sensor_name IS NOT NULL)
+        SELECT id, CAST(begins // {_PART} AS BIGINT) AS part, string_agg(sensor_name, ', ' ORDER BY sensor_name) AS sensor_names
+        FROM places GROUP BY ALL""",
+)
+def _(t: Model) -> DataFrame:
+    return list_parts(t.station("id", "sensor_name"), ["id"], "sensor_name", "sensor_names", _PART)
+
+
+@query(
+    "v_availability_of_ranges",
+    f"""WITH r AS (
+          SELECT i AS ordinal, 'range ' || i AS range, first_day, first_day + CAST(i % 11 AS INTEGER) * 9 AS last_day
+          FROM (SELECT i, DATE '{TODAY}' + 300 - CAST(i * 7 % 400 AS INTEGER) AS first_day FROM range(1000) x(i))),
+        counted AS (
+          SELECT ordinal, range, first_day, last_day, count(sensor_id) AS n
+          FROM r LEFT JOIN measurements ON CAST(period_from_utc AS DATE) BETWEEN first_day AND last_day GROUP BY ALL)
+        SELECT *, ordinal = (SELECT min(ordinal) FROM counted WHERE n > 0) AS is_answer FROM counted""",
+)
+def _(t: Model) -> DataFrame:
+    """A thousand overlapping ranges, some before and after all days."""
+    first = F.date_sub(F.date_add(F.lit(TODAY), 300), (F.col("id") * 7 % 400).cast("int"))
+    ranges = t.spark.range(1000).select(
+        F.col("id").alias("ordinal"), F.concat(F.lit("range "), "id").alias("range"), first.alias("first_day"),
+        F.date_add(first, (F.col("id") % 11 * 9).cast("int")).alias("last_day"),
+    )
+    return compare.availability_of_ranges(t.measurements(), ranges)
+
+
+@query(
+    "v_migration_by_content",
+    """SELECT id, CASE id % 997 WHEN 1 THEN 'missing' WHEN 2 THEN 'changed' END AS difference
+       FROM measurements WHERE id % 997 IN (1, 2)
+       UNION ALL SELECT -1 - id, 'extra' FROM measurements WHERE id % 997 = 3""",
+)
+def _(t: Model) -> DataFrame:
+    """A copy that lacks some rows, holds some with another unit or none, and has some of its own."""
+    m = t.measurements()
+    place = F.col("id") % 997
+    unit = F.when(F.col("id") % 2 == 0, F.lit("ppm"))
+    copy = m.where(place != 1).withColumn("parameter_units", F.when(place == 2, unit).otherwise(F.col("parameter_units")))
+    own = m.where(place == 3).withColumn("id", -1 - F.col("id"))
+    copy = as_written_table(copy.unionByName(own), "copy")
+    return compare.table_difference(m, copy, ["id"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -96,3 +96,30 @@ def with_repeated_list(
         aggs.append(F.sum("_rows").alias(rows_name))
     aggs += [F.sum(f"_sum_{c}").alias(c) for c in sums]
     return combined.groupBy(*keys).agg(*aggs)
+
+
+def list_parts(
+    df: DataFrame, keys: Sequence[str], col: str, name: str, part_chars: int = 1_000_000, sep: str = ", "
+) -> DataFrame:
+    """(keys, part, name): all values of a column sorted and joined, repeats included, in numbered parts of bounded length.
+
+    A part holds the values that begin within its ``part_chars`` characters of the group's whole list, so joining the parts in order with
+    ``sep`` gives the list; a part is longer than the bound by one value at most. Values are counted first, and their places follow from a
+    running sum of lengths, so a value that is repeated without end is cut by arithmetic. Nulls are left out.
+    """
+    counted = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).cast("string").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    width = (F.length("_v") + len(sep)).cast("bigint")
+    before = F.sum(F.col("_n") * width).over(Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1))
+    placed = counted.withColumn("_width", width).withColumn("_at", F.coalesce(before, F.lit(0)))
+    # the parts in which a repetition of the value begins, and how many of them do
+    numbers = F.expr(f"sequence(_at div {part_chars}, (_at + (_n - 1) * _width) div {part_chars})")
+    spread = placed.withColumn("part", F.explode(numbers))
+
+    def begun(part: Column) -> Column:
+        """Repetitions that begin before a part."""
+        ahead = F.greatest(part * part_chars - F.col("_at"), F.lit(0))
+        return F.least(F.col("_n"), F.floor((ahead + F.col("_width") - 1) / F.col("_width")))
+
+    spread = spread.withColumn("_times", (begun(F.col("part") + 1) - begun(F.col("part"))).cast("int"))
+    spread = spread.where("_times > 0").withColumn("_piece", F.expr(f"array_join(array_repeat(_v, _times), '{sep}')"))
+    return spread.groupBy(*keys, "part").agg(F.expr(f"listagg(_piece, '{sep}') WITHIN GROUP (ORDER BY _v)").alias(name))

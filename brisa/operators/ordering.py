@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from brisa.session import as_written_table
 from pyspark.sql import Window
 
 
@@ -60,18 +62,22 @@ def with_null_key_id(df: DataFrame, key: Sequence[str]) -> DataFrame:
 def budget_cutoff(df: DataFrame, group: str, budget: int) -> DataFrame:
     """Whole groups in ascending order until the running total reaches the budget.
 
-    The group that crosses the budget is kept whole. Every group has at least one
-    row, so the cut lies within the first ``budget`` groups: the running total
-    needs no more than these, and the kept groups are all up to one last value.
+    The group that crosses the budget is kept whole. The total is found on two levels: the groups' counts are written in ranges of the
+    group, the sums per range show in which one the budget is reached, and only this one is added up row by row.
     """
     counts = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(
-        Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    kept = (
-        counts.orderBy(group)
-        .limit(budget)
-        .withColumn("_before", F.coalesce(before, F.lit(0)))
-        .where(F.col("_before") < budget)
+    ranged = counts.repartitionByRange(group).withColumn("_range", F.spark_partition_id())
+    ranged = as_written_table(ranged, "group-counts")
+    before, crossing = 0, None
+    for number, rows in sorted(ranged.groupBy("_range").agg(F.sum("_n")).collect()):
+        if before >= budget:
+            break
+        crossing, offset = number, before
+        before += rows
+    if crossing is None:
+        return df.where(F.lit(False))
+    running = F.sum("_n").over(
+        Window.partitionBy("_range").orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
     )
-    return df.where(F.col(group) <= kept.agg(F.max(group)).scalar())
+    inside = ranged.where(F.col("_range") == crossing).withColumn("_before", F.lit(offset) + F.coalesce(running, F.lit(0)))
+    return df.where(F.col(group) <= F.lit(inside.where(F.col("_before") < budget).agg(F.max(group)).first()[0]))

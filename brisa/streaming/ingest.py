@@ -137,3 +137,22 @@ def daily_summary_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def new_codes_stream(records: DataFrame, code: str, target: str, checkpoint: str) -> StreamingQuery:
+    """Codes that no earlier record had, one folder of ``target`` per run; the codes seen are the stream's state.
+
+    The state lies in the checkpoint and grows with the number of codes, not of records. A later run restores it, so that a code which comes
+    again is not new. A null code is a code.
+    """
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    return (
+        records.select(code).dropDuplicates([code])
+        .writeStream.foreachBatch(keep)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

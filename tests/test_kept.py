@@ -11,7 +11,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from brisa.bindings import Model
+from brisa.functions.aggregates import list_parts
 from brisa.operators import distincts, loads, summaries
+from brisa.operators.ordering import budget_cutoff
+from brisa.plans import compare
 from brisa.session import scratch_path
 from brisa.sources import lookups
 from brisa.streaming import ingest
@@ -194,3 +197,71 @@ def test_touched_partitions_alone_are_read(spark):
     batch = stored.where("k = 77").select("key_bucket")
     _, read = scan_metric(loads.touched(stored, batch, "key_bucket"), "numFiles")
     assert 0 < read <= 4
+
+
+def test_list_parts_of_hot_values(spark):
+    rng = random.Random(2)
+    rows = [("hot", "aa")] * 5000 + [("hot", rng.choice(["b", "cc", "é", "x" * 40, None])) for _ in range(300)] + [("one", "z"), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v string")
+    parts = list_parts(df, ["g"], "v", "text", part_chars=64).collect()
+    for g in ("hot", "one", "none"):
+        mine = sorted((r.part, r.text) for r in parts if r.g == g)
+        assert ", ".join(text for _, text in mine) == ", ".join(sorted((v for h, v in rows if h == g and v is not None), key=lambda v: v.encode()))
+        assert [p for p, _ in mine] == list(range(len(mine))) and all(len(text) < 64 + 42 for _, text in mine)
+    assert len(parts) > 250
+
+
+@pytest.mark.parametrize("budget", [0, 1, 7, 30, 500, 10_000])
+def test_budget_over_ranges(spark, budget):
+    rng = random.Random(budget)
+    rows = [(rng.choice([f"g{i:02}" for i in range(40)] + [None]), i) for i in range(1000)]
+    counts, kept, total = {}, set(), 0
+    for g, _ in rows:
+        counts[g] = counts.get(g, 0) + 1
+    for g in sorted(g for g in counts if g is not None):
+        if total >= budget:
+            break
+        kept.add(g)
+        total += counts[g]
+    result = budget_cutoff(spark.createDataFrame(rows, "g string, i int"), "g", budget)
+    assert sorted(r.i for r in result.collect()) == [i for g, i in rows if g in kept]
+    assert "SinglePartition" not in result._jdf.queryExecution().executedPlan().toString()
+
+
+def test_differences_of_copies(spark):
+    schema = "a long, b string, v double, w string"
+    rows = [(i, "x", float(i), None) for i in range(200)] + [(7, None, 1.0, "n"), (8, "x", 8.0, None), (9, "x", 9.5, None)]
+    source = spark.createDataFrame(rows, schema)
+    assert compare.table_difference(source, source.select("w", "v", "b", "a").repartition(7), ["a", "b"], 8).collect() == []
+    copy = [r for r in rows if r[0] not in (3, 8)] + [(8, "x", 8.0, None), (500, "x", 1.0, None), (500, None, 1.0, None)]
+    copy = [(a, b, v, "" if a == 4 else w) for a, b, v, w in copy]
+    found = compare.table_difference(source, spark.createDataFrame(copy, schema), ["a", "b"], 8).collect()
+    assert sorted((r.a, r.b or "", r.difference) for r in found) == [
+        (3, "x", "missing"), (4, "x", "changed"), (8, "x", "changed"), (500, "", "extra"), (500, "x", "extra"),
+    ]
+    with pytest.raises(ValueError):
+        compare.table_difference(source, source.drop("w"), ["a"])
+
+
+def test_ranges_outside_of_the_days(spark):
+    m = spark.createDataFrame(rows_of((1, 0, "o3", 1, 1), (1, 50, "o3", 1, 1), (1, None, "o3", 1, 1)), SCHEMA)
+    day = START.date()
+    spans = [(0, "before", -9, -1), (1, "turned round", 1, 0), (2, "between", 1, 1), (3, "around", -400, 400), (4, "last", 2, 2), (5, "after", 3, 9)]
+    ranges = spark.createDataFrame(
+        [(i, name, day + timedelta(days=a), day + timedelta(days=b)) for i, name, a, b in spans], "ordinal int, range string, first_day date, last_day date"
+    )
+    found = compare.availability_of_ranges(m, ranges).collect()
+    assert {r.range: (r.n, r.is_answer) for r in found} == {
+        "before": (0, False), "turned round": (0, False), "between": (0, False), "around": (2, True), "last": (1, False), "after": (0, False),
+    }
+    assert {(r.n, r.is_answer) for r in compare.availability_of_ranges(m.limit(0), ranges).collect()} == {(0, False)}
+
+
+def test_codes_seen_in_an_earlier_run_are_not_new(spark):
+    path, target, state = (scratch_path(spark, n) for n in ("pages", "codes", "state"))
+    for codes in (["a", "b", "a", None], ["b", "c", None], ["a"]):
+        spark.createDataFrame([(c, 1) for c in codes], "code string, page int").write.mode("append").parquet(path)
+        landed = spark.readStream.schema("code string, page int").parquet(path)
+        ingest.new_codes_stream(landed, "code", target, state).awaitTermination()
+    found = spark.read.schema("code string, batch long").parquet(target).collect()
+    assert sorted((r.batch, r.code or "") for r in found) == [(0, ""), (0, "a"), (0, "b"), (1, "c")]
