@@ -47,16 +47,19 @@ def measurement_runs(t: Model) -> Iterator[str]:
     """Lands two load runs in one folder, which is given after each.
 
     The first has the pages of the lower half of the event ids, with wrong values. The second has all pages, which
-    corrects the first, and those of sensors that are in no list: every tenth sensor again, under a negative id.
+    corrects the first, and those of sensors that are in no list: every tenth sensor again, under a negative id. It also has a cut page
+    of every sensor.
     """
     path = scratch_path(t.spark, "landing")
     pages = F.floor(F.col("event_id") / PAGE_SIZE) + 1
-    half = t.measurement_records.agg(F.floor((F.max(pages) + 1) / 2).alias("half"))
-    first = t.uncorrected_records.crossJoin(F.broadcast(half)).where(pages <= F.col("half")).drop("half")
+    half = t.measurement_records.agg(F.floor((F.max(pages) + 1) / 2)).scalar()
+    first = t.uncorrected_records.where(pages <= half)
     measurement_pages(t, first).write.text(f"{path}/run=1")
     yield path
     unlisted = t.measurement_records.where("sensor_id % 10 = 7").withColumn("sensor_id", -F.col("sensor_id"))
-    measurement_pages(t, t.measurement_records.unionByName(unlisted)).write.text(f"{path}/run=2")
+    page = '{"sensor_id":%d,"meta":{"found":"7","page":103,"limit":1000},"results":[{"value":1},{"val'
+    cut = t.measurement_records.select("sensor_id").distinct().select(F.format_string(page, "sensor_id").alias("value"))
+    measurement_pages(t, t.measurement_records.unionByName(unlisted)).union(cut).write.text(f"{path}/run=2")
     yield path
 
 

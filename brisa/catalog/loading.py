@@ -454,7 +454,7 @@ def _ingested(t: Model) -> dict[str, str]:
     state = scratch_path(t.spark, "stream")
     sensors = as_written_table(landing.sensor_list(t), "sensors")
     for at["landing"] in landing.measurement_runs(t):
-        pages = t.spark.readStream.schema(schemas.SENSOR_ENVELOPE).json(at["landing"])
+        pages = files.stream_pages(t.spark, at["landing"], multi_line=False)
         ingest.incremental_ingest(
             pages, sensors, at["measurements"], state, MEASUREMENTS_AS_OF, at["rejected"], at["loaded"]
         ).awaitTermination()
@@ -484,13 +484,14 @@ def _(t: Model) -> DataFrame:
                 UNION ALL SELECT 2, part, sensor_id FROM records
                 UNION ALL SELECT 2, part, -sensor_id FROM records WHERE sensor_id % 10 = 7),
        told AS (SELECT run, CASE WHEN sensor_id < 0 THEN 'unknown sensor' WHEN part = 1 THEN 'coverage is not an object'
-                                 WHEN part = 5 THEN 'value does not fit decimal(15,6)' ELSE 'loaded' END AS outcome FROM runs)
+                                 WHEN part = 5 THEN 'value does not fit decimal(15,6)' ELSE 'loaded' END AS outcome FROM runs
+                UNION ALL SELECT 2, 'page is cut or malformed' FROM (SELECT DISTINCT sensor_id FROM records))
        SELECT CAST(run AS BIGINT) AS run, outcome, count(*) AS records,
               CAST(sum(count(*)) OVER (PARTITION BY run) AS BIGINT) AS landed
        FROM told GROUP BY run, outcome""",
 )
 def _(t: Model) -> DataFrame:
-    """Loaded and rejected records of each run, beside those that its pages hold."""
+    """Loaded and rejected records of each run, beside those that its pages hold; a cut page counts as one."""
     at = _ingested(t)
     batch = "batch BIGINT"
     bad = t.spark.read.schema(f"sensor_id BIGINT, record STRING, reason STRING, {batch}").json(at["rejected"])
@@ -499,7 +500,8 @@ def _(t: Model) -> DataFrame:
     told = told.unionByName(good.where("records > 0").withColumn("outcome", F.lit("loaded")))
     pages = files.landed_pages(t.spark, at["landing"], schemas.SENSOR_ENVELOPE, multi_line=False)
     run = F.regexp_extract("file", "/run=([0-9]+)/", 1).cast("bigint")
-    landed = pages.groupBy(run.alias("run")).agg(F.sum("n").alias("landed"))
+    held = F.when(F.col("state") == "unreadable", 1).otherwise(F.col("n"))
+    landed = pages.groupBy(run.alias("run")).agg(F.sum(held).alias("landed"))
     told = told.select((F.col("batch") + 1).alias("run"), "outcome", "records")
     return landed.join(told, "run", "left").select("run", "outcome", "records", "landed")
 

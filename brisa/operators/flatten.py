@@ -308,12 +308,17 @@ def location_reject_reason(raw: DataFrame) -> Column:
     return _first_reason(rules)
 
 
+CUT_PAGE = "page is cut or malformed"
+
+
 def with_reject_reason(raw: DataFrame, rule=measurement_reject_reason) -> DataFrame:
     """Adds ``reason``: why the record cannot be loaded, NULL if it can."""
     rows = parse_measurements(raw) if rule is measurement_reject_reason else raw
     reason = rule(rows)
     if "listed" in rows.columns:
         reason = F.when(F.col("listed").isNull(), "unknown sensor").otherwise(reason)
+    if "unreadable" in rows.columns:
+        reason = F.when(F.col("unreadable"), CUT_PAGE).otherwise(reason)
     return rows.withColumn("reason", reason)
 
 

@@ -12,6 +12,19 @@ from brisa import schemas
 from brisa.operators.filters import filter_halfopen
 
 
+# Where Spark puts the text of a page that does not fit the schema.
+RAW_PAGE = "_corrupt_record"
+
+
+def with_raw_page(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(RAW_PAGE, T.StringType())])
+
+
+def stream_pages(spark: SparkSession, path: str, schema: T.StructType = schemas.SENSOR_ENVELOPE, multi_line: bool = True) -> DataFrame:
+    """Landed pages as a stream, with the text of those that cannot be read."""
+    return spark.readStream.schema(with_raw_page(schema)).option("multiLine", multi_line).json(path)
+
+
 def read_envelopes(
     spark: SparkSession,
     path: str,
@@ -30,8 +43,13 @@ def read_envelopes(
 def explode_envelopes(pages: DataFrame) -> DataFrame:
     """One row per result. ``seq`` orders by load run, page and position.
 
-    The run is the folder ``run=...`` of the landing; without it the file time counts.
+    The run is the folder ``run=...`` of the landing; without it the file time counts. Pages that were read with their raw text
+    (``stream_pages``) lose nothing: a cut or malformed one is one row with this text and ``unreadable`` true.
     """
+    results = F.col("results")
+    if RAW_PAGE in pages.columns:
+        results = F.when(F.col(RAW_PAGE).isNotNull(), F.array(RAW_PAGE)).otherwise(results)
+        pages = pages.withColumn("results", results).withColumn("unreadable", F.col(RAW_PAGE).isNotNull()).drop(RAW_PAGE)
     context = [c for c in pages.columns if c not in ("meta", "results", "run")]
     run = F.col("run") if "run" in pages.columns else F.col("_metadata.file_modification_time")
     return pages.select(
@@ -57,9 +75,8 @@ def landed_pages(spark: SparkSession, path: str, schema: T.StructType = schemas.
     A page that is cut or malformed is "unreadable" and known by its file only; one whose list is empty or null
     is "empty"; all others are "good". None is left out.
     """
-    raw = "_corrupt_record"
-    pages = spark.read.schema(T.StructType([*schema.fields, T.StructField(raw, T.StringType())])).option("multiLine", multi_line).json(path)
-    readable = F.col(raw).isNull()
+    pages = spark.read.schema(with_raw_page(schema)).option("multiLine", multi_line).json(path)
+    readable = F.col(RAW_PAGE).isNull()
     n = F.coalesce(F.size("results"), F.lit(0))
     n = F.when(readable & (n > 0), n).otherwise(0).cast("bigint")
     told = {c: F.col(c) for c in schema.names if c not in ("meta", "results", "run")}

@@ -34,7 +34,8 @@ def incremental_ingest(
     A late or corrected period overwrites its row no matter how late it comes: the
     state is the table itself, so no watermark is needed. Records that cannot
     be loaded are kept under ``rejected``, one folder per batch: the checkpoint
-    moves past them, so that is the only place where they stay. ``loaded`` gets the
+    moves past them, so that is the only place where they stay. So are pages that are cut or malformed, as one record each with
+    their text, if ``pages`` comes from ``files.stream_pages``; without the raw text they would be lost. ``loaded`` gets the
     number of records that went into the table, also by batch.
     """
     records = tag_context(explode_envelopes(pages), sensors)
