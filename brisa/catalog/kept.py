@@ -9,14 +9,14 @@ from brisa.bindings import Model
 from brisa.catalog.base import mean_sql, query
 from brisa.catalog.loading import KEY, SEQ
 from brisa.catalog.reports import NOW, TODAY, _since_sql, since
-from brisa.operators import distincts, loads, summaries
+from brisa.operators import distincts, flatten, loads, summaries
 from brisa.catalog.landing import country_pages
 from brisa.functions.aggregates import list_parts
 from brisa.operators.filters import filter_null
 from brisa.plans import compare
 from brisa.plans import measurements as meas
 from brisa.session import as_written_table, scratch_path
-from brisa.sources import lookups
+from brisa.sources import lookups, session_catalog
 from brisa.streaming import ingest
 
 # --- summaries by day ---------------------------------------------------------
@@ -298,3 +298,40 @@ def _(t: Model) -> DataFrame:
     own = m.where(place == 3).withColumn("id", -1 - F.col("id"))
     copy = as_written_table(copy.unionByName(own), "copy")
     return compare.table_difference(m, copy, ["id"])
+
+
+# --- tables of the session catalog --------------------------------------------
+
+
+@query(
+    "catalog_tables",
+    """WITH counted AS (
+         SELECT 'countries' AS table_name, count(*) AS rows FROM countries
+         UNION ALL SELECT 'locations', count(*) FROM locations
+         UNION ALL SELECT 'parameters', count(*) FROM parameters
+         UNION ALL SELECT 'measurements', count(*) FROM measurements
+         UNION ALL SELECT 'station', count(*) FROM station
+         UNION ALL SELECT 'api_posts', count(*) FROM posts
+         UNION ALL SELECT 'dag_runs', count(DISTINCT CAST(period_from_utc AS DATE)) FROM measurements)
+       SELECT table_name, rows, least(rows, 2) AS samples FROM counted""",
+)
+def _(t: Model) -> DataFrame:
+    """All tables created, filled, one loaded again, and listed with two sample rows each."""
+    location = scratch_path(t.spark, "database")
+    database = f"brisa_{location[-8:]}"
+    created = session_catalog.create_tables(t.spark, database, location)
+    m = t.measurements().withColumn("period_date", F.to_date("period_from_utc"))
+    content = {
+        "countries": t.countries(),
+        "locations": t.locations(),
+        "parameters": t.parameters(),
+        "measurements": m,
+        "station": t.station("id", "name", "sensor_id", "latitude", "longitude"),
+        "api_posts": flatten.flatten_posts(t.raw_posts()),
+        "dag_runs": m.select(F.col("period_date").alias("dt"), F.lit("daily").alias("dag_id")).distinct(),
+    }
+    if sorted(created) != sorted(content) or session_catalog.create_tables(t.spark, database, location):
+        raise AssertionError("tables were left out or created twice")
+    for name, df in [*content.items(), ("measurements", m.where(F.col("period_date") >= F.lit(since(7))))]:
+        session_catalog.load_table(t.spark, database, name, df)
+    return session_catalog.catalog_inventory(t.spark, database).withColumn("samples", F.size("samples").cast("bigint"))

@@ -16,7 +16,7 @@ from brisa.operators import distincts, loads, summaries
 from brisa.operators.ordering import budget_cutoff
 from brisa.plans import compare
 from brisa.session import scratch_path
-from brisa.sources import lookups
+from brisa.sources import lookups, session_catalog
 from brisa.streaming import ingest
 
 SCHEMA = (
@@ -265,3 +265,16 @@ def test_codes_seen_in_an_earlier_run_are_not_new(spark):
         ingest.new_codes_stream(landed, "code", target, state).awaitTermination()
     found = spark.read.schema("code string, batch long").parquet(target).collect()
     assert sorted((r.batch, r.code or "") for r in found) == [(0, ""), (0, "a"), (0, "b"), (1, "c")]
+
+
+def test_catalog_tables_keep_other_partitions(spark):
+    location = scratch_path(spark, "database")
+    database = f"brisa_{location[-8:]}"
+    assert len(session_catalog.create_tables(spark, database, location)) == 7 and session_catalog.create_tables(spark, database) == []
+    rows = spark.createDataFrame(rows_of((1, 1, "o3", 1, 1), (2, 30, "o3", 2, 1)), SCHEMA).drop("seq")
+    session_catalog.load_table(spark, database, "measurements", rows)
+    session_catalog.load_table(spark, database, "measurements", rows.where("sensor_id = 2").withColumn("value", F.lit(9)))
+    found = spark.table(f"{database}.measurements").select("sensor_id", "value", "has_flags").collect()
+    assert sorted((r.sensor_id, int(r.value), r.has_flags) for r in found) == [(1, 1, False), (2, 9, False)]
+    listed = {r.table_name: (r.rows, len(r.samples)) for r in session_catalog.catalog_inventory(spark, database).collect()}
+    assert len(listed) == 7 and listed["measurements"] == (2, 2) and listed["countries"] == (0, 0)
