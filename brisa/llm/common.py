@@ -50,9 +50,17 @@ def held_out() -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+# Shuffle partitions that one task of a derived table may take together.
+PARTITIONS_A_FILE = 8
+
+
 def as_derived_table(df: DataFrame, label: str) -> DataFrame:
-    """``as_written_table`` for rows that are few or narrow against the corpus: one or two files for each core, not one for each partition.
+    """``as_written_table`` for rows that are few or narrow against the corpus, in fewer files than shuffle partitions.
 
-    Every file costs its own creation, which a table of a few kilobytes in some hundred files pays hundreds of times.
+    Every file costs its own creation, which a table of a few kilobytes in some hundred files pays hundreds of times. A task takes no more
+    than some partitions of the cluster's setting together, so that it does not grow with the data; a cluster has
+    work for all its cores in any case. Adaptive execution, where it merges partitions itself, has mostly done so before.
     """
-    return as_written_table(df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism), label)
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return as_written_table(df.coalesce(max(2 * spark.sparkContext.defaultParallelism, partitions // PARTITIONS_A_FILE)), label)
