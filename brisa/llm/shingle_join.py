@@ -9,7 +9,7 @@ may leave out up to x of its segments: the empty ones, and those whose content i
 1. The content of each segment of each set is a signature (a sum of hashes). Sets that share one are candidates. Small
    groups give all their pairs, sixteen sets at most; of a frequent signature every set is a candidate of one set only,
    the one that has most frequent signatures.
-2. Candidates are verified on their texts, first one partner for each set, then those that are in different
+2. Candidates are verified on the words of their texts, first one partner for each set, then those that are in different
    components. Now a frequent signature whose sets are all in one component is settled.
 3. A set that has left out more than x segments, by what is empty and what is still open, allocates the rest at
    the least cost: some of its other segments may differ in one shingle, which counts twice. These sets index
@@ -27,11 +27,11 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import cache
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +48,7 @@ PERCENT = 80
 
 SMALL_GROUP = 16
 SPARE = 0.04  # part of the segments that a set should be able to leave out as frequent
-BLOCK = 1 << 20  # bytes of a text that are hashed at once
+BLOCK = 1 << 20  # bytes of a text that are split into words at once
 HELD_ENTRIES = 1_000_000
 BUCKET_BYTES = 4 * 1024 * 1024  # of input for one bucket of signatures
 VERIFIED_AT_ONCE = 64  # candidates of one set that meet it together
@@ -63,43 +63,52 @@ FULL, DELETED = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB)
 # --- sets ---------------------------------------------------------------------
 
 
-BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * STEP)
 FACTOR = 0xD6E8FEB86659FD93
-BLANK = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+BLANK = frozenset(b" \t\n\x0b\x0c\r")
+LONG_WORD = 64  # bytes; longer words are hashed each time
+HELD_WORDS = 100_000
 
 
-@cache
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the factor, and of its inverse, modulo 2**64."""
-    up, down = np.full(size, U64(FACTOR)), np.full(size, U64(pow(FACTOR, -1, 2**64)))
-    up[0] = down[0] = 1
-    return np.cumprod(up), np.cumprod(down)
+class WordHashes(dict):
+    """64-bit hash of each word by a cryptographic digest, which no two words are made to share with ease."""
 
+    def __missing__(self, word: bytes) -> int:
+        h = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= LONG_WORD:
+            if len(self) >= HELD_WORDS:
+                self.clear()
+            self[word] = h
+        return h
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """64-bit hash of each word, in order: a polynomial in the codes of its bytes, by differences of running sums."""
+
+_hash_of = WordHashes()
+
+
+def word_blocks(text: bytes) -> Iterator[list[bytes]]:
+    """Words of a text in lower case, some at a time: blocks end behind a blank."""
     text = text.lower()
-    if len(text) > BLOCK:
-        parts, at = [], 0
-        while at < len(text):  # blocks end behind a blank
-            end = min(at + BLOCK, len(text))
-            while end < len(text) and not BLANK[text[end - 1]]:
-                end += 1
-            parts.append(_word_hashes(text[at:end]))
-            at = end
-        return np.concatenate(parts)
-    return _word_hashes(text)
-
-
-def _word_hashes(text: bytes) -> np.ndarray:
-    data = np.frombuffer(text, dtype=np.uint8)
-    edges = np.flatnonzero(np.diff(np.r_[True, BLANK[data], True].view(np.int8)))
-    start, end = edges[::2], edges[1::2]
-    up, down = powers(1 << max(16, len(data).bit_length()))
-    with np.errstate(over="ignore"):
-        sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(BYTE_CODES[data] * up[: len(data)], out=sums[1:])
-        return mix((sums[end] - sums[start]) * down[start])
+    at = 0
+    while at < len(text):
+        end = min(at + BLOCK, len(text))
+        while end < len(text) and text[end - 1] not in BLANK:
+            end += 1
+        yield text[at:end].split()
+        at = end
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """Hash of each word, in order."""
+    return identified(text)[0]
+
+
+def identified(text: bytes) -> tuple[np.ndarray, bytes]:
+    """Hash of each word, in order, and the text's identity: 128 bits of a cryptographic digest of its words in order."""
+    parts, whole = [np.zeros(0, dtype=np.uint64)], blake2b(digest_size=16)
+    for words in word_blocks(text):
+        if words:
+            parts.append(np.fromiter(map(_hash_of.__getitem__, words), dtype=np.uint64, count=len(words)))
+            whole.update(b" ".join(words) + b" ")
+    return np.concatenate(parts) if len(parts) > 2 else parts[-1], whole.digest()
 
 
 def shingles(w: np.ndarray) -> np.ndarray:
@@ -120,11 +129,6 @@ def shingles(w: np.ndarray) -> np.ndarray:
     return h if new.all() else h[new]
 
 
-def node_of(w: np.ndarray) -> bytes:
-    """Identity of a text: 128 bits of its words in order."""
-    return xxhash.xxh3_128_digest(w.tobytes())
-
-
 def short(node: bytes) -> int:
     """47 bits that stand for a node among signatures; candidates are looked up by them and told apart by the node."""
     return int.from_bytes(node[:6], "little") >> 1
@@ -297,8 +301,8 @@ def sets(docs: DataFrame) -> DataFrame:
         for batch in batches:
             nodes, n = [], []
             for text in batch.column(1):
-                w = word_hashes(text.as_py())
-                nodes.append(node_of(w) if len(w) else None)
+                w, node = identified(text.as_py())
+                nodes.append(node if len(w) else None)
                 n.append(len(shingles(w)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(nodes, pa.binary()), pa.array(n, pa.int64())], ["doc_id", "node", "n_shingles"]
@@ -327,8 +331,8 @@ def signatures(docs: DataFrame, buckets: int) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0):
-                w = word_hashes(text.as_py())
-                if not len(w) or (node := node_of(w)) in seen:
+                w, node = identified(text.as_py())
+                if not len(w) or node in seen:
                     continue
                 seen.add(node)
                 me, h = short(node), shingles(w)
@@ -385,8 +389,8 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
             found: dict[bytes, bytes] = {}
             for text in batch.column(0):
                 data = text.as_py()
-                w = word_hashes(data)
-                if len(w) and (node := node_of(w)) not in seen:
+                w, node = identified(data)
+                if len(w) and node not in seen:
                     seen.add(node)
                     found[node] = squeeze.compress(data)
             if len(seen) > HELD_ENTRIES:
@@ -404,7 +408,8 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b: nodes of the pairs (columns a, b: ids, written) that are similar.
 
     A set meets its candidates in parts of bounded size, so that a set with many of them is many tasks' work. Each
-    text is asked for by all parts that need it in one join.
+    text is asked for by all parts that need it in one join. Hashes only rule pairs out: those that they leave are
+    compared by their words.
     """
     tasks = max(4 * int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs.count() // PAIRS_PER_TASK)
     many = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / VERIFIED_AT_ONCE).cast("int").alias("parts"))
@@ -421,12 +426,13 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for r in rows.itertuples():
             if at != (r.a, r.part):
                 at, mine = (r.a, r.part), []
-            h = shingles(word_hashes(open_up.decompress(r.packed)))
+            text = open_up.decompress(r.packed)
+            h = shingles(word_hashes(text))
             if r.hub:
-                mine.append((r.node, h))
+                mine.append((r.node, h, r.packed))
                 continue
-            for node, hub in mine:
-                if node != r.node and similar(hub, h):
+            for node, hub, packed in mine:
+                if node != r.node and similar(hub, h) and similar(*numbered_shingles(open_up.decompress(packed), text)):
                     left.append(node)
                     right.append(r.node)
         return pd.DataFrame({"a": left, "b": right})
@@ -441,6 +447,24 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * shared >= PERCENT * (len(x) + len(y) - shared)
 
 
+def numbered_shingles(x: bytes, y: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Different shingles of two texts as numbers that are equal where all their words are, without any hash.
+
+    Texts that differ and have a single shingle of fewer words share nothing.
+    """
+    numbers: dict[bytes, int] = {}
+    w = [np.array([numbers.setdefault(v, len(numbers)) for words in word_blocks(t) for v in words], dtype=np.int64) for t in (x, y)]
+    if min(len(w[0]), len(w[1])) < WORDS:
+        return np.array([0]), np.array([1])
+    n = [len(v) - WORDS + 1 for v in w]
+    found = np.concatenate([v[:k] for v, k in zip(w, n, strict=True)])
+    for j in range(1, WORDS):
+        # the number of a run of j words and the next word give the number of the longer run
+        found = found * len(numbers) + np.concatenate([v[j : j + k] for v, k in zip(w, n, strict=True)])
+        found = np.unique(found, return_inverse=True)[1]
+    return np.unique(found[: n[0]]), np.unique(found[n[0] :])
+
+
 def lone_shingles(texts: DataFrame, buckets: int) -> DataFrame:
     """id, lone: the shingles of each text that no other of these texts has."""
 

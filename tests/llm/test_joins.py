@@ -91,6 +91,33 @@ def test_join_of_odd_rows(odd):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute(ODD)
 
 
+def test_words_made_to_collide(make):
+    """A Thue-Morse word and its complement are one to every polynomial modulo a power of two."""
+    word = "".join("ab"[i.bit_count() & 1] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"x y z {word}", "en", "a"), (2, f"x y z {other}", "en", "a"), (3, f"{word} " * 9, "en", "a"), (4, f"{other} " * 9, "en", "a")]
+    found = shingle_join.near_duplicates(make(rows)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute(rows)
+
+
+def test_pairs_are_compared_by_words():
+    """The last word on a pair is that of its words, not of hashes."""
+    rng = random.Random(3)
+    for _ in range(300):
+        x, y = (" ".join(rng.choice("abc") for _ in range(rng.randrange(1, 40))) for _ in range(2))
+        if x != y:
+            a, b = shingle_join.numbered_shingles(x.encode(), y.encode())
+            p, q = shingle_set(x), shingle_set(y)
+            assert shingle_join.similar(a, b) == (100 * len(p & q) >= 80 * len(p | q))
+
+
+def test_text_of_more_than_one_block(make):
+    words = [f"w{i}" for i in range(330_000)]  # 2.2 MB
+    rows = [(1, " ".join(words), "en", "a"), (2, " ".join(words[:300_000]), "en", "a"), (3, " ".join(words[:100_000]), "en", "a")]
+    found = shingle_join.near_duplicates(make(rows)).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == brute(rows)
+
+
 def test_bound_of_every_band():
     """A set takes part in all bands that hold sets similar to it, and its own is the last."""
     for size in [*range(1, 400), 5000, 123_456]:
