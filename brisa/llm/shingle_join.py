@@ -70,10 +70,10 @@ HELD_WORDS = 100_000
 
 
 class WordHashes(dict):
-    """64-bit hash of each word by a cryptographic digest, which no two words are made to share with ease."""
+    """Eight bytes of a cryptographic digest of each word, which no two words are made to share with ease."""
 
-    def __missing__(self, word: bytes) -> int:
-        h = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+    def __missing__(self, word: bytes) -> bytes:
+        h = blake2b(word, digest_size=8).digest()
         if len(word) <= LONG_WORD:
             if len(self) >= HELD_WORDS:
                 self.clear()
@@ -106,7 +106,7 @@ def identified(text: bytes) -> tuple[np.ndarray, bytes]:
     parts, whole = [np.zeros(0, dtype=np.uint64)], blake2b(digest_size=16)
     for words in word_blocks(text):
         if words:
-            parts.append(np.fromiter(map(_hash_of.__getitem__, words), dtype=np.uint64, count=len(words)))
+            parts.append(np.frombuffer(b"".join(map(_hash_of.__getitem__, words)), dtype="<u8"))
             whole.update(b" ".join(words) + b" ")
     return np.concatenate(parts) if len(parts) > 2 else parts[-1], whole.digest()
 
