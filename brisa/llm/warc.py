@@ -1,23 +1,36 @@
 """Derived archive records: metadata and plain text of each response, linked to it.
 
 Every response gives one ``metadata`` and one ``conversion`` record. Both refer to the response by its
-identifier and keep its target, date, headers and payload digest. ``write_warc`` and ``read_warc`` are the
+identifier and keep its target, headers and payload digest. ``write_warc`` and ``read_warc`` are the
 archive files themselves, written and read by Spark's text source with the record separators as line ends.
 """
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSION = "WARC/1.1"
 
-# How HTML becomes plain text, in this order.
-HIDDEN = r"(?is)<(script|style|noscript|template)[^>]*>.*?</(script|style|noscript|template)[^>]*>"
-COMMENT = r"(?s)<!--.*?-->"
-BREAK = r"(?i)</?(p|div|br|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|title|head|body|html|blockquote|pre)(\s[^>]*)?/?>"
-TAG = r"(?s)<[^>]*>"
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+# How HTML becomes plain text, in this order. Comments, scripts and styles without an end reach to the end of
+# the page. A tag begins with a letter; any other "<" is text.
+BLANK = r"[\x20\x09-\x0D]"
+RAW = "|".join(rf"<{tag}(?:{BLANK}[^>]*)?>.*?(?:</{tag}{BLANK}*>|\z)" for tag in ("script", "style"))
+UNSEEN = "|".join(rf"<{tag}(?:{BLANK}[^>]*)?>.*?</{tag}{BLANK}*>" for tag in ("noscript", "template"))
+HIDDEN = rf"(?is)<!--.*?(?:-->|\z)|{RAW}|{UNSEEN}"
+BREAK = (
+    r"(?i)</?(?:p|div|br|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|title|head|body|html|blockquote|pre)"
+    rf"(?:{BLANK}[^>]*)?/?>"
+)
+TAG = r"<(?:/?[A-Za-z]|[!?])[^>]*>"
+REFERENCE = r"^(#[0-9]{1,9}|#[xX][0-9A-Fa-f]{1,8}|[A-Za-z][A-Za-z0-9]*);"
+COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "nbsp": " ", "copy": "©", "middot": "·"}
+# All names of the standard, and the numbers that the standard reads as Windows characters.
+NAMED = {k[:-1]: v for k, v in html5.items() if k.endswith(";")} | COMMON
+WINDOWS = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)]
+UNKNOWN = "�"
 
 HEADER_LINE = "\r\n"
 
@@ -53,13 +66,44 @@ def responses(pages: DataFrame) -> DataFrame:
     )
 
 
+def code_point(n: Column) -> Column:
+    """The character of a numeric reference; no character has the number: U+FFFD."""
+    # a byte order mark in front, as the first one is not part of the text
+    text = F.decode(F.unhex(F.concat(F.lit("0000FEFF"), F.lpad(F.hex(n), 8, "0"))), "UTF-32")
+    return (
+        F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), UNKNOWN)
+        .when(n.between(128, 159), F.element_at(F.array(*map(F.lit, WINDOWS)), (n - 127).cast("int")))
+        .when(n == 160, " ")
+        .otherwise(text)
+    )
+
+
+def unescaped(text: Column) -> Column:
+    """Character references as characters, each once; what is none stays as it is."""
+    named = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+
+    def piece(x: Column) -> Column:
+        name = F.regexp_extract(x, REFERENCE, 1)
+        char = F.when(name == "", F.lit(None).cast("string"))
+        for common, value in COMMON.items():
+            char = char.when(name == common, value)
+        hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
+        number = F.when(hexadecimal, F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 9)).cast("long")
+        char = char.when(F.startswith(name, F.lit("#")), code_point(number)).otherwise(F.try_element_at(named, name))
+        rest = F.substring(x, F.length(name) + 2, F.length(x))
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), x))
+
+    parts = F.split(text, "&")
+    decoded = F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""))
+    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+
+
 def plain_text(html: Column) -> Column:
-    out = F.regexp_replace(html, COMMENT, "")
-    out = F.regexp_replace(out, HIDDEN, "")
+    """Text of a page: what is hidden and all tags go, blocks are lines, references are characters, blanks are one."""
+    out = F.regexp_replace(html, HIDDEN, "")
     out = F.regexp_replace(out, BREAK, "\n")
     out = F.regexp_replace(out, TAG, "")
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
+    out = unescaped(out)
     out = F.regexp_replace(out, r"[\x20\x09\x0B\x0C\x0D]+", " ")
     out = F.regexp_replace(out, r" ?\n[ \n]*", "\n")
     return F.regexp_replace(out, r"^[ \n]+|[ \n]+$", "")
@@ -70,7 +114,8 @@ def derive(response: DataFrame) -> DataFrame:
 
     Reads page_id, record_id, target_uri, http_headers, payload (nulls count as empty). Returns page_id,
     record_type, record_id, refers_to, target_uri, content_type, source_headers, source_payload_digest,
-    content_length (bytes of the block), block_digest, block.
+    content_length (bytes of the block), block_digest, block. An empty page has an empty text; long ones are taken whole. Responses
+    that repeat give records that repeat; an empty table gives none.
     """
     payload = F.coalesce(F.col("payload"), F.lit(""))
     rows = response.select(
@@ -117,19 +162,19 @@ def derivatives(pages: DataFrame) -> DataFrame:
 
 
 def derivatives_sql() -> str:
-    """The same in DuckDB's SQL, with the same patterns."""
+    """The same in DuckDB's SQL; character references are joined to a table of names."""
     def q(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 
     def uuid(expr: str) -> str:
         return f"(SELECT '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] || '>' FROM (SELECT md5({expr}) AS h))"
 
-    text = f"regexp_replace(payload, {q(COMMENT)}, '', 'g')"
-    text = f"regexp_replace({text}, {q(HIDDEN)}, '', 'g')"
-    text = f"regexp_replace({text}, {q(BREAK)}, chr(10), 'g')"
-    text = f"regexp_replace({text}, {q(TAG)}, '', 'g')"
-    for entity, char in ENTITIES:
-        text = f"replace({text}, {q(entity)}, {q(char)})"
+    stripped = f"regexp_replace(payload, {q(HIDDEN)}, '', 'g')"
+    stripped = f"regexp_replace({stripped}, {q(BREAK)}, chr(10), 'g')"
+    stripped = f"regexp_replace({stripped}, {q(TAG)}, '', 'g')"
+    names = ", ".join(f"({q(k)}, {q(v)})" for k, v in sorted(NAMED.items()))
+    windows = ", ".join(map(q, WINDOWS))
+    text = "decoded"
     text = rf"regexp_replace({text}, '[\x20\x09\x0B\x0C\x0D]+', ' ', 'g')"
     text = rf"regexp_replace({text}, ' ?\n[ \n]*', chr(10), 'g')"
     text = rf"regexp_replace({text}, '^[ \n]+|[ \n]+$', '', 'g')"
@@ -145,13 +190,30 @@ def derivatives_sql() -> str:
                {uuid("'response' || chr(31) || coalesce(CAST(page_id AS VARCHAR), chr(0)) || chr(31) || coalesce(url, chr(0)) || chr(31) || source_payload_digest")} AS refers_to,
                'HTTP/1.1 200 OK' || {crlf} || 'Content-Type: text/html; charset=utf-8' || {crlf} || 'Content-Length: ' || strlen(payload) AS source_headers
         FROM digests),
+    numbered AS (SELECT *, row_number() OVER () AS row FROM response),
+    names(name, char) AS (VALUES {names}),
+    parts AS (
+        SELECT row, unnest(string_split(stripped, '&')) AS part, generate_subscripts(string_split(stripped, '&'), 1) AS place
+        FROM (SELECT row, {stripped} AS stripped FROM numbered)),
+    referred AS (SELECT *, CASE WHEN place > 1 THEN regexp_extract(part, {q(REFERENCE)}, 1) ELSE '' END AS name FROM parts),
+    points AS (
+        SELECT *, CASE WHEN name[1:2] IN ('#x', '#X') THEN CAST('0x' || name[3:] AS BIGINT) WHEN name[1:1] = '#' THEN CAST(name[2:] AS BIGINT) END AS n
+        FROM referred),
+    characters AS (
+        SELECT row, place, part, p.name,
+               CASE WHEN n IS NULL THEN char WHEN n = 0 OR n BETWEEN 55296 AND 57343 OR n > 1114111 THEN chr(65533)
+                    WHEN n BETWEEN 128 AND 159 THEN [{windows}][n - 127] WHEN n = 160 THEN ' ' ELSE chr(CAST(n AS INTEGER)) END AS char
+        FROM points p LEFT JOIN names ON names.name = p.name),
+    texts AS (
+        SELECT row, string_agg(CASE WHEN place = 1 THEN part WHEN char IS NULL THEN '&' || part ELSE char || part[length(name) + 2:] END, '' ORDER BY place) AS decoded
+        FROM characters GROUP BY row),
     made AS (
-        SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
+        SELECT * EXCLUDE (row), 'metadata' AS record_type, 'application/warc-fields' AS content_type,
                array_to_string(list_concat(['title: ' || {title}, 'language: ' || {language}, 'payload-length: ' || strlen(payload)],
                    ['outlink: ' || x || ' L a/@href' FOR x IN {links}]), {crlf}) AS block
-        FROM response
+        FROM numbered
         UNION ALL
-        SELECT *, 'conversion', 'text/plain; charset=utf-8', {text} FROM response)
+        SELECT n.* EXCLUDE (row), 'conversion', 'text/plain; charset=utf-8', {text} FROM numbered n JOIN texts USING (row))
     SELECT page_id, record_type, {uuid("record_type || chr(31) || refers_to")} AS record_id, refers_to, target_uri, content_type,
            source_headers, source_payload_digest, CAST(strlen(block) AS BIGINT) AS content_length,
            'sha256:' || sha256(block) AS block_digest, block

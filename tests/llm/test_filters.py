@@ -227,6 +227,34 @@ def test_archive_round_trip(spark, tmp_path):
     assert Counter(map(key, back)) == Counter(map(key, made.collect()))
 
 
+PAGES = [
+    ('<script>document.write("<style>x</style>"); var token=1;</script>seen', "seen"),
+    ("<p>a 3 < 5 and 7 > 2</p>", "a 3 < 5 and 7 > 2"),
+    ("caf&eacute; &#8217; &#x1F600; &#150; &NotEqualTilde; &nope; a&b &amp;lt; x&#160;y &#0;", "caf\u00e9 \u2019 \U0001f600 \u2013 \u2242\u0338 &nope; a&b &lt; x y \ufffd"),
+    ("&#xD800;|&#1114112;|&#65279;|&;|&#;|&amp", "\ufffd|\ufffd|\ufeff|&;|&#;|&amp"),
+    ("one<!-- <script> -->two<script>never closed <p>x", "onetwo"),
+    ("a<STYLE type='x'>p{}</style >b<noscript>c</noscript><template>d</template>e<noscript>f", "abef"),
+    ("I </3 you <b", "I </3 you <b"),
+    ("<pre\nclass=x>a<br/>b</pre><preface>c<a\nhref='x'>d</a>", "a\nb\ncd"),
+    (None, ""), ("", ""), ("<p>" + "word &lt; " * 60_000, ("word < " * 60_000).strip()),
+]
+
+
+def test_text_of_pages(spark, tmp_path):
+    """Expected texts, and the same from the SQL."""
+    import duckdb
+
+    pages = spark.createDataFrame([(i, None, h) for i, (h, _) in enumerate(PAGES)], "page_id long, url string, html string")
+    got = {r.page_id: r.block for r in warc.derivatives(pages).where("record_type = 'conversion'").collect()}
+    assert got == {i: text for i, (_, text) in enumerate(PAGES)}
+    pages.write.parquet(str(tmp_path / "pages"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages/*.parquet')")
+    rows = con.execute(f"SELECT page_id, block FROM ({warc.derivatives_sql()}) WHERE record_type = 'conversion'").fetchall()
+    assert dict(rows) == got
+    assert warc.derivatives(pages.limit(0)).collect() == []
+
+
 def test_pipeline_on_a_small_table(spark, tokenizer):
     import corpus_pipeline
 
