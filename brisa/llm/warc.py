@@ -17,9 +17,9 @@ VERSION = "WARC/1.1"
 # How HTML becomes plain text, in this order. Comments, scripts and styles without an end reach to the end of
 # the page. A tag begins with a letter; any other "<" is text.
 BLANK = r"[\x20\x09-\x0D]"
-RAW = "|".join(rf"<{tag}(?:{BLANK}[^>]*)?>.*?(?:</{tag}{BLANK}*>|\z)" for tag in ("script", "style"))
-UNSEEN = "|".join(rf"<{tag}(?:{BLANK}[^>]*)?>.*?</{tag}{BLANK}*>" for tag in ("noscript", "template"))
-HIDDEN = rf"(?is)<!--.*?(?:-->|\z)|{RAW}|{UNSEEN}"
+RAW = "|".join(rf"{tag}(?:{BLANK}[^>]*)?>.*?(?:</{tag}{BLANK}*>|\z)" for tag in ("script", "style"))
+UNSEEN = "|".join(rf"{tag}(?:{BLANK}[^>]*)?>.*?</{tag}{BLANK}*>" for tag in ("noscript", "template"))
+HIDDEN = rf"(?is)<(?:!--.*?(?:-->|\z)|{RAW}|{UNSEEN})"
 BREAK = (
     r"(?i)</?(?:p|div|br|h[1-6]|li|ul|ol|tr|table|article|section|nav|header|footer|title|head|body|html|blockquote|pre)"
     rf"(?:{BLANK}[^>]*)?/?>"
@@ -79,23 +79,27 @@ def code_point(n: Column) -> Column:
 
 
 def unescaped(text: Column) -> Column:
-    """Character references as characters, each once; what is none stays as it is."""
+    """Character references as characters, each once; what is none stays as it is.
+
+    The text is named once, and so is each reference: a list's function is not compiled, hence repeats what it names twice.
+    """
     named = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
 
-    def piece(x: Column) -> Column:
-        name = F.regexp_extract(x, REFERENCE, 1)
+    def cut(x: Column, place: Column) -> Column:
+        return F.struct(x.alias("x"), F.when(place > 0, F.regexp_extract(x, REFERENCE, 1)).alias("name"))
+
+    def piece(s: Column) -> Column:
+        name = s["name"]
         char = F.when(name == "", F.lit(None).cast("string"))
         for common, value in COMMON.items():
             char = char.when(name == common, value)
         hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
         number = F.when(hexadecimal, F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 9)).cast("long")
         char = char.when(F.startswith(name, F.lit("#")), code_point(number)).otherwise(F.try_element_at(named, name))
-        rest = F.substring(x, F.length(name) + 2, F.length(x))
-        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), x))
+        rest = F.substring(s["x"], F.length(name) + 2, F.length(s["x"]))
+        return F.when(name.isNull(), s["x"]).otherwise(F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), s["x"])))
 
-    parts = F.split(text, "&")
-    decoded = F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), piece), ""))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    return F.array_join(F.transform(F.transform(F.split(text, "&"), cut), piece), "")
 
 
 def plain_text(html: Column) -> Column:
