@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from brisa.functions.aggregates import ROWS, combined_rows, combined_sides
+
 # "Now" for the reports on events and on orders.
 MEASUREMENTS_AS_OF = "2024-01-31 00:00:00"
 COUNTRIES_AS_OF = "2001-08-02 00:00:00"
@@ -32,6 +34,14 @@ def _longitude(key: str) -> Column:
     return (F.lit(-76) + (F.col(key) * 104729 % 900) / 100.0).cast("decimal(11,8)")
 
 
+# Columns of the station table by the fact column that they hang on.
+_STATION_KEYS = {
+    "id": {"id", "name", "country_id", "locality", "timezone", "latitude", "longitude"},
+    "sensor_id": {"sensor_id", "sensor_name", "provider_id", "provider_name"},
+    "is_mobile": {"is_mobile"},
+    "is_monitor": {"is_monitor"},
+}
+
 _schemas: dict[str, T.StructType] = {}
 
 
@@ -73,18 +83,28 @@ class Model:
         """The event columns as measurement columns; for a batch or a stream."""
         return _as_measurements(events)
 
-    def station(self, *columns: str) -> DataFrame:
-        """One row per line item: a station (supplier) and its sensor (part)."""
+    def station(self, *columns: str, combined: bool = False, sides: bool = False) -> DataFrame:
+        """One row per line item: a station (supplier) and its sensor (part).
+
+        ``combined`` gives equal rows once, with their number (``combined_rows``). They are combined by the keys that the wanted
+        columns hang on, before the dimensions are joined: only a report that asks for both sides meets (station, sensor) pairs.
+        With ``sides`` not even that: stations and sensors are combined apart (``combined_sides``), for totals.
+        """
         wanted = set(columns)
         rows = self.table("lineitem").select(
             F.col("l_suppkey").alias("id"),
             F.col("l_partkey").alias("sensor_id"),
-            _latitude("l_suppkey").alias("latitude"),
-            _longitude("l_suppkey").alias("longitude"),
             (F.col("l_returnflag") == "A").alias("is_mobile"),
             (F.col("l_linestatus") == "O").alias("is_monitor"),
             F.col("l_shipdate").alias("extracted_at"),
         )
+        if combined or sides:
+            keys = [key for key, hang in _STATION_KEYS.items() if wanted & hang]
+            span = "extracted_at" if "extracted_at" in wanted else None
+            rows = combined_sides(rows, keys, span) if sides else combined_rows(rows, keys, span)
+            columns = (*columns, ROWS, *([f"last_{span}"] if span else []))
+        if wanted & {"latitude", "longitude"}:
+            rows = rows.withColumns({"latitude": _latitude("id"), "longitude": _longitude("id")})
         if wanted & {"name", "country_id", "locality", "timezone"}:
             supplier = self.table("supplier").select(
                 F.col("s_suppkey").alias("id"),

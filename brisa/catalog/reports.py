@@ -317,49 +317,55 @@ def _station(key: str, columns: str, sql: str, *args, **kwargs) -> None:
     register(key, lambda t: getattr(stations, key)(t.station(*columns.split()), *args, **kwargs), sql)
 
 
-_station(
-    "s_overview", "id sensor_id provider_id locality extracted_at",
+def _combined(key: str, columns: str, sql: str, *args, **kwargs) -> None:
+    """A report on rows that are combined before the dimensions are joined."""
+    register(key, lambda t: getattr(stations, key)(t.station(*columns.split(), combined=True), *args, **kwargs), sql)
+
+
+register(
+    "s_overview",
+    lambda t: stations.s_overview(t.station("id", "sensor_id", "provider_id", "locality", "extracted_at", sides=True)),
     """SELECT count(*) AS rows, count(DISTINCT id) AS stations, count(DISTINCT sensor_id) AS sensors,
               count(DISTINCT provider_id) AS providers, count(DISTINCT locality) AS localities,
               min(extracted_at) AS first_load, max(extracted_at) AS last_load FROM station""",
 )
-_station(
+_combined(
     "s_top_sensors", "id name locality provider_name sensor_id sensor_name",
     """SELECT id, name, locality, provider_name, count(DISTINCT sensor_id) AS sensors,
               string_agg(DISTINCT sensor_name, ', ' ORDER BY sensor_name) AS sensor_names
        FROM station GROUP BY id, name, locality, provider_name
        ORDER BY sensors DESC, id, name, locality, provider_name LIMIT 15""",
 )
-_station(
+_combined(
     "s_by_provider", "id provider_name provider_id sensor_name",
     """SELECT provider_name, provider_id, count(DISTINCT id) AS stations, count(*) AS rows,
               count(DISTINCT sensor_name) AS sensor_names
        FROM station WHERE provider_name IS NOT NULL GROUP BY ALL""",
 )
-_station(
+_combined(
     "s_sensor_types", "id provider_id sensor_name",
     """SELECT sensor_name, count(*) AS rows, count(DISTINCT id) AS stations, count(DISTINCT provider_id) AS providers
        FROM station WHERE sensor_name IS NOT NULL GROUP BY ALL""",
 )
-_station(
+_combined(
     "s_by_locality", "id locality provider_name latitude longitude",
     f"""SELECT locality, count(DISTINCT id) AS stations, count(*) AS rows,
                count(DISTINCT provider_name) AS providers, {mean_sql('latitude', 6, 8)} AS mean_latitude,
                {mean_sql('longitude', 6, 8)} AS mean_longitude
         FROM station WHERE locality IS NOT NULL GROUP BY locality""",
 )
-_station(
+_combined(
     "s_with_coords", "id name locality latitude longitude provider_name sensor_name",
     """SELECT id, name, locality, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude,
               provider_name, count(*) AS sensors, string_agg(sensor_name, ', ' ORDER BY sensor_name) AS sensor_names
        FROM station WHERE latitude IS NOT NULL AND longitude IS NOT NULL GROUP BY ALL""",
 )
-_station(
+_combined(
     "s_mobile_monitor", "id is_mobile is_monitor sensor_name",
     """SELECT is_mobile, is_monitor, count(DISTINCT id) AS stations, count(*) AS rows,
               count(DISTINCT sensor_name) AS sensor_names FROM station GROUP BY ALL""",
 )
-_station(
+_combined(
     "s_by_timezone", "id timezone locality",
     """SELECT timezone, count(DISTINCT id) AS stations, count(*) AS rows,
               string_agg(DISTINCT locality, ', ' ORDER BY locality) AS localities
@@ -376,7 +382,7 @@ _station(
                is_mobile, is_monitor, extracted_at FROM station WHERE id = 7""",
     7,
 )
-_station(
+_combined(
     "s_search_locality", "id name locality provider_name latitude longitude sensor_name",
     f"""SELECT id, name, locality, provider_name, count(*) AS sensors, {_LAT_LON},
                string_agg(sensor_name, ', ' ORDER BY sensor_name) AS sensor_names
@@ -385,12 +391,12 @@ _station(
 )
 register(
     "s_by_country",
-    lambda t: stations.s_by_country(t.station("id", "country_id", "provider_name"), t.countries()),
+    lambda t: stations.s_by_country(t.station("id", "country_id", "provider_name", combined=True), t.countries()),
     """SELECT c.code AS country_code, c.name AS country_name, count(DISTINCT s.id) AS stations,
               count(s.id) AS rows, count(DISTINCT s.provider_name) AS providers
        FROM station s JOIN countries c ON s.country_id = c.country_id GROUP BY ALL""",
 )
-_station(
+_combined(
     "s_variety", "id name locality provider_name sensor_id sensor_name",
     f"""WITH v AS (SELECT id, name, locality, provider_name, count(DISTINCT sensor_name) AS variety,
                           count(sensor_id) AS sensors FROM station GROUP BY ALL)
@@ -421,13 +427,13 @@ _station(
 _BOX = """SELECT CAST(min(latitude) AS DOUBLE) AS min_latitude, CAST(max(latitude) AS DOUBLE) AS max_latitude,
                  CAST(min(longitude) AS DOUBLE) AS min_longitude, CAST(max(longitude) AS DOUBLE) AS max_longitude,
                  count(DISTINCT id) AS stations FROM station"""
-_station(
+_combined(
     "s_bbox_density", "id latitude longitude",
     f"""WITH box AS ({_BOX}),
         sized AS (SELECT *, (max_latitude - min_latitude) * (max_longitude - min_longitude) AS a FROM box)
         SELECT * EXCLUDE (a), round(a, 4) AS area, round(stations / a, 2) AS density FROM sized""",
 )
-_station(
+_combined(
     "s_quadrants", "id locality latitude longitude",
     """SELECT CASE WHEN latitude >= -30 AND longitude >= -70 THEN 'Norte-Este' WHEN latitude >= -30 THEN 'Norte-Oeste'
                    WHEN longitude >= -70 THEN 'Sur-Este' ELSE 'Sur-Oeste' END AS quadrant,
@@ -441,19 +447,19 @@ _station(
     "ls_list", "id name locality sensor_id sensor_name provider_name",
     "SELECT id, name, locality, sensor_name, provider_name FROM station",
 )
-_station(
+_combined(
     "ls_unique", "id name locality provider_name latitude longitude",
     f"SELECT DISTINCT id, name, locality, provider_name, {_LAT_LON} FROM station",
 )
-_station(
+_combined(
     "ls_by_provider", "id provider_name",
     "SELECT provider_name, count(*) AS rows, count(DISTINCT id) AS stations FROM station GROUP BY ALL",
 )
-_station(
+_combined(
     "ls_sensor_types", "sensor_name",
     "SELECT sensor_name, count(*) AS rows FROM station WHERE sensor_name IS NOT NULL GROUP BY ALL",
 )
-_station(
+_combined(
     "ls_top_sensors", "id name locality",
     """SELECT id, name, locality, count(*) AS rows FROM station GROUP BY ALL
        ORDER BY rows DESC, id LIMIT 15""",
@@ -463,7 +469,7 @@ _station(
     "SELECT DISTINCT name, locality, provider_name FROM station WHERE sensor_name ILIKE '%econ%'",
     "%econ%",
 )
-_station(
+_combined(
     "ls_by_locality", "id locality",
     "SELECT locality, count(DISTINCT id) AS stations FROM station WHERE locality IS NOT NULL GROUP BY ALL",
 )
@@ -472,10 +478,10 @@ _station(
     f"SELECT name, sensor_name, {_LAT_LON} FROM station WHERE locality ILIKE '%Nation_1%'",
     "%Nation_1%",
 )
-_station("ls_bbox", "id latitude longitude", _BOX)
+_combined("ls_bbox", "id latitude longitude", _BOX)
 register(
     "ls_country_counts",
-    lambda t: stations.ls_country_counts(t.countries(), t.station("id", "country_id")),
+    lambda t: stations.ls_country_counts(t.countries(), t.station("id", "country_id", combined=True)),
     """SELECT c.name, c.code, count(s.id) AS rows, count(DISTINCT s.id) AS stations
        FROM countries c LEFT JOIN station s ON c.country_id = s.country_id
        GROUP BY ALL HAVING count(s.id) > 0""",
@@ -529,8 +535,9 @@ _station(
               count(DISTINCT sensor_name) AS sensor_types
        FROM station GROUP BY id, name, locality HAVING count(DISTINCT sensor_name) >= 3""",
 )
-_station(
-    "ls_report", "id sensor_name locality provider_name",
+register(
+    "ls_report",
+    lambda t: stations.ls_report(t.station("id", "sensor_name", "locality", "provider_name", sides=True)),
     """SELECT 'Total registros' AS metric, count(*) AS value FROM station
        UNION ALL SELECT 'Estaciones únicas', count(DISTINCT id) FROM station
        UNION ALL SELECT 'Tipos de sensores', count(DISTINCT sensor_name) FROM station
@@ -540,16 +547,16 @@ _station(
 _CATEGORY = """CASE WHEN {x} ILIKE '%pm%' THEN 'Partículas (PM)'
      WHEN {x} ILIKE '%no%' OR {x} ILIKE '%so%' OR {x} ILIKE '%o3%' THEN 'Gases'
      WHEN {x} ILIKE '%temp%' OR {x} ILIKE '%hum%' THEN 'Meteorológicos' ELSE 'Otros' END"""
-_station(
+_combined(
     "ls_sensor_category", "sensor_name",
     f"SELECT {_CATEGORY.format(x='sensor_name')} AS category, count(*) AS rows FROM station GROUP BY 1",
 )
-_station(
+_combined(
     "ls_top10", "name locality provider_name",
     """SELECT name, locality, provider_name, count(*) AS rows FROM station GROUP BY ALL
        ORDER BY rows DESC, name, locality, provider_name LIMIT 10""",
 )
-_station(
+_combined(
     "ls_by_city", "id locality",
     """SELECT locality, count(DISTINCT id) AS stations, count(*) AS rows FROM station
        WHERE locality IS NOT NULL GROUP BY ALL""",

@@ -16,6 +16,52 @@ def agg_count_col(col: str) -> Column:
     return F.count(col)
 
 
+# Column of a table whose equal rows were combined: how many rows each stands for.
+ROWS = "row_count"
+
+
+def combined_rows(df: DataFrame, keys: Sequence[str], span: str | None = None) -> DataFrame:
+    """Equal rows as one with their number, before any dimension is joined to them.
+
+    ``span`` names a time column that is no key; of it the smallest value is kept under its name and the largest
+    as ``last_<name>``. Reports with ``agg_rows`` give the same on the combined rows as on the rows themselves.
+    """
+    aggs = [F.count(F.lit(1)).alias(ROWS)]
+    if span:
+        aggs += [F.min(span).alias(span), F.max(span).alias(f"last_{span}")]
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def combined_sides(df: DataFrame, sides: Sequence[str], span: str | None = None) -> DataFrame:
+    """One row per value of each column in ``sides`` alone, from one pass: never one per pair.
+
+    The rows are counted on the first side, those of the others stand for none. So totals, and distinct counts of columns that
+    hang on one side each, are those of all rows; a report that groups by a column, or counts pairs, needs ``combined_rows``.
+    """
+    first = F.grouping_id() == 2 ** (len(sides) - 1) - 1
+    aggs = [F.when(first, F.count(F.lit(1))).otherwise(0).cast("bigint").alias(ROWS)]
+    if span:
+        aggs += [F.min(span).alias(span), F.max(span).alias(f"last_{span}")]
+    return df.groupingSets([[F.col(c)] for c in sides], *sides).agg(*aggs)
+
+
+def agg_rows(df: DataFrame, where: Column | None = None) -> Column:
+    """Number of rows, or of those that meet a condition; combined rows count as many as they stand for."""
+    if ROWS not in df.columns:
+        return agg_count() if where is None else F.count_if(where)
+    n = F.col(ROWS) if where is None else F.when(where, F.col(ROWS))
+    return F.coalesce(F.sum(n), F.lit(0).cast("bigint"))
+
+
+def agg_avg_rows(df: DataFrame, col: str, digits: int) -> Column:
+    """Rounded mean of a DECIMAL column over all rows that combined rows stand for."""
+    if ROWS not in df.columns:
+        return agg_avg_round(col, digits)
+    n = F.when(F.col(col).isNotNull(), F.col(ROWS))
+    total = F.sum(F.col(col) * F.col(ROWS)).cast("decimal(30,8)")
+    return F.round(F.try_divide(total, F.sum(n).cast("decimal(15,0)")), digits)
+
+
 def agg_count_distinct(col: str | Column) -> Column:
     return F.count_distinct(col)
 
@@ -84,7 +130,7 @@ def with_repeated_list(
     from every row that it holds.
     """
     combined = df.groupBy(*keys, col).agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.sum(c).alias(f"_sum_{c}") for c in sums]
+        agg_rows(df).alias("_rows"), *[F.sum(c).alias(f"_sum_{c}") for c in sums]
     )
     piece = F.expr(f"array_join(array_repeat(CAST({col} AS STRING), CAST(_rows AS INT)), '{sep}')")
     combined = combined.withColumn("_piece", F.when(F.col(col).isNotNull(), piece))

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brisa.functions.aggregates import agg_rows
 from brisa.functions.scalars import json_elements
 from brisa.session import as_written_table
 
@@ -55,7 +56,7 @@ def join_left_agg(
     """
     keys = [right_key, counted] if distinct_name else [right_key]
     reduced = right.where(F.col(counted).isNotNull()).groupBy(*dict.fromkeys(keys))
-    reduced = reduced.agg(F.count(F.lit(1)).alias("_n"))
+    reduced = reduced.agg(agg_rows(right).alias("_n"))
     right_cols = [F.col(right_key).alias("_key"), F.col("_n")]
     aggs = [F.sum("_n").alias(rows_name)]
     if distinct_name:

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brisa.functions.aggregates import agg_rows
+
 
 def metric_rows(
     df: DataFrame, metrics: Mapping[str, Column], label: str = "metric", value: str = "value"
@@ -31,7 +33,7 @@ def union_metrics(df: DataFrame, metrics: Mapping[str, Column]) -> DataFrame:
 def union_checks(df: DataFrame, problems: Mapping[str, Column]) -> DataFrame:
     """Rows that break a rule, counted per rule."""
     return metric_rows(
-        df, {text: F.count_if(test) for text, test in problems.items()}, "problem", "found"
+        df, {text: agg_rows(df, test) for text, test in problems.items()}, "problem", "found"
     )
 
 

@@ -1,5 +1,8 @@
 """Reports on the station table: one row per station and sensor.
 
+Most reports also take combined rows (``aggregates.combined_rows``), which stand for many: a report on places then joins
+its dimensions to one row per station, not to every row.
+
 Listings end their sort with the table's key (id, sensor_id). It makes the order
 repeatable, and it lets the range partitioning split a station or a place that
 holds a large share of all rows.
@@ -15,13 +18,14 @@ from pyspark.sql import functions as F
 
 from brisa.functions import labels
 from brisa.functions.aggregates import (
-    agg_avg_round, agg_count, agg_count_col, agg_count_distinct, string_list, with_distinct_list, with_repeated_list,
+    agg_avg_rows, agg_count, agg_count_col, agg_count_distinct, agg_rows, string_list, with_distinct_list, with_repeated_list,
 )
 from brisa.functions.scalars import concat_key, date_of
 from brisa.operators.filters import filter_eq, filter_in, filter_like_ci, filter_null, like_any
 from brisa.operators.joins import join_inner_country, join_left_agg
 from brisa.operators.metrics import union_checks, union_metrics
 from brisa.operators.ordering import sort_multi, topk
+from brisa.session import as_written_table
 
 # --- fixed values: sensor names, places and report labels ---------------------
 PM_SENSORS = ("pm25 µg/m³", "pm10 µg/m³")
@@ -63,14 +67,15 @@ _low_listing = partial(_listing, nulls_high=False)
 
 
 def s_overview(st: DataFrame) -> DataFrame:
+    last = "last_extracted_at" if "last_extracted_at" in st.columns else "extracted_at"
     return st.agg(
-        agg_count().alias("rows"),
+        agg_rows(st).alias("rows"),
         _stations().alias("stations"),
         agg_count_distinct("sensor_id").alias("sensors"),
         agg_count_distinct("provider_id").alias("providers"),
         agg_count_distinct("locality").alias("localities"),
         F.min("extracted_at").alias("first_load"),
-        F.max("extracted_at").alias("last_load"),
+        F.max(last).alias("last_load"),
     )
 
 
@@ -81,7 +86,10 @@ def s_top_sensors(st: DataFrame, k: int = 15) -> DataFrame:
     """
     keys = ["id", "name", "locality", "provider_name"]
     counts = st.groupBy(*keys).agg(agg_count_distinct("sensor_id").alias("sensors"))
-    top = topk(counts, k, "-sensors", *keys)
+    top = as_written_table(topk(counts, k, "-sensors", *keys), "top-stations")
+    # k ids, known as a value: the filter goes below the joins that gave the rows their dimensions
+    ids = top.agg(F.collect_set("id")).scalar()
+    st = st.where(F.col("id").isNull() | F.array_contains(ids, F.col("id")))
     renamed = top.select(*[F.col(c).alias(f"_{c}") for c in top.columns])
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
     chosen = st.join(renamed, same).select(*keys, "sensor_name", F.col("_sensors").alias("sensors"))
@@ -92,7 +100,7 @@ def s_top_sensors(st: DataFrame, k: int = 15) -> DataFrame:
 def s_by_provider(st: DataFrame) -> DataFrame:
     report = filter_null(st, not_null=["provider_name"]).groupBy("provider_name", "provider_id").agg(
         _stations().alias("stations"),
-        agg_count().alias("rows"),
+        agg_rows(st).alias("rows"),
         agg_count_distinct("sensor_name").alias("sensor_names"),
     )
     return sort_multi(report, "-stations", "provider_name", "provider_id")
@@ -100,7 +108,7 @@ def s_by_provider(st: DataFrame) -> DataFrame:
 
 def s_sensor_types(st: DataFrame) -> DataFrame:
     report = filter_null(st, not_null=["sensor_name"]).groupBy("sensor_name").agg(
-        agg_count().alias("rows"),
+        agg_rows(st).alias("rows"),
         _stations().alias("stations"),
         agg_count_distinct("provider_id").alias("providers"),
     )
@@ -110,10 +118,10 @@ def s_sensor_types(st: DataFrame) -> DataFrame:
 def s_by_locality(st: DataFrame) -> DataFrame:
     report = filter_null(st, not_null=["locality"]).groupBy("locality").agg(
         _stations().alias("stations"),
-        agg_count().alias("rows"),
+        agg_rows(st).alias("rows"),
         agg_count_distinct("provider_name").alias("providers"),
-        agg_avg_round("latitude", 6).alias("mean_latitude"),
-        agg_avg_round("longitude", 6).alias("mean_longitude"),
+        agg_avg_rows(st, "latitude", 6).alias("mean_latitude"),
+        agg_avg_rows(st, "longitude", 6).alias("mean_longitude"),
     )
     return sort_multi(report, "-stations", "locality")
 
@@ -130,7 +138,7 @@ def s_with_coords(st: DataFrame) -> DataFrame:
 def s_mobile_monitor(st: DataFrame) -> DataFrame:
     report = st.groupBy("is_mobile", "is_monitor").agg(
         _stations().alias("stations"),
-        agg_count().alias("rows"),
+        agg_rows(st).alias("rows"),
         agg_count_distinct("sensor_name").alias("sensor_names"),
     )
     return sort_multi(report, "is_mobile", "is_monitor")
@@ -141,7 +149,7 @@ def _by_place(st: DataFrame, group: str) -> DataFrame:
 
     Rows are reduced to one per (group, station, locality) first.
     """
-    reduced = st.groupBy(group, "id", "locality").agg(agg_count().alias("_n"))
+    reduced = st.groupBy(group, "id", "locality").agg(agg_rows(st).alias("_n"))
     return reduced.groupBy(group).agg(
         _stations().alias("stations"),
         F.sum("_n").alias("rows"),
@@ -172,7 +180,7 @@ def s_search_locality(st: DataFrame, pattern: str) -> DataFrame:
 
 def s_by_country(st: DataFrame, c: DataFrame) -> DataFrame:
     """Rows are reduced to one per (country, station, provider) before the join."""
-    reduced = st.groupBy("country_id", "id", "provider_name").agg(agg_count().alias("_n"))
+    reduced = st.groupBy("country_id", "id", "provider_name").agg(agg_rows(st).alias("_n"))
     report = join_inner_country(c, reduced).groupBy("country_code", "country_name").agg(
         _stations().alias("stations"),
         F.sum(F.when(F.col("id").isNotNull(), F.col("_n")).otherwise(0)).alias("rows"),
@@ -186,7 +194,7 @@ def s_variety(st: DataFrame, k: int = 20) -> DataFrame:
     ratio = F.try_divide(F.col("variety").cast("decimal(18,0)"), F.col("sensors").cast("decimal(18,0)"))
     report = (
         st.groupBy("id", "name", "locality", "provider_name")
-        .agg(agg_count_distinct("sensor_name").alias("variety"), agg_count_col("sensor_id").alias("sensors"))
+        .agg(agg_count_distinct("sensor_name").alias("variety"), agg_rows(st, F.col("sensor_id").isNotNull()).alias("sensors"))
         .where("sensors > 1")
         .withColumn("variety_ratio", F.round(ratio, 2))
     )
@@ -271,17 +279,17 @@ def ls_unique(st: DataFrame) -> DataFrame:
 
 def ls_by_provider(st: DataFrame) -> DataFrame:
     """Rows without a provider form a group of their own."""
-    report = st.groupBy("provider_name").agg(agg_count().alias("rows"), _stations().alias("stations"))
+    report = st.groupBy("provider_name").agg(agg_rows(st).alias("rows"), _stations().alias("stations"))
     return _sorted(report, "-rows", "provider_name")
 
 
 def ls_sensor_types(st: DataFrame) -> DataFrame:
     report = filter_null(st, not_null=["sensor_name"]).groupBy("sensor_name")
-    return _sorted(report.agg(agg_count().alias("rows")), "-rows", "sensor_name")
+    return _sorted(report.agg(agg_rows(st).alias("rows")), "-rows", "sensor_name")
 
 
 def ls_top_sensors(st: DataFrame, k: int = 15) -> DataFrame:
-    report = st.groupBy("id", "name", "locality").agg(agg_count().alias("rows"))
+    report = st.groupBy("id", "name", "locality").agg(agg_rows(st).alias("rows"))
     return _topk(report, k, "-rows", "id")
 
 
@@ -366,7 +374,7 @@ def ls_complete(st: DataFrame, at_least: int = 3) -> DataFrame:
 
 def ls_report(st: DataFrame) -> DataFrame:
     counts = (
-        agg_count(),
+        agg_rows(st),
         _stations(),
         agg_count_distinct("sensor_name"),
         agg_count_distinct("locality"),
@@ -378,16 +386,16 @@ def ls_report(st: DataFrame) -> DataFrame:
 def ls_sensor_category(st: DataFrame) -> DataFrame:
     category = labels.bucket_sensor(F.col("sensor_name")).alias("category")
     report = filter_null(st, not_null=["sensor_name"]).groupBy(category)
-    return _sorted(report.agg(agg_count().alias("rows")), "-rows", "category")
+    return _sorted(report.agg(agg_rows(st).alias("rows")), "-rows", "category")
 
 
 def ls_top10(st: DataFrame, k: int = 10) -> DataFrame:
-    report = st.groupBy("name", "locality", "provider_name").agg(agg_count().alias("rows"))
+    report = st.groupBy("name", "locality", "provider_name").agg(agg_rows(st).alias("rows"))
     return _topk(report, k, "-rows", "name", "locality", "provider_name")
 
 
 def ls_by_city(st: DataFrame) -> DataFrame:
     report = filter_null(st, not_null=["locality"]).groupBy("locality").agg(
-        _stations().alias("stations"), agg_count().alias("rows")
+        _stations().alias("stations"), agg_rows(st).alias("rows")
     )
     return _sorted(report, "-rows", "locality")

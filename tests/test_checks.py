@@ -273,3 +273,34 @@ def test_summary_report_has_one_row(spark):
     row = countries.summary_report(c, "2024-01-01T00:00:00", "source", "endpoint").first()
     assert row.total_countries == 3
     assert row.regional_distribution == {"Europa/África": 1, "América/Otros": 1}
+
+
+def test_combined_rows_give_the_reports_of_all_rows(spark):
+    from brisa.functions.aggregates import ROWS, combined_rows, combined_sides
+    from brisa.plans import stations
+
+    rows = [(1, 7, "a", Decimal("1.5")), (1, 7, "a", Decimal("1.5")), (1, 8, "a", Decimal("1.5")), (2, 7, None, None),
+            (None, 7, "b", Decimal("-3")), (None, 7, "b", Decimal("-3")), (3, None, "b", Decimal("0.000001")), (None, None, None, None)]
+    schema = "id BIGINT, sensor_id BIGINT, locality STRING, latitude DECIMAL(10,8)"
+    st = spark.createDataFrame(rows, schema)
+    st = st.select("*", F.col("latitude").alias("longitude"), F.col("locality").alias("name"), F.col("sensor_id").cast("string").alias("provider_name"),
+                   F.col("sensor_id").cast("string").alias("sensor_name"), F.lit(5).alias("provider_id"), F.lit(date(2024, 1, 2)).alias("extracted_at"))
+    keys = [c for c in st.columns if c != "extracted_at"]
+    combined = combined_rows(st, keys, "extracted_at")
+    assert combined.agg(F.sum(ROWS)).first()[0] == 8 and combined.count() == 6
+    for report in (stations.s_overview, stations.s_by_locality, stations.s_with_coords, stations.ls_report, stations.ls_by_city,
+                   stations.ls_sensor_types, stations.s_sensor_types, stations.s_by_provider):
+        whole, short = (sorted(map(str, report(x).collect())) for x in (st, combined))
+        assert whole == short, report.__name__
+    sides = combined_sides(st.select("id", "sensor_id", "extracted_at"), ["id", "sensor_id"], "extracted_at")
+    found = sides.agg(F.sum(ROWS), F.count_distinct("id"), F.count_distinct("sensor_id")).first()
+    assert tuple(found) == (8, 3, 2)
+    empty = combined_rows(st.limit(0), keys, "extracted_at")
+    assert stations.ls_report(empty).agg(F.sum("value")).first()[0] == 0
+
+
+def test_combined_means_are_rounded_once(spark):
+    from brisa.functions.aggregates import ROWS, agg_avg_rows
+
+    df = spark.createDataFrame([(Decimal("0.0000014"), 1), (Decimal("0.0000015"), 1), (None, 9)], f"x DECIMAL(10,8), {ROWS} BIGINT")
+    assert df.agg(agg_avg_rows(df, "x", 6)).first()[0] == Decimal("0.000001")

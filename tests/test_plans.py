@@ -73,3 +73,11 @@ def test_day_bound_prunes_the_partitions(spark):
     m.write.partitionBy("period_date").parquet(path)
     text = plan(filter_recent(spark.read.parquet(path), "period_from_utc", "2024-01-31", 3))
     assert "PartitionFilters: [isnotnull(period_date" in text
+
+
+@pytest.mark.parametrize("key", ["s_overview", "s_by_timezone", "ls_by_locality", "ls_report", "ls_country_counts"])
+def test_station_rows_are_combined_before_dimensions_are_joined(plans, key):
+    """On the way from the scan of the facts up to the first join there is an aggregate."""
+    above = plans(key).split("lineitem.parquet")[0].splitlines()
+    nearest = next(line for line in reversed(above) if "Aggregate" in line or "Join" in line)
+    assert "HashAggregate" in nearest, key
