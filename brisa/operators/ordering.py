@@ -27,6 +27,23 @@ def sort_multi(df: DataFrame, *specs: str | Column, nulls_high: bool = True) ->
     return df.orderBy(*[_order(s, nulls_high) for s in specs])
 
 
+def with_position(df: DataFrame, *specs: str | Column, name: str = "position", nulls_high: bool = True) -> DataFrame:
+    """Numbers the rows from 1 in the given order, without bringing them into one task.
+
+    The sorted rows are written with the number of their task and their place in it; the tasks' sizes, one row each, give the
+    offset of every task. The order should have no ties, or a rerun may number these otherwise.
+    """
+    place = F.monotonically_increasing_id()
+    bits = 33  # of the place within the task, below the number of the task
+    placed = sort_multi(df, *specs, nulls_high=nulls_high).withColumn("_place", place)
+    placed = as_written_table(placed.withColumn("_task", F.shiftright("_place", bits)), "sorted")
+    sizes = placed.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = as_written_table(sizes.select("_task", F.coalesce(before, F.lit(0)).alias("_before")), "offsets")
+    inside = F.col("_place").bitwiseAND(2**bits - 1)
+    return placed.join(offsets, "_task").withColumn(name, F.col("_before") + inside + 1).select(*df.columns, name)
+
+
 def topk(df: DataFrame, k: int, *specs: str | Column, nulls_high: bool = True) -> DataFrame:
     """First k rows by the given order; all columns break ties, so that it repeats."""
     named = {s.lstrip("-") for s in specs if isinstance(s, str)}

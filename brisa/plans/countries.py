@@ -51,6 +51,17 @@ def _parameter_count() -> Column:
     return json_length(F.col("parameters"))
 
 
+def with_location_counts(c: DataFrame, locations: DataFrame) -> DataFrame:
+    """Countries with the number of their locations, for a payload that tells none.
+
+    A country whose row has a count above 0 keeps it. The locations are counted per country before the join.
+    """
+    counted = locations.groupBy(F.col("country_code").alias("code")).agg(agg_count().alias("_counted"))
+    told = F.when(F.col("locations") > 0, F.col("locations"))
+    count = F.coalesce(told, F.col("_counted"), F.lit(0)).cast(c.schema["locations"].dataType)
+    return c.join(counted, "code", "left").withColumn("locations", count).select(*c.columns)
+
+
 def c_overview(c: DataFrame) -> DataFrame:
     return c.agg(
         agg_count().alias("countries"),

@@ -49,6 +49,41 @@ def v_page_completeness(records: DataFrame, source: Sequence[str], page_cap: int
     return sort_multi(per_source.withColumn("status", status), *source)
 
 
+def v_source_completeness(pages: DataFrame, sources: DataFrame, source: str, page_cap: int) -> DataFrame:
+    """Every listed source with its state, also one of which no good page landed.
+
+    ``pages`` has one row per landed page (``files.landed_pages``). A page that landed in several runs counts once, with the most
+    records that it had. A source with pages that are all empty has nothing to give if its total is told as 0, and "no records"
+    otherwise; of a source without any readable page "no page" is known. Unreadable pages name no source.
+    """
+    readable = pages.where(F.col("state") != "unreadable").groupBy(source, "page").agg(
+        F.max("n").alias("n"), F.max("found").alias("found"), F.max("limit").alias("limit")
+    )
+    number = F.when(F.col("found").rlike("^[0-9]+$"), F.col("found")).try_cast("bigint")
+    per_source = readable.groupBy(source).agg(
+        F.sum("n").alias("landed"),
+        F.count_if(F.col("n") > 0).alias("good_pages"),
+        F.max("page").cast("bigint").alias("last_page"),
+        F.max_by("n", "page").alias("last_size"),
+        F.max("limit").cast("bigint").alias("limit"),
+        F.max(number).alias("found"),
+    )
+    listed = sources.select(source).distinct().join(per_source, source, "left")
+    told_more = F.coalesce(F.col("found") > F.col("landed"), F.lit(False))
+    short_last = F.col("last_size") < F.col("limit")
+    status = (
+        F.when(F.col("landed").isNull(), "no page")
+        .when((F.col("landed") == 0) & F.coalesce(F.col("found") == 0, F.lit(False)), "complete")
+        .when(F.col("landed") == 0, "no records")
+        .when((F.col("found") > 0) & ~told_more, "complete")
+        .when((told_more | ~short_last) & (F.col("last_page") >= page_cap), "truncated: page cap")
+        .when(told_more | ~short_last, "truncated")
+        .otherwise("complete")
+    )
+    counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("landed", "good_pages")]
+    return sort_multi(listed.select(source, *counts, "last_page", "found", status.alias("status")), source)
+
+
 def v_page_states(pages: DataFrame, source: Sequence[str]) -> DataFrame:
     """Per source and state: pages and records. Unreadable pages have no source; sources with empty pages only are listed."""
     found = pages.groupBy(*source, "state").agg(agg_count().alias("pages"), F.sum("n").alias("records"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from brisa.operators.filters import filter_eq, filter_in, filter_like_lower, fil
 from brisa.operators.flatten import explode_sensors
 from brisa.operators.joins import join_left_agg, scalar_subquery
 from brisa.operators.ordering import sort_multi, topk
+from brisa.session import as_written_table
 
 # --- fixed values ---------------------------------------------------------------
 # countries to ask for while the countries table is empty, or cannot be read
@@ -81,10 +83,13 @@ def v_iso_codes(countries: DataFrame, defaults: Sequence[str] = DEFAULT_CODES) -
 
 
 def iso_codes_to_ask(spark: SparkSession, read: Callable[[], DataFrame]) -> DataFrame:
-    """Codes of the countries table that ``read`` opens; a short list if it cannot be read."""
+    """Codes of the countries table that ``read`` opens; a short list if it cannot be read.
+
+    The distinct codes are written at once, so that a file which fails while it is read counts as unreadable too.
+    """
     try:
-        return v_iso_codes(read())
-    except AnalysisException:
+        return v_iso_codes(as_written_table(read().select("code").distinct(), "codes"))
+    except (PySparkException, Py4JJavaError):  # the second if it is a task that fails
         return spark.createDataFrame([(c,) for c in FALLBACK_CODES], "code STRING")
 
 

@@ -115,12 +115,18 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     )
 
 
+# Spark writes milliseconds by default and drops what is finer.
+_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, **_TIMES).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**_TIMES).json(path)
 
 
 def export_slice(df: DataFrame, ts: str, start: date, end: date, base: str) -> str:
@@ -138,7 +144,7 @@ def export_days(df: DataFrame, ts: str, start: date, end: date, base: str) -> No
         .hint("rebalance", "dt")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .option("header", True)
+        .options(header=True, **_TIMES)
         .partitionBy("dt")
         .csv(base)
     )

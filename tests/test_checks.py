@@ -304,3 +304,33 @@ def test_combined_means_are_rounded_once(spark):
 
     df = spark.createDataFrame([(Decimal("0.0000014"), 1), (Decimal("0.0000015"), 1), (None, 9)], f"x DECIMAL(10,8), {ROWS} BIGINT")
     assert df.agg(agg_avg_rows(df, "x", 6)).first()[0] == Decimal("0.000001")
+
+
+def test_every_listed_source_has_a_state(spark):
+    landed = spark.createDataFrame(
+        [(1, 1, "2", 2, 2, "good"), (2, 1, "0", 2, 0, "empty"), (3, 1, "x", 2, 0, "empty"), (4, 9, ">9", 2, 2, "good"),
+         (5, 1, "7", 2, 2, "good"), (5, 1, "7", 2, 1, "good"), (6, 9, "7", 2, 2, "good"), (None, None, None, None, 0, "unreadable")],
+        "sensor_id BIGINT, page INT, found STRING, `limit` INT, n BIGINT, state STRING",
+    )
+    sources = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 5, 6, 7, 7)], "sensor_id BIGINT")
+    found = paging.v_source_completeness(landed, sources, "sensor_id", 9).collect()
+    assert {(r.sensor_id, r.landed, r.status) for r in found} == {
+        (1, 2, "complete"), (2, 0, "complete"), (3, 0, "no records"), (4, 2, "truncated: page cap"), (5, 2, "truncated"),
+        (6, 2, "truncated: page cap"), (7, 0, "no page"),
+    }
+    assert len(found) == 7
+
+
+def test_positions_count_through_all_tasks(spark):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("x"))
+    got = ordering.with_position(df.repartition(9), "-x").collect()
+    assert sorted((r.position, r.x) for r in got) == [(i + 1, 999 - i) for i in range(1000)]
+    assert ordering.with_position(df.limit(0), "x").count() == 0
+
+
+def test_counted_locations_fill_what_the_payload_lacks(spark):
+    c = spark.createDataFrame([("A", 0), ("B", None), ("C", 9), (None, 0)], "code STRING, locations INT")
+    where = spark.createDataFrame([("A",), ("A",), ("C",), (None,)], "country_code STRING")
+    got = {r.code: r.locations for r in countries.with_location_counts(c, where).collect()}
+    assert got == {"A": 2, "B": 0, "C": 9, None: 0}
+    assert countries.with_location_counts(c, where).schema["locations"].dataType.simpleString() == "int"
