@@ -1,6 +1,7 @@
 """Quality rules as a short-circuit cascade.
 
-A bounded sample tells what each rule costs (seconds for the measures that it needs) and how much it rejects. The rules
+A bounded sample, spread over the files of the table, tells what each rule costs (seconds for the measures that it needs beyond
+those taken before) and how much it rejects of what the rules before it let pass. The rules
 then run in the order of rejection per cost, and a document leaves at the first rule that
 rejects it, so that dear measures are taken only of documents that the cheap rules let pass. The verdict is the same
 in any order; only the time differs.
@@ -11,9 +12,11 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +24,7 @@ from brisa.llm.common import bounded_batches, text_bytes
 
 # Documents that the order of the rules is estimated from. The verdicts do not depend on it.
 SAMPLE_ROWS = 300
+SAMPLE_FILES = 10
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
@@ -106,19 +110,64 @@ STANDARD = [
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
+def spread_rows(docs: DataFrame, rows: int, files: int = SAMPLE_FILES) -> DataFrame:
+    """At most so many rows: the first of each of some files, evenly spaced in the order of the table's files.
+
+    No other file is read. Of a table that is no scan of files these are its first rows.
+    """
+    names = sorted({path.rsplit("/", 1)[-1] for path in docs.inputFiles()})
+    chosen = sorted({names[i * len(names) // files] for i in range(files)}) if names else []
+    if "_metadata" in docs.columns or len(chosen) < 2:
+        return docs.limit(rows)
+    each = -(-rows // len(chosen))
+    try:
+        parts = [docs.where(F.col("_metadata.file_name") == name).limit(each) for name in chosen]
+    except AnalysisException:  # derived from files, but no scan
+        return docs.limit(rows)
+    return reduce(DataFrame.unionAll, parts).limit(rows)
+
+
+def greedy_order(rules: Sequence[Rule], rejected: np.ndarray, seconds: np.ndarray) -> list[Rule]:
+    """Rules by rejections per second, the next always measured on the rows that are still in after those before it.
+
+    ``rejected`` and ``seconds`` have a line per sampled row and a column per rule. Ties keep the given order.
+    """
+    left, order = list(range(len(rules))), []
+    still = np.ones(len(rejected), dtype=bool)
+    while left:
+        gain = [(rejected[still, i].sum() / max(seconds[still, i].sum(), 1e-9), -seconds[:, i].sum()) for i in left]
+        best = left.pop(max(range(len(left)), key=gain.__getitem__))
+        order.append(rules[best])
+        still &= ~rejected[:, best]
+    return order
+
+
 def ordered(docs: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules by rejections per second on the first rows of the table, each rule on a fresh text.
+    """Rules in the order that a sample of the table suggests, each rule tried on a fresh text.
 
-    The driver gets these few rows from the first files; no other task runs for the sample.
+    The rules are tried where the rows are: the driver gets a flag and a time for each rule and sampled row, never a text.
     """
-    texts = [r["text"] for r in docs.select(text_bytes().alias("text")).limit(sample_rows).collect()]
-    gain = {}
-    for rule in rules:
-        began = time.perf_counter()
-        hits = sum(rule.rejects(Measures(bytes(t))) for t in texts)
-        spent = time.perf_counter() - began
-        gain[rule.name] = (hits / max(spent, 1e-9), -spent)
-    return sorted(rules, key=lambda r: gain[r.name], reverse=True)
+
+    def tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits, spent = [], []
+            for text in batch.column(0).to_pylist():
+                times, found = [], []
+                for rule in rules:
+                    began = time.perf_counter()
+                    found.append(bool(rule.rejects(Measures(text))))
+                    times.append(time.perf_counter() - began)
+                hits.append(found)
+                spent.append(times)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hits, pa.list_(pa.bool_())), pa.array(spent, pa.list_(pa.float64()))], ["rejected", "seconds"]
+            )
+
+    sample = spread_rows(docs, sample_rows).select(text_bytes().alias("text"))
+    rows = sample.mapInArrow(tried, "rejected array<boolean>, seconds array<double>").collect()
+    shape = (len(rows), len(rules))
+    rejected = np.array([r["rejected"] for r in rows], dtype=bool).reshape(shape)
+    return greedy_order(rules, rejected, np.array([r["seconds"] for r in rows], dtype=float).reshape(shape))
 
 
 def cascade(docs: DataFrame, rules: Sequence[Rule] = STANDARD, counts: Sequence[str] = (), sample_rows: int = SAMPLE_ROWS) -> DataFrame:
