@@ -2,16 +2,24 @@
 
 Every response gives one ``metadata`` and one ``conversion`` record. Both refer to the response by its
 identifier and keep its target, headers and payload digest. ``write_warc`` and ``read_warc`` are the
-archive files themselves, written and read by Spark's text source with the record separators as line ends.
+archive files themselves: written by Spark's text source with the end of a record as line end, read in the pieces between
+version lines, which are put together by the records' lengths. A table of pages has no dates; an archive's date is the writer's argument.
 """
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import re
+from collections.abc import Iterator
 from html.entities import html5
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brisa.llm.common import bounded_batches
+
 VERSION = "WARC/1.1"
 
 # How HTML becomes plain text, in this order. Comments, scripts and styles without an end reach to the end of
@@ -252,34 +260,154 @@ def write_warc(records: DataFrame, path: str, date: str, compression: str = "gzi
     )
 
 
+# What every version line begins with, of any version; blocks may hold it too.
+MARK = b"WARC/"
+_START = re.compile(rb"[0-9]+\.[0-9]+[ \t]*\r?\n")
+_HEAD_END = re.compile(rb"\r?\n\r?\n")
+FIELDS = {
+    "record_type": "warc-type", "record_id": "warc-record-id", "refers_to": "warc-refers-to", "target_uri": "warc-target-uri",
+    "date": "warc-date", "content_type": "content-type", "block_digest": "warc-block-digest",
+    "source_payload_digest": "source-payload-digest", "source_headers": "source-headers",
+}
+_READ = pa.schema([
+    ("version", pa.string()), *[(name, pa.string()) for name in FIELDS], ("content_length", pa.int64()), ("block", pa.binary()),
+    ("complete", pa.bool_()),
+])
+
+
+class _Record:
+    """A record that is put together from pieces: its head up to the first blank line, then a block of the length that the head tells."""
+
+    def __init__(self, piece: bytes):
+        self.parts, self.size = [piece], len(piece)
+        self.body = self.length = None  # where the block begins, and how long it is
+        self.fields: dict[str, str] = {}
+        self._look(piece)
+
+    def _look(self, data: bytes) -> None:
+        end = _HEAD_END.search(data)
+        if not end:
+            return
+        self.body = end.end()
+        self.version, *lines = re.split(r"\r?\n", data[: end.start()].decode("utf-8", "replace"))
+        name = None
+        for line in lines:
+            if line[:1] in (" ", "\t") and name:  # a folded line goes on with the field before
+                self.fields[name] += " " + line.strip()
+            else:
+                name, _, value = line.partition(":")
+                name = name.strip().lower()
+                self.fields.setdefault(name, value.strip())
+        told = self.fields.get("content-length", "")
+        self.length = int(told) if told.isascii() and told.isdigit() else None
+
+    def wants_more(self) -> bool:
+        return self.body is None or (self.length is not None and self.size - self.body < self.length)
+
+    def add(self, piece: bytes) -> None:
+        self.parts += [MARK, piece]
+        self.size += len(MARK) + len(piece)
+        if self.body is None:
+            self.parts = [b"".join(self.parts)]
+            self._look(self.parts[0])
+
+    def row(self) -> dict:
+        data = b"".join(self.parts)
+        if self.body is None:  # no blank line: nothing is known of it but its bytes
+            return {"version": None, "content_length": None, "block": data, "complete": False} | dict.fromkeys(FIELDS)
+        end = len(data) if self.length is None else self.body + self.length
+        block, rest = data[self.body : end], data[end:]
+        found = {name: self.fields.get(field) or None for name, field in FIELDS.items()}
+        if found["source_headers"]:
+            found["source_headers"] = found["source_headers"].replace(" | ", HEADER_LINE)
+        whole = self.length == len(block) and not rest.strip(b"\r\n") and _agrees(block, found["block_digest"])
+        return {"version": self.version.strip(), "content_length": self.length, "block": block, "complete": whole} | found
+
+
+def _agrees(block: bytes, told: str | None) -> bool:
+    """Whether a block has the digest that its head tells, in base 16 or 32; one of an unknown kind is not looked at."""
+    kind, _, value = (told or "").partition(":")
+    if kind.lower().replace("-", "") not in ("md5", "sha1", "sha256", "sha512"):
+        return True
+    found = hashlib.new(kind.lower().replace("-", ""), block)
+    return value.lower() in (found.hexdigest(), base64.b32encode(found.digest()).decode().lower().rstrip("="), base64.b32encode(found.digest()).decode().lower())
+
+
+def _records(pieces: Iterator[tuple[str, bytes]]) -> Iterator[dict]:
+    """Records of the pieces between marks, in the order of each file; every byte other than line ends between records is in some record."""
+    file, record = None, None
+    for name, piece in pieces:
+        if name != file:
+            if record:
+                yield record.row()
+            file, record = name, None
+            # what precedes the first mark
+            if piece.strip(b"\r\n"):
+                yield _Record(piece).row() | {"complete": False}
+            continue
+        if record and (record.wants_more() or not _START.match(piece)):
+            record.add(piece)
+            continue
+        if record:
+            yield record.row()
+        record = _Record(piece)
+    if record:
+        yield record.row()
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces() -> Iterator[tuple[str, bytes]]:
+        for batch in batches:
+            yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
+
+    held, size = [], 0
+    for row in _records(pieces()):
+        held.append(row)
+        size += len(row["block"])
+        if size > READ_BYTES or len(held) == READ_ROWS:
+            yield pa.RecordBatch.from_pylist(held, schema=_READ)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=_READ)
+
+
+READ_ROWS, READ_BYTES = 2000, 16 * 1024 * 1024
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of whole plain files."""
+    def pieces() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                at = 0
+                while at <= len(data):
+                    end = data.find(MARK, at)
+                    end = len(data) if end < 0 else end
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([data[at:end]], pa.binary())], ["file", "piece"])
+                    at = end + len(MARK)
+
+    return _read(pieces())
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of such files: their header fields and block.
+    """Records of archive files below ``path``, of any version: version, header fields, content_length, block, complete.
 
-    Records are told apart by the version line. A block that holds this very line would be cut; its length
-    then differs from its header, and ``complete`` is false.
+    A file is read in pieces that end where a version line may begin. A record takes as many pieces as its Content-Length asks for, so a
+    block may hold version lines and whole records. ``complete`` is false for a record that is cut, has no length or no blank line
+    after its head, has bytes beyond its length, or has not the digest that it tells; what there is of it is returned. Bytes before the
+    first record of a file are such a row too. Header names ignore case, folded lines are joined, lines may end with or without a carriage
+    return. No file and an empty file give no row; a file that is there twice gives its records twice.
+
+    Compressed files (``.gz``) are streamed, one task each, and a task holds one record at a time beside a batch; these may be of any
+    size. A plain file is one value of at most two gigabytes (Spark fails beyond that): compress larger ones.
     """
-    raw = spark.read.option("lineSep", VERSION + HEADER_LINE).text(path).where("value <> ''")
-    cut = F.instr("value", HEADER_LINE * 2)
-    head = F.expr(f"substring(value, 1, instr(value, '{HEADER_LINE * 2}') - 1)")
-    size = F.regexp_extract(head, r"(?m)^Content-Length: (\d+)", 1).cast("long")
-    body = F.expr(f"substring(value, instr(value, '{HEADER_LINE * 2}') + 4)")
+    bounded_batches(spark)
+    schema = ", ".join(f"`{f.name}` {_SPARK_TYPES[f.type]}" for f in _READ)
+    packed = spark.read.option("lineSep", MARK.decode()).option("pathGlobFilter", "*.gz").text(path)
+    packed = packed.select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("piece"))
+    plain = spark.read.format("binaryFile").option("pathGlobFilter", "*[^z]").load(path).select("path", "content")
+    found = packed.mapInArrow(_read, schema).unionAll(plain.mapInArrow(_split, schema))
+    return found.withColumn("block", F.col("block").cast("string"))
 
-    def field(name: str) -> Column:
-        return F.nullif(F.regexp_extract(head, rf"(?m)^{name}: ([^\r]*)", 1), F.lit(""))
 
-    block = F.expr("CAST(substring(CAST(body AS BINARY), 1, content_length) AS STRING)")
-    return (
-        raw.where(cut > 0)
-        .select(
-            field("WARC-Type").alias("record_type"), field("WARC-Record-ID").alias("record_id"),
-            field("WARC-Refers-To").alias("refers_to"), field("WARC-Target-URI").alias("target_uri"),
-            field("WARC-Date").alias("date"), field("Content-Type").alias("content_type"),
-            field("WARC-Block-Digest").alias("block_digest"),
-            field("Source-Payload-Digest").alias("source_payload_digest"),
-            F.replace(field("Source-Headers"), F.lit(" | "), F.lit(HEADER_LINE)).alias("source_headers"),
-            size.alias("content_length"), body.alias("body"),
-        )
-        .withColumn("block", block)
-        .withColumn("complete", (F.octet_length("block") == F.col("content_length")) & (digest(F.col("block")) == F.col("block_digest")))
-        .drop("body")
-    )
+_SPARK_TYPES = {pa.string(): "string", pa.int64(): "long", pa.binary(): "binary", pa.bool_(): "boolean"}

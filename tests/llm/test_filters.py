@@ -184,6 +184,24 @@ def test_verdict_does_not_depend_on_the_order(spark):
     assert a == b and 0 < sum(a.values()) < len(a)
 
 
+def test_rules_are_ordered_by_what_is_left(spark, tmp_path):
+    rules = [quality.Rule(c, None) for c in "abc"]
+    # b rejects most, a only what b rejects too, c little but of the rest
+    rejected = np.array([[1, 1, 0], [1, 1, 0], [0, 1, 0], [0, 0, 1], [0, 0, 0]], dtype=bool)
+    order = quality.greedy_order(rules, rejected, np.ones((5, 3)))
+    assert [r.name for r in order] == ["b", "c", "a"]
+    dear = np.array([[1, 100, 1]] * 5, dtype=float)
+    assert [r.name for r in quality.greedy_order(rules, rejected, dear)] == ["a", "c", "b"]
+    assert [r.name for r in quality.greedy_order(rules, rejected[:0], dear[:0])] == ["a", "b", "c"]
+    path = str(tmp_path / "docs")
+    spark.range(4000).selectExpr("id AS doc_id", "CAST(id AS STRING) AS text").repartitionByRange(40, "doc_id").write.parquet(path)
+    docs = spark.read.parquet(path)
+    ids = [r.doc_id for r in quality.spread_rows(docs, 50).collect()]
+    assert len(ids) == 50 and max(ids) - min(ids) > 2500
+    assert quality.spread_rows(docs.groupBy("text").count(), 50).count() == 50
+    assert quality.spread_rows(docs.withColumn("_metadata", docs.doc_id), 7).count() == 7
+
+
 def test_quality_counts(make, odd):
     m = quality.Measures("a b c d e a b c d e\nx #\n x #\nx #\n\n".encode())
     assert (m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat_words) == (16, 16, 3, 1, 10)
@@ -227,6 +245,41 @@ def test_archive_round_trip(spark, tmp_path):
     assert Counter(map(key, back)) == Counter(map(key, made.collect()))
 
 
+def test_archives_are_read_by_length(spark, tmp_path):
+    """Blocks that hold records, other versions and line ends, cut and headless records; compressed and plain."""
+    import base64
+    import gzip
+    import hashlib
+
+    def record(block, version="1.1", eol="\r\n", length=None, extra=()):
+        head = [f"WARC/{version}", "WARC-Type: resource", *extra, f"content-LENGTH: {len(block) if length is None else length}"]
+        return eol.join(head).encode() + (eol * 2).encode() + block + (eol * 2).encode()
+
+    inner = record(b"inside") + b"x WARC/1.1\r\nWARC/1.0\r\n" + b"\xff\x00 WARC/"
+    right = hashlib.sha1(inner).digest()
+
+    want = [
+        ("1.1", inner, True), ("1.0", b"old", True), ("0.18", b"\n\nlf\n", True), ("1.1", b"", True),
+        ("1.1", inner, True), ("1.1", inner, False), ("1.1", b"abc", False), ("1.1", b"q" * 300_000, True),
+    ]
+    data = [
+        record(inner), record(b"old", "1.0"), record(b"\n\nlf\n", "0.18", "\n"), record(b""),
+        record(inner, extra=["WARC-Block-Digest: sha1:" + base64.b32encode(right).decode(), "software: reads WARC/1.1 and", "  more"]),
+        record(inner, extra=["WARC-Block-Digest: sha256:00"]), record(b"abcdef", length=3), record(b"q" * 300_000),
+    ]
+    cut = record(b"never whole", length=500)
+    for name, pack in (("a.warc.gz", gzip.compress), ("b.warc", bytes)):
+        (tmp_path / name).write_bytes(pack(b"".join(data)))
+    # every record a stream of its own, as archives are packed, and the last one cut
+    (tmp_path / "c.warc.gz").write_bytes(b"".join(map(gzip.compress, [b"junk\r\n", data[1], data[3], cut])))
+    (tmp_path / "d.warc").write_bytes(b"")
+    rows = warc.read_warc(spark, str(tmp_path)).selectExpr("version", "CAST(block AS BINARY) block", "complete", "record_type").collect()
+    got = Counter((r.version, bytes(r.block), r.complete) for r in rows)
+    want += want + [want[1], want[3], ("1.1", b"never whole\r\n\r\n", False), (None, b"junk\r\n", False)]
+    assert got == Counter(want)
+    assert {r.record_type for r in rows} == {"resource", None}
+
+
 PAGES = [
     ('<script>document.write("<style>x</style>"); var token=1;</script>seen', "seen"),
     ("<p>a 3 < 5 and 7 > 2</p>", "a 3 < 5 and 7 > 2"),
