@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,11 +19,29 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# What one task takes, in bytes; a smaller setting of the cluster stays. Adaptive execution merges shuffle partitions into as few
+# as there are cores until each has the advisory size. These are compressed bytes: the default of 64 MB of key pairs makes a hash
+# table of some 3 GB once texts are joined to them. The tables are narrow selections of wide files, so a split of a file
+# holds many more rows than its size tells.
+AT_MOST = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 8 << 20,
+    "spark.sql.files.maxPartitionBytes": 32 << 20,
+}
+
+
+def _bytes(setting: str) -> int:
+    """Bytes of a size as Spark writes it: a number, then perhaps a unit such as k, m or gb."""
+    number, unit = re.fullmatch(r"(\d+)\s*([bkmgtp]?)b?", setting.strip().lower()).groups()
+    return int(number) << 10 * "bkmgtp".index(unit or "b")
+
 
 def prepare(spark: SparkSession) -> None:
-    """Adaptive execution on. How many partitions a shuffle starts with is the cluster's setting."""
+    """Adaptive execution on, tasks of bounded input. How many partitions a shuffle starts with is the cluster's setting."""
     for name, value in ADAPTIVE.items():
         spark.conf.set(name, value)
+    for name, most in AT_MOST.items():
+        if _bytes(spark.conf.get(name)) > most:
+            spark.conf.set(name, str(most))
 
 
 _own_folders: dict[str, str] = {}

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from brisa.session import ADAPTIVE, as_written_table, prepare, shared_folder
+from brisa.session import ADAPTIVE, AT_MOST, as_written_table, prepare, shared_folder
 
 
 class Conf(dict):
@@ -40,6 +40,19 @@ def test_prepare_leaves_the_partitions_to_the_cluster(spark):
     assert all(spark.conf.get(name) == value for name, value in ADAPTIVE.items())
 
 
+def test_prepare_bounds_what_one_task_takes(spark):
+    before = {name: spark.conf.get(name) for name in AT_MOST}
+    try:
+        for given, kept in (("64MB", None), ("67108864b", None), ("1g", None), ("16k", "16k"), ("4096", "4096")):
+            for name, most in AT_MOST.items():
+                spark.conf.set(name, given)
+                prepare(spark)
+                assert spark.conf.get(name) == (kept or str(most))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_written_table_keeps_rows_and_schema(spark):
     df = spark.range(10).selectExpr("id", "CAST(id AS DECIMAL(15,6)) AS value", "CAST(NULL AS STRING) AS t")
     written = as_written_table(df, "check")
