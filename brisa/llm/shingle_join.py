@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brisa.llm.common import as_derived_table, bounded_batches, text_bytes
@@ -98,17 +98,25 @@ def word_blocks(text: bytes) -> Iterator[list[bytes]]:
 
 def word_hashes(text: bytes) -> np.ndarray:
     """Hash of each word, in order."""
-    return identified(text)[0]
+    parts = [np.zeros(0, dtype=np.uint64)]
+    for words in word_blocks(text):
+        if words:
+            parts.append(np.frombuffer(b"".join(map(_hash_of.__getitem__, words)), dtype="<u8"))
+    return np.concatenate(parts) if len(parts) > 2 else parts[-1]
+
 
+def identity(text: bytes) -> bytes | None:
+    """The text's identity: 128 bits of a cryptographic digest of its words in order; None without words.
 
-def identified(text: bytes) -> tuple[np.ndarray, bytes]:
-    """Hash of each word, in order, and the text's identity: 128 bits of a cryptographic digest of its words in order."""
-    parts, whole = [np.zeros(0, dtype=np.uint64)], blake2b(digest_size=16)
+    No word is hashed for it by itself, so it is cheap against ``word_hashes``.
+    """
+    some, whole = False, blake2b(digest_size=16)
     for words in word_blocks(text):
         if words:
-            parts.append(np.frombuffer(b"".join(map(_hash_of.__getitem__, words)), dtype="<u8"))
-            whole.update(b" ".join(words) + b" ")
-    return np.concatenate(parts) if len(parts) > 2 else parts[-1], whole.digest()
+            some = True
+            whole.update(b" ".join(words))
+            whole.update(b" ")
+    return whole.digest() if some else None
 
 
 def shingles(w: np.ndarray) -> np.ndarray:
@@ -134,6 +142,15 @@ def short(node: bytes) -> int:
     return int.from_bytes(node[:6], "little") >> 1
 
 
+def halves(node: bytes) -> tuple[int, int]:
+    return int.from_bytes(node[:8], "big", signed=True), int.from_bytes(node[8:], "big", signed=True)
+
+
+def node_of(high: str, low: str) -> Column:
+    """The node with these halves."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in (high, low)]))
+
+
 # --- bands and segments ---------------------------------------------------------
 
 
@@ -294,26 +311,21 @@ def pairs_of(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np
 
 
 def sets(docs: DataFrame) -> DataFrame:
-    """doc_id, node (null for a text without words), n_shingles of every row."""
+    """doc_id, node (null for a text without words) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, n = [], []
-            for text in batch.column(1):
-                w, node = identified(text.as_py())
-                nodes.append(node if len(w) else None)
-                n.append(len(shingles(w)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(nodes, pa.binary()), pa.array(n, pa.int64())], ["doc_id", "node", "n_shingles"]
-            )
+            nodes = [identity(text.as_py()) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary())], ["doc_id", "node"])
 
-    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(run, f"doc_id {kind}, node binary, n_shingles long")
+    return docs.select("doc_id", text_bytes().alias("text")).mapInArrow(run, f"doc_id {kind}, node binary")
 
 
 def signatures(docs: DataFrame, buckets: int) -> DataFrame:
-    """Packed signatures of all bands of all sets. Buckets below 0 hold facts about sets, four numbers for each:
-    id, size, segments in its own band that are not empty, and how many of its segments it can leave out in any band."""
+    """Packed signatures of all bands of all sets. Buckets below 0 hold facts about sets, six numbers for each:
+    id, size, segments in its own band that are not empty, how many of its segments it can leave out in any band, and the
+    two halves of its node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, seen, facts = Packer(buckets), set(), []
@@ -331,18 +343,19 @@ def signatures(docs: DataFrame, buckets: int) -> DataFrame:
 
         for batch in batches:
             for text in batch.column(0):
-                w, node = identified(text.as_py())
-                if not len(w) or node in seen:
+                data = text.as_py()
+                node = identity(data)
+                if node is None or node in seen:
                     continue
                 seen.add(node)
-                me, h = short(node), shingles(w)
+                me, h = short(node), shingles(word_hashes(data))
                 terms = terms_of(h)
                 spare = []
                 for first in bands_of(len(h)):
                     k, _, sums = segments(h, terms, first)
                     packer.add(signature(k, sums, first), id_bytes(me))
                     spare.append(len(k) - most_apart(len(h), first) - 1)
-                facts.append((me, len(h), len(k), min(spare)))  # the own band is the last one
+                facts.append((me, len(h), len(k), min(spare), *halves(node)))  # the own band is the last one
                 if packer.n > HELD_ENTRIES:
                     yield from flush()
         yield from flush()
@@ -351,17 +364,17 @@ def signatures(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 PAIR, OPEN, FACT = 0, 1, 2
-CANDIDATES = "kind int, a long, b long, n long, spare long"
+CANDIDATES = "kind int, a long, b long, n long, spare long, high long, low long"
 
 
 def candidates(entries: DataFrame) -> DataFrame:
-    """kind, a, b, n, spare: a PAIR of two sets and the signatures they share in this bucket; OPEN for each set b of a
-    frequent signature a; FACT for a set a, its size b, its segments n and the segments it can spare."""
+    """kind, a, b, n, spare, high, low: a PAIR of two sets and the signatures they share in this bucket; OPEN for each set b of a
+    frequent signature a; FACT for a set a, its size b, its segments n, the segments it can spare and its node's halves."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         if rows["bucket"].iloc[0] < 0:
-            facts = np.frombuffer(b"".join(rows["ids"]), dtype="<i8").reshape(-1, 4)
-            return pd.DataFrame({"kind": np.int32(FACT), "a": facts[:, 0], "b": facts[:, 1], "n": facts[:, 2], "spare": facts[:, 3]})
+            facts = np.frombuffer(b"".join(rows["ids"]), dtype="<i8").reshape(-1, 6)
+            return pd.DataFrame({"kind": np.int32(FACT), **{c: facts[:, i] for i, c in enumerate(("a", "b", "n", "spare", "high", "low"))}})
         sig, ids, starts = grouped(rows)
         sizes = np.diff(np.r_[starts, len(sig)])
         small = sizes <= SMALL_GROUP
@@ -374,7 +387,7 @@ def candidates(entries: DataFrame) -> DataFrame:
         return pd.DataFrame({
             "kind": np.repeat(np.array([PAIR, OPEN], dtype=np.int32), [len(pair), len(big_ids)]),
             "a": np.concatenate([pair[:, 0], named]), "b": np.concatenate([pair[:, 1], big_ids.astype(np.int64)]),
-            "n": np.concatenate([n, np.ones(len(big_ids), dtype=np.int64)]), "spare": np.int64(0),
+            "n": np.concatenate([n, np.ones(len(big_ids), dtype=np.int64)]), "spare": np.int64(0), "high": np.int64(0), "low": np.int64(0),
         })
 
     return entries.groupBy("bucket").applyInPandas(run, CANDIDATES)
@@ -389,8 +402,8 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
             found: dict[bytes, bytes] = {}
             for text in batch.column(0):
                 data = text.as_py()
-                w, node = identified(data)
-                if len(w) and node not in seen:
+                node = identity(data)
+                if node is not None and node not in seen:
                     seen.add(node)
                     found[node] = squeeze.compress(data)
             if len(seen) > HELD_ENTRIES:
@@ -672,6 +685,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     found = as_derived_table(candidates(signatures(docs, buckets)), "candidates")
     opened = found.where(F.col("kind") == OPEN).select(F.col("a").alias("signature"), F.col("b").alias("id"))
     facts = as_derived_table(_facts(found, opened), "facts")
+    counts = found.where(F.col("kind") == FACT).groupBy(node_of("high", "low").alias("node")).agg(F.min("b").alias("n_shingles"))
     pairs = found.where(F.col("kind") == PAIR).select("a", "b", "n").union(_centred(opened, facts))
     pairs = as_derived_table(_possible(pairs.groupBy("a", "b").agg(F.sum("n").alias("n")), facts), "pairs")
     unsure = facts.where("heavy > spare").select("id")
@@ -710,7 +724,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not last.isEmpty():
         links = as_derived_table(links.union(_numbered(verify(last, texts), numbers)), "links")
         roots = as_derived_table(_roots(links, numbers), "roots")
-    return _labelled(rows, roots, numbers)
+    return _labelled(rows, roots, counts)
 
 
 def _facts(found: DataFrame, opened: DataFrame) -> DataFrame:
@@ -771,12 +785,14 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where("ra <> rb").select("a", "b").distinct()
 
 
-def _labelled(rows: DataFrame, roots: DataFrame, numbers: DataFrame) -> DataFrame:
-    """Smallest document of each component, first per text, then per component."""
+def _labelled(rows: DataFrame, roots: DataFrame, counts: DataFrame) -> DataFrame:
+    """Smallest document of each component, first per text, then per component; a text's shingles were counted with its signatures."""
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
-    placed = as_derived_table(nodes.join(roots.select("node", "root"), "node", "left"), "nodes")
+    placed = nodes.join(counts, "node", "left").join(roots.select("node", "root"), "node", "left")
+    placed = as_derived_table(placed, "nodes")
     least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("component"))
-    label = placed.join(least, "root", "left").select("node", F.coalesce("component", "least").alias("component_id"))
+    label = placed.join(least, "root", "left").select("node", "n_shingles", F.coalesce("component", "least").alias("component_id"))
     return rows.join(label, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+        "doc_id", F.coalesce("n_shingles", F.lit(0).cast("long")).alias("n_shingles"),
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )

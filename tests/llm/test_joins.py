@@ -111,6 +111,18 @@ def test_pairs_are_compared_by_words():
             assert shingle_join.similar(a, b) == (100 * len(p & q) >= 80 * len(p | q))
 
 
+def test_identity_of_a_text_hashes_no_word(spark):
+    """Three passes read every text; only one of them needs its words one by one."""
+    shingle_join._hash_of.clear()
+    node = shingle_join.identity(b"One two\n three ")
+    assert node == shingle_join.identity(b" one  TWO three") != shingle_join.identity(b"one twothree")
+    assert shingle_join.identity(b" \n") is None and shingle_join.identity(b"") is None
+    assert not shingle_join._hash_of
+    nodes = [node, bytes(16), bytes(15) + b"\x01", b"\xff" * 16, b"\x00\x80" * 8]
+    rows = spark.createDataFrame([shingle_join.halves(n) for n in nodes], "high long, low long")
+    assert [bytes(r[0]) for r in rows.select(shingle_join.node_of("high", "low")).collect()] == nodes
+
+
 def test_text_of_more_than_one_block(make):
     words = [f"w{i}" for i in range(330_000)]  # 2.2 MB
     rows = [(1, " ".join(words), "en", "a"), (2, " ".join(words[:300_000]), "en", "a"), (3, " ".join(words[:100_000]), "en", "a")]
