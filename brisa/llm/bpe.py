@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from brisa.llm.common import bounded_batches, text_or_empty
 from brisa.llm.perfect_hash import PerfectHash, keys_of
 
-# Pre-tokens that a worker remembers; all are forgotten when there are more.
-REMEMBERED = 600_000
+# Pre-tokens that a worker remembers, some 20 MB; all are forgotten when there would be more. A worker outlives its stage, and with it this.
+REMEMBERED = 150_000
 # Characters of text that are cut into pre-tokens at once.
 BLOCK_CHARS = 500_000
 BLOCK_TOKENS = 100_000
@@ -110,8 +110,6 @@ class Encoder:
             yield block
 
     def learn(self, new: list[str]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         raw = [p.encode() for p in new]
         for piece, data, whole in zip(new, raw, self.vocabulary.whole(raw), strict=True):
             ids = [whole] if whole is not None else self.vocabulary.merge(data)
@@ -141,7 +139,8 @@ class Encoder:
 
     def resolve(self, pieces: set[str]) -> None:
         if new := pieces.difference(self.known):
-            if len(self.known) > REMEMBERED:
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known.clear()
                 new = pieces
             self.learn(list(new))
 

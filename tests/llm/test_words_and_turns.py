@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from brisa.llm import chat_format, collocations, spelling
+from brisa.llm import bpe, chat_format, collocations, spelling
 
 UPPER = str.maketrans(spelling.UPPER, spelling.LOWER)
 
@@ -220,3 +220,15 @@ def test_what_is_no_template_and_no_turn(spark):
     for wrong in ("x", "<s>", "<s>a</s>x", "<s>a[/INST]", "[ROLE]a[TURN]b[/TURN]"):
         with pytest.raises(ValueError):
             list(reader.turns(wrong))
+
+
+def test_an_encoder_remembers_no_more_than_it_may(monkeypatch):
+    """What is remembered is bounded before a block is learned, unless the block alone has more."""
+    monkeypatch.setattr(bpe, "REMEMBERED", 10)
+    encoder = bpe.Encoder(bpe.Vocabulary({bytes([i]): i for i in range(256)}), r"\S+|\s+")
+    for start in range(0, 40, 4):
+        text = " ".join(f"w{start + i}" for i in range(8))
+        assert encoder.decode(encoder.encode([text])[0]) == text.encode()
+        assert len(encoder.known) <= 10
+    long = " ".join(f"w{i}" for i in range(30))
+    assert encoder.decode(encoder.encode([long])[0]) == long.encode() and len(encoder.known) == 31
