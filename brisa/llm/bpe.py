@@ -2,8 +2,9 @@
 
 A text is cut into pre-tokens by the tokenizer's pattern. The distinct ones of a block of texts are resolved
 together, in two tiers: a minimal perfect hash over the vocabulary finds those that are a token as they
-stand (the token's bytes at that index are compared, so no hash decides); the others are merged with a heap of
-neighbouring pairs over a linked list of their bytes, which takes n log n steps for n bytes.
+stand (the token's bytes at that index are compared, so no hash decides); the others are merged. A short one, as words are, has
+the ranks of its neighbouring pairs in a list, whose least is looked up after each step; a longer one has them in a heap over a
+linked list of its bytes, which takes n log n steps for n bytes.
 
 The vocabulary is a fixed file, so that its tables have a fixed size; they are broadcast once.
 """
@@ -14,7 +15,8 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, pairwise
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from brisa.llm.common import bounded_batches, text_or_empty
 from brisa.llm.perfect_hash import PerfectHash, keys_of
 
-# Pre-tokens that a worker remembers, some 20 MB; all are forgotten when there would be more. A worker outlives its stage, and with it this.
+# Pre-tokens that a worker remembers, some 25 MB; when there would be more, those not met for the longest are forgotten. A worker outlives its
+# stage, and with it this.
 REMEMBERED = 150_000
+# Bytes of a piece from which the heap is faster than a look at all its pairs.
+HEAP_BYTES = 48
 # Characters of text that are cut into pre-tokens at once.
 BLOCK_CHARS = 500_000
 BLOCK_TOKENS = 100_000
@@ -51,6 +56,7 @@ class Vocabulary:
         for p, t in zip(place, tokens, strict=True):
             self.token_at[p], self.id_at[p] = t, ranks[t]
         self.token_of = {i: t for t, i in ranks.items()}
+        self.no_rank = max(self.token_of) + 1  # above all ranks
 
     def whole(self, pieces: list[bytes]) -> list[int | None]:
         """Ids of the pieces that are tokens, None for the others."""
@@ -62,6 +68,23 @@ class Vocabulary:
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of one piece: of all neighbours the pair of lowest rank, leftmost first, becomes one, until none is left."""
+        return self.merge_short(piece) if len(piece) < HEAP_BYTES else self.merge_long(piece)
+
+    def merge_short(self, piece: bytes) -> list[int]:
+        ranks, n = self.ranks, len(piece)
+        get, none = ranks.get, self.no_rank
+        starts = list(range(n + 1))  # of the parts, and the end
+        rank = [get(piece[i : i + 2], none) for i in range(n - 1)]  # of each part with the next
+        while rank and (r := min(rank)) != none:
+            i = rank.index(r)
+            del starts[i + 1], rank[i]
+            if i < len(rank):
+                rank[i] = get(piece[starts[i] : starts[i + 2]], none)
+            if i:
+                rank[i - 1] = get(piece[starts[i - 1] : starts[i + 1]], none)
+        return [ranks[piece[i:j]] for i, j in pairwise(starts)]
+
+    def merge_long(self, piece: bytes) -> list[int]:
         get, n = self.ranks.get, len(piece)
         part: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -100,6 +123,7 @@ class Encoder:
         self.vocabulary = vocabulary
         self.pattern = regex.compile(pattern)
         self.known: dict[str, bytes] = {}  # packed ids of a pre-token
+        self.older: dict[str, bytes] = {}  # those not met since ``known`` was begun
 
     def pieces(self, text: str) -> Iterator[list[str]]:
         if len(text) <= BLOCK_CHARS:
@@ -113,7 +137,7 @@ class Encoder:
         raw = [p.encode() for p in new]
         for piece, data, whole in zip(new, raw, self.vocabulary.whole(raw), strict=True):
             ids = [whole] if whole is not None else self.vocabulary.merge(data)
-            self.known[piece] = np.array(ids, dtype="<u4").tobytes()
+            self.known[piece] = pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text. Short texts share a block, so that their new pre-tokens are resolved together."""
@@ -138,11 +162,16 @@ class Encoder:
         return out
 
     def resolve(self, pieces: set[str]) -> None:
+        """Has all the pieces known. Each half of what is remembered holds what was met since the other was begun."""
         if new := pieces.difference(self.known):
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
+            if len(self.known) + len(new) > REMEMBERED // 2:
+                self.older, self.known = self.known, {}
                 new = pieces
-            self.learn(list(new))
+            if len(self.older) + len(self.known) + len(new) > REMEMBERED:  # a block alone has more than half
+                self.older = {}
+            met = {p: ids for p in new if (ids := self.older.pop(p, None)) is not None}
+            self.known.update(met)
+            self.learn(list(new.difference(met)))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.token_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))

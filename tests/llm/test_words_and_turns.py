@@ -232,3 +232,35 @@ def test_an_encoder_remembers_no_more_than_it_may(monkeypatch):
         assert len(encoder.known) <= 10
     long = " ".join(f"w{i}" for i in range(30))
     assert encoder.decode(encoder.encode([long])[0]) == long.encode() and len(encoder.known) == 31
+
+
+def test_a_piece_that_comes_again_and_again_is_learned_once(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    encoder = bpe.Encoder(bpe.Vocabulary({bytes([i]): i for i in range(256)}), r"\S+|\s+")
+    learned = []
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda new: (learned.extend(new), learn(new)))
+    for start in range(0, 60, 4):
+        text = " ".join(["often", *(f"w{start + i}" for i in range(4))])
+        assert encoder.decode(encoder.encode([text])[0]) == text.encode()
+        assert len(encoder.known) + len(encoder.older) <= 20
+    assert learned.count("often") == learned.count(" ") == 1 and len(learned) == 62
+
+
+def test_short_and_long_pieces_are_merged_by_rank():
+    """Both ways give what joining the pair of lowest rank, leftmost first, gives."""
+    tokens = [*(bytes([i]) for i in range(256)), b"aa", b"ba", b"ab", b"aab", b"abab", b"aaaa", b"bb", b"abb", b"baab"]
+    vocabulary = bpe.Vocabulary({t: i for i, t in enumerate(tokens)})
+
+    def plain(piece):
+        parts = [bytes([b]) for b in piece]
+        while pairs := [(vocabulary.ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in vocabulary.ranks]:
+            i = min(pairs)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return [vocabulary.ranks[p] for p in parts]
+
+    draw = random.Random(7)
+    for n in [*range(0, 12), 30, bpe.HEAP_BYTES - 1, bpe.HEAP_BYTES, 90]:
+        for _ in range(20):
+            piece = bytes(draw.choice(b"aab") for _ in range(n))
+            assert vocabulary.merge_short(piece) == vocabulary.merge_long(piece) == vocabulary.merge(piece) == plain(piece)
