@@ -2,8 +2,8 @@
 
 A key that is absent takes its default, a key that is present with null does not.
 Records of the small tables are VARIANTs, which tell the two apart. Measurement
-records stay JSON text: they are read in two parses, one for all values and
-one for the keys, and the text itself is kept as ``raw_data``.
+records stay JSON text: one parse reads all values, and a second one the keys of
+the records that lack a part. The text itself is kept as ``raw_data``.
 """
 
 from __future__ import annotations
@@ -137,25 +137,37 @@ def _cast(path: str, type_: str) -> Column:
     return text if type_ == "string" else text.try_cast(type_)
 
 
+# What is asked for its key where it is NULL.
+_ASKED = (
+    "period", "period.datetimeFrom", "period.datetimeTo", "parameter", "coverage", "coordinates", "flagInfo", _FLAG,
+)
+
+
+def _lacks_a_part() -> Column:
+    return reduce(Column.__or__, [_written(path).isNull() for path in _ASKED])
+
+
+def _keys() -> Column:
+    """Parts of the record as text. A second parse: read only where ``_lacks_a_part``."""
+    return F.from_json(RECORD, _KEYS)
+
+
 def _has_key(part: str, key: str) -> Column:
     """Is the key present in a part, be it with null? Read only where the value is NULL."""
-    return F.map_contains_key(F.from_json(F.col("_keys")[part], _KEYS), key)
+    return F.map_contains_key(F.from_json(_keys()[part], _KEYS), key)
 
 
 def parse_measurements(raw: DataFrame) -> DataFrame:
-    """Adds the views ``_written`` (values) and ``_keys`` (parts as text) of the record.
+    """Adds the view ``_written`` (values) of the record.
 
-    They come out of a generator of one row: a projection would be merged with the
+    It comes out of a generator of one row: a projection would be merged with the
     filters and columns that use it, and each use would read the record again.
     """
     if "_written" in raw.columns:
         return raw
     if raw.schema[RECORD].dataType.simpleString() == "variant":
         raw = raw.withColumn(RECORD, F.to_json(RECORD))
-    views = F.struct(
-        F.from_json(RECORD, _WRITTEN).alias("_written"), F.from_json(RECORD, _KEYS).alias("_keys")
-    )
-    return raw.select("*", F.inline(F.array(views)))
+    return raw.select("*", F.inline(F.array(F.struct(F.from_json(RECORD, _WRITTEN).alias("_written")))))
 
 
 def flatten_measurements(raw: DataFrame) -> DataFrame:
@@ -274,16 +286,16 @@ def measurement_reject_reason(rows: DataFrame) -> Column:
     A part that is present must be an object, even if it is null; only no position at
     all is fine. A sensor must be named, and every value must fit its column.
     """
-    rules = [(F.col("_keys").isNull(), "record is not an object")]
+    rules = [(_lacks_a_part() & _keys().isNull(), "record is not an object")]
     rules += [
-        (_written(part).isNull() & F.map_contains_key("_keys", part), f"{part} is not an object")
+        (_written(part).isNull() & F.map_contains_key(_keys(), part), f"{part} is not an object")
         for part in ("period", "parameter", "coverage", "flagInfo")
     ]
     rules += [
         (_written(f"period.{end}").isNull() & _has_key("period", end), f"period.{end} is not an object")
         for end in ("datetimeFrom", "datetimeTo")
     ]
-    position = F.col("_keys")["coordinates"]
+    position = _keys()["coordinates"]
     nothing = position.isin("false", "0", "", "[]")
     rules.append((_written("coordinates").isNull() & ~nothing, "coordinates is not an object"))
     rules.append((F.col("sensor_id").isNull(), "sensor_id is missing"))

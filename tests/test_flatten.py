@@ -185,3 +185,17 @@ def test_csv_with_blanks_after_commas(spark, tmp_path):
     assert sorted((r.product_id, str(r.delivery_dt)) for r in rows) == [
         (10001, "2021-12-30"), (10005, "2022-01-01"),
     ]
+
+
+def test_only_records_that_lack_a_part_are_parsed_twice(spark):
+    """One parse per record comes before the rules; each other stands behind a test for a missing part."""
+    whole = "{" + GOOD + ',"coverage":{},"coordinates":{},"flagInfo":{"hasFlags":true}}'
+    texts = [whole, whole[:-1], whole[:-1] + ',"coverage":null}', whole.replace('{"hasFlags":true}', "7"), "{}", "[1]", "", whole + " x"]
+    parsed = flatten.parse_measurements(records(spark, *texts))
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    no_object = "record is not an object"
+    expected = [None, no_object, "coverage is not an object", "flagInfo is not an object", None, no_object, no_object, None]
+    assert reasons(spark, *texts) == expected
+    for given in (parsed, records(spark, *texts)):
+        flags = [r.has_flags for r in flatten.flatten_measurements(given).collect()]
+        assert flags == [True, False, True, False, False, False, False, True]
