@@ -24,7 +24,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from brisa.llm.common import bounded_batches, text_or_empty
+from brisa.llm.common import bounded_batches, released, text_or_empty
 from brisa.llm.perfect_hash import PerfectHash, keys_of
 
 # Pre-tokens that a worker remembers, some 25 MB; when there would be more, those not met for the longest are forgotten. A worker outlives its
@@ -201,7 +201,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(shared, pattern)
-        for batch in batches:
+        for batch in released(batches):
             ids = e.encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
@@ -220,7 +220,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(shared, pattern)
-        for batch in batches:
+        for batch in released(batches):
             data = [e.decode(x or b"") for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], ["doc_id", "data"])
 
@@ -236,7 +236,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e = encoder(shared, pattern)
-        for batch in batches:
+        for batch in released(batches):
             n, ids_sha, data_sha = [], [], []
             for ids in e.encode(batch.column(1).to_pylist()):
                 n.append(len(ids) // 4)

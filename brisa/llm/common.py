@@ -6,8 +6,13 @@ clash with its own. Rows cross into Python as Arrow batches of bounded size.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from typing import TypeVar
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from brisa.session import as_written_table
 
@@ -29,6 +34,32 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+Batch = TypeVar("Batch")
+
+
+def released(batches: Iterable[Batch]) -> Iterator[Batch]:
+    """The batches, one by one; what Arrow took for those before goes back to the system.
+
+    Arrow keeps what it took, and a worker outlives its task: some 50 MB of each would be missing to its executor in all later stages.
+    """
+    for batch in batches:
+        yield batch
+        pa.default_memory_pool().release_unused()
+
+
+ARROW = {T.StringType: pa.string(), T.IntegerType: pa.int32(), T.LongType: pa.int64(), T.DoubleType: pa.float64()}
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows of the driver as a table of the plan itself.
+
+    As a list they would be read by Python workers of another kind than those of the batches, three processes more on each executor.
+    """
+    columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+    arrays = [pa.array(c, ARROW[type(f.dataType)]) for f, c in zip(schema, columns, strict=True)]
+    return spark.createDataFrame(pa.table(arrays, names=schema.names), schema)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brisa.llm.common import WORD, as_derived_table, text_or_empty
+from brisa.llm.common import WORD, as_derived_table, small_table, text_or_empty
 from brisa.session import as_written_table
 
 # Fixed values of the standard mix.
@@ -188,7 +188,7 @@ def mix(
         n = capacity[p]
         whole, part = divmod(flow[p], n) if n else (0, 0)
         plan.append((text, whole, part, rows_of[text], n))
-    rounds = spark.createDataFrame(plan, schema)
+    rounds = small_table(spark, plan, schema)
     joined = slim.join(rounds, "__label")
     chosen = _last_round(joined.where("__part > 0").select("__label", "__key", "__size", "__part", "__rows"))
     taken = chosen.select("__label", "__key", F.lit(1).alias("__extra"))
@@ -313,7 +313,7 @@ def standard_mix(docs: DataFrame, seed: int = SEED, carried: Sequence[str] = ())
 
     mixed = mix(rows, "members", "size", targets, MAX_REPEATS, seed, carried)
     schema = T.StructType([T.StructField("__source", T.StringType()), T.StructField("target", T.DoubleType())])
-    goal = docs.sparkSession.createDataFrame(list(kept.items()), schema)
+    goal = small_table(docs.sparkSession, list(kept.items()), schema)
     return mixed.join(goal, F.col("source").eqNullSafe(F.col("__source"))).select(
         *carried, "doc_id", "size", F.col("pattern_size").alias("source_size"), "target",
         (F.col("size") * F.col("repeats")).cast("long").alias("taken"), F.col("repeats").cast("int").alias("repeats"),

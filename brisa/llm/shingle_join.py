@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.common import as_derived_table, bounded_batches, text_bytes
+from brisa.llm.common import as_derived_table, bounded_batches, released, text_bytes
 from brisa.llm.components import components
 from brisa.llm.perfect_hash import mix
 from brisa.session import as_written_table
@@ -315,7 +315,7 @@ def sets(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             nodes = [identity(text.as_py()) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.binary())], ["doc_id", "node"])
 
@@ -341,7 +341,7 @@ def signatures(docs: DataFrame, buckets: int) -> DataFrame:
                     schema=Packer.schema,
                 )
 
-        for batch in batches:
+        for batch in released(batches):
             for text in batch.column(0):
                 data = text.as_py()
                 node = identity(data)
@@ -398,7 +398,7 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze, seen = zstandard.ZstdCompressor(level=3), set()
-        for batch in batches:
+        for batch in released(batches):
             found: dict[bytes, bytes] = {}
             for text in batch.column(0):
                 data = text.as_py()
@@ -483,7 +483,7 @@ def lone_shingles(texts: DataFrame, buckets: int) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, open_up = Packer(buckets), zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in released(batches):
             for me, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 packer.add(shingles(word_hashes(open_up.decompress(packed))), id_bytes(me))
                 if packer.n > HELD_ENTRIES:
@@ -561,7 +561,7 @@ def second_signatures(asked: DataFrame, buckets: int, tasks: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, open_up = RecordPacker(tasks), zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in released(batches):
             for me, packed, root, lone, opened in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 h = shingles(word_hashes(open_up.decompress(packed)))
                 common = len(h) - lone

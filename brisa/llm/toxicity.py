@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brisa.llm.common import bounded_batches, held_out, text_bytes
+from brisa.llm.common import bounded_batches, held_out, released, text_bytes
 
 # About so many labelled documents of either label are learned from, chosen by a hash of their id.
 TRAIN_DOCUMENTS = 1500
@@ -238,7 +238,7 @@ def choose_landmarks(texts: DataFrame, n: dict[int, int]) -> list[str]:
     Only units that are much more common in toxic documents than in others are chosen from.
     """
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 found = sorted({u for w in set(text.split()) if len(u := unit_of(w)) >= ORDER})
                 yield pa.RecordBatch.from_arrays([pa.array([toxic] * len(found), pa.int32()), pa.array(found, pa.string())], ["toxic", "unit"])
@@ -255,7 +255,7 @@ def choose_landmarks(texts: DataFrame, n: dict[int, int]) -> list[str]:
     place = {u: i for i, u in enumerate(pool)}
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in released(batches):
             rows = [sorted({place[u] for w in set(t.split()) if (u := unit_of(w)) in place}) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], ["units"])
 
@@ -287,7 +287,7 @@ def _sentences(texts: DataFrame, landmarks: list[str]) -> list[tuple[int, int, l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(kernel)
-        for batch in batches:
+        for batch in released(batches):
             marks, values, n = [], [], []
             for words in reader.learn_all(batch.column(1).to_pylist()):
                 found = reader.sentences(words)
@@ -394,7 +394,7 @@ def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataF
 
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = Reader(kernel)
-        for batch in batches:
+        for batch in released(batches):
             out, texts = [], batch.tolist()
             for at in range(0, len(texts), 200):
                 for words in reader.learn_all(texts[at : at + 200]):

@@ -1,5 +1,6 @@
 """Language, toxicity, quality, licences, archives, mixing, tokens, the pipeline."""
 
+import inspect
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -9,7 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from brisa.llm import bpe, catalog, language_id, licenses, mixing, perfect_hash, quality, toxicity, warc
+from brisa.llm import bpe, catalog, common, language_id, licenses, mixing, perfect_hash, quality, shingle_join, toxicity, warc
 from tests.llm.conftest import ODD
 
 DATA = "/root/testdata/sf0.01"
@@ -344,3 +345,35 @@ def test_pipeline_decides_by_row(spark, make):
     target = mixing.standard_targets({s: sum(len(t.split()) for _, t, _, x in rows if x == s) for s in "ab"})
     taken = {s: sum(n * len(t.split()) for (x, t), n in out.items() if x == s) for s in "ab"}
     assert max(out.values()) <= 3 and all(abs(taken[s] - target[s]) <= 40 for s in "ab")
+
+
+def test_a_mix_brings_its_plan_without_python_workers(make):
+    """The few rows of the plan are part of the query; as a list they started Python workers of another kind on every executor."""
+    docs = make([(i, "w " * (i % 7 + 1), "en", "abc"[i % 3] if i % 4 else None) for i in range(60)])
+    mixed = mixing.standard_mix(docs.select("doc_id", "text", "source"))
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    brought = [line for line in plan.splitlines() if "LogicalRDD" in line]
+    assert not brought and "LocalRelation" in plan
+    assert {r.source_size for r in mixed.collect()} == {r.n for r in docs.selectExpr(
+        "source", "size(split(trim(text), ' ')) AS n").groupBy("source").agg({"n": "sum"}).withColumnRenamed("sum(n)", "n").collect()}
+
+
+def test_small_tables_keep_nulls_and_types(spark):
+    schema = common.T.StructType.fromDDL("a string, b int, c long, d double")
+    rows = [("x", 1, 2**40, 0.1), (None, None, None, None), ("퟿", -1, 0, float("inf"))]
+    made = common.small_table(spark, rows, schema)
+    assert [tuple(r) for r in made.collect()] == rows and made.schema == schema
+    assert common.small_table(spark, [], schema).collect() == []
+
+
+def test_every_batch_of_the_pipeline_is_released(monkeypatch):
+    calls = []
+
+    class Pool:
+        def release_unused(self):
+            calls.append(1)
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    assert list(common.released(iter("abc"))) == ["a", "b", "c"] and len(calls) == 3
+    for module in (bpe, toxicity, shingle_join):
+        assert "in batches:" not in inspect.getsource(module)
